@@ -82,11 +82,11 @@ def monitor_drift_categorical(df: DataFrame, ts: str, model: str, col: str,
         "model", "window_start", "prev_start", "category", F.col("n").alias("n_cur"),
         F.col("share").alias("p"))
     # The previous window's shares, re-keyed to the window that follows it.
-    nxt = chain.filter(F.col("prev_start").isNotNull()).select(
-        "model", F.col("window_start").alias("next_start"), F.col("prev_start"))
-    prev = shares.join(nxt, (shares.model == nxt.model) & (shares.window_start == nxt.prev_start)).select(
-        shares.model, F.col("next_start").alias("window_start"), F.col("prev_start"), "category",
-        F.col("share").alias("q"))
+    prev_keys = chain.filter(F.col("prev_start").isNotNull()).select(
+        "model", F.col("prev_start").alias("share_start"), F.col("window_start").alias("next_start"))
+    prev = (shares.withColumnRenamed("window_start", "share_start").join(prev_keys, ["model", "share_start"])
+            .select("model", F.col("next_start").alias("window_start"), F.col("share_start").alias("prev_start"),
+                    "category", F.col("share").alias("q")))
     pairs = (cur.filter(F.col("prev_start").isNotNull())
              .join(prev, ["model", "window_start", "prev_start", "category"], "full_outer")
              .fillna({"p": 0.0, "q": 0.0, "n_cur": 0}))
@@ -124,9 +124,11 @@ def monitor_drift_numeric(df: DataFrame, ts: str, model: str, col: str,
     nxt = chain.filter(F.col("prev_start").isNotNull())
     cur_side = hist.join(nxt.select("model", "window_start"), ["model", "window_start"]).select(
         "model", "window_start", "v", F.col("c").alias("c_cur"), F.lit(0).cast("long").alias("c_prev"))
-    prev_side = hist.join(nxt.select("model", "window_start", F.col("prev_start")),
-                          (hist.model == nxt.model) & (hist.window_start == F.col("prev_start"))).select(
-        hist.model, nxt.window_start, "v", F.lit(0).cast("long").alias("c_cur"), F.col("c").alias("c_prev"))
+    # The previous window's values, re-keyed to the window that follows it.
+    prev_keys = nxt.select("model", F.col("prev_start").alias("hist_start"), F.col("window_start").alias("next_start"))
+    prev_side = (hist.withColumnRenamed("window_start", "hist_start").join(prev_keys, ["model", "hist_start"])
+                 .select("model", F.col("next_start").alias("window_start"), "v",
+                         F.lit(0).cast("long").alias("c_cur"), F.col("c").alias("c_prev")))
     merged = (cur_side.unionByName(prev_side).groupBy("model", "window_start", "v")
               .agg(F.sum("c_cur").alias("c_cur"), F.sum("c_prev").alias("c_prev")))
     w = Window.partitionBy("model", "window_start").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)

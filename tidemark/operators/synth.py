@@ -72,14 +72,17 @@ def synth_categorical(spark: SparkSession, source: DataFrame, col: str, n: int,
 
 
 def numeric_draw(mean: float | None, std: float | None, seed: int, col: str, floor: float | None = None,
-                 digits: int | None = 6) -> Column:
-    """Normal(mean, sample std) by Box-Muller; optional floor (physical attributes)."""
+                 digits: int | None = 6, factor: float | None = None) -> Column:
+    """Normal(mean, sample std) by Box-Muller; optional floor (physical attributes)
+    and drift factor, applied before the one final rounding."""
     if mean is None:
         value = F.lit(None).cast("double")
     else:
         value = F.lit(float(mean)) + F.lit(float(std or 0.0)) * md5_normal(f"{seed}:{col}", F.col("row_id"))
         if floor is not None:
             value = F.greatest(F.lit(float(floor)), value)
+        if factor is not None:
+            value = value * F.lit(float(factor))
     return F.round(value, digits) if digits is not None else value
 
 
@@ -152,8 +155,10 @@ def synth_table(spark: SparkSession, source: DataFrame, n: int, numeric: Sequenc
     bootstrapped columns, plus string ids, optionally with drift injected."""
     nums = numeric_params(source, list(numeric)) if numeric else {}
     tss = timestamp_params(source, list(timestamps)) if timestamps else {}
+    scale = set(drift_scale) if drift else set()
     out = _rows(spark, n).withColumns({
-        **{c: numeric_draw(*nums[c], seed, c, floor if c in floored else None) for c in numeric},
+        **{c: numeric_draw(*nums[c], seed, c, floor if c in floored else None,
+                           factor=1.5 if c in scale else None) for c in numeric},
         **{c: timestamp_draw(*tss[c], seed, c) for c in timestamps},
     })
     for c in categorical:
@@ -162,5 +167,7 @@ def synth_table(spark: SparkSession, source: DataFrame, n: int, numeric: Sequenc
         out = out.join(synth_bootstrap(spark, source, key_cols, c, n, seed), "row_id")
     out = out.withColumn("Id", (F.lit(int(base_id)) + F.col("row_id")).cast("string"))
     if drift:
-        out = inject_drift(spark, out, drift_scale, 1.5, drift_col, drift_weights, seed)
+        # Numeric drift was applied inside the draws (one rounding); scale the rest here.
+        rest = [c for c in drift_scale if c not in numeric]
+        out = inject_drift(spark, out, rest, 1.5, drift_col, drift_weights, seed)
     return out

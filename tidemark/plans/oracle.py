@@ -166,9 +166,9 @@ cat_tab AS (SELECT category,
 cat_draws AS (SELECT range AS row_id, {md5_u(f"'{seed}:{col}:' || range::VARCHAR")} AS u FROM range({n}))"""
 
 
-def _numeric_draw(col: str, n_rows_sql: str, seed: str = "42", floor: bool = True) -> str:
+def _numeric_draw(col: str, n_rows_sql: str, seed: str = "42", floor: bool = True, factor: str = "") -> str:
     value = f"(s.m + s.s * {md5_normal(repr(seed + ':' + col).replace(chr(34), chr(39)), n_rows_sql)})"
-    return f"round(greatest(0.1::DOUBLE, {value}), 6)" if floor else f"round({value}, 6)"
+    return f"round(greatest(0.1::DOUBLE, {value}){factor}, 6)" if floor else f"round({value}{factor}, 6)"
 
 
 def _ts_draw(col: str, seed: str = "42") -> str:
@@ -186,9 +186,8 @@ bd AS (SELECT range AS draw_id, floor({md5_u(f"'{seed}:draw:' || range::VARCHAR"
 
 def _synth_events(drift: bool) -> str:
     """The synthetic events table of ``queries._synth_events`` (1,000 rows, seed 42)."""
-    value = _numeric_draw("value", "r.row_id")
+    value = _numeric_draw("value", "r.row_id", factor=" * 1.5::DOUBLE" if drift else "")
     if drift:
-        value = f"round({value} * 1.5::DOUBLE, 6)"
         cat = f"""(SELECT w.category FROM (VALUES ('click', 0.0::DOUBLE, 0.7::DOUBLE), ('view', 0.7::DOUBLE, 1.0::DOUBLE)) w(category, lo, hi)
                    WHERE {md5_u("'42:drift:event_type:' || r.row_id::VARCHAR")} >= w.lo
                      AND {md5_u("'42:drift:event_type:' || r.row_id::VARCHAR")} < w.hi)"""
@@ -452,7 +451,8 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT o_orderkey, c2, s2, t2, p2, 'update_postimage' FROM j""",
     # ---------------------------------------------------------------- runs
     "run_search": f"""WITH {METRIC_ROWS.strip()},
-        latest AS (SELECT run_id, key, arg_max(value, step) AS value FROM m GROUP BY ALL),
+        ms AS (SELECT *, max(step) OVER (PARTITION BY run_id, key) AS top FROM m),
+        latest AS (SELECT run_id, key, max(value) FILTER (WHERE step = top) AS value FROM ms GROUP BY ALL),
         runs AS (SELECT o_orderkey AS run_id, CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'RUNNING'
                         ELSE 'FAILED' END AS status, o_orderdate AS start_time, o_orderpriority AS run_name FROM orders)
         SELECT run_id, run_name, start_time, status FROM runs
@@ -461,7 +461,8 @@ ORACLE_SQL: dict[str, str] = {
     "latest_per_model": """SELECT p_brand, max(p_partkey) AS latest_version, arg_max(p_name, p_partkey) AS p_name,
                            arg_max(p_retailprice, p_partkey) AS p_retailprice FROM part GROUP BY p_brand""",
     "metric_steps": f"""WITH {METRIC_ROWS.strip()}
-        SELECT run_id, key, arg_max(value, step) AS value, max(step) AS step FROM m GROUP BY ALL""",
+        , ms AS (SELECT *, max(step) OVER (PARTITION BY run_id, key) AS top FROM m)
+        SELECT run_id, key, max(value) FILTER (WHERE step = top) AS value, max(step) AS step FROM ms GROUP BY ALL""",
     "metrics_unnest": """SELECT o_orderkey AS run_id, 'totalprice' AS key, o_totalprice AS value FROM orders
                          UNION ALL SELECT o_orderkey, 'custkey', o_custkey::DOUBLE FROM orders""",
     # ---------------------------------------------------------------- synthesis
