@@ -480,10 +480,12 @@ ORACLE_SQL: dict[str, str] = {
     "inject_drift": f"WITH {_synth_events(True).strip()} SELECT * FROM synth",
     # ---------------------------------------------------------------- streaming
     "stream_ingest": f"WITH {PAYLOAD_RECORDS.strip()} SELECT * FROM monitor WHERE prediction IS NOT NULL",
-    "stream_window_profile": f"""SELECT {WIN} AS window_start, {WIN} + INTERVAL '30 minutes' AS window_end,
-        event_type AS model, count(*) AS n_rows, count(*) FILTER (WHERE value IS NULL) AS n_null,
-        round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, min(value) AS min_value,
-        max(value) AS max_value
-        FROM events GROUP BY ALL
-        HAVING {WIN} + INTERVAL '30 minutes' <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'""",
+    "stream_window_profile": f"""WITH w AS (
+          SELECT {WIN} AS window_start, event_type AS model, value FROM events)
+        SELECT window_start, window_start + INTERVAL '30 minutes' AS window_end, model, count(*) AS n_rows,
+               count(*) FILTER (WHERE value IS NULL) AS n_null, round(avg(value), 6) AS mean,
+               round(stddev_samp(value), 6) AS std, min(value) AS min_value, max(value) AS max_value
+        FROM w
+        WHERE window_start + INTERVAL '30 minutes' <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'
+        GROUP BY window_start, model""",
 }
