@@ -35,6 +35,13 @@ RESPONSE_SCHEMA = StructType([
         StructField(REQUEST_ID_FIELD, StringType(), True),
     ]), True),
 ])
+# One parse of the whole response: predictions kept as raw JSON text, decoded below.
+RESPONSE_RAW_SCHEMA = StructType([
+    StructField(PREDICTIONS_FIELD, StringType(), True),
+    StructField(OUTPUT_FIELD, RESPONSE_SCHEMA[OUTPUT_FIELD].dataType, True),
+])
+PREDICTIONS_SCHEMA = ArrayType(IntegerType())
+LABELS_SCHEMA = StructType([StructField(LABEL_FIELD, ArrayType(StringType()), True)])
 # The text-label wrapper answers {"predictions": {"Survival prediction": ["alive", ...]}}.
 LABEL_RESPONSE_SCHEMA = StructType([
     StructField(PREDICTIONS_FIELD, StructType([

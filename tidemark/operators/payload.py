@@ -55,25 +55,30 @@ def parse_request(df: DataFrame, request_col: str = "request") -> DataFrame:
     return df.withColumn("parsed_request", F.from_json(F.col(request_col), S.REQUEST_SCHEMA))
 
 
-def predictions_expr(response_col: str = "response") -> Column:
-    """Integer predictions from either response shape.
+def predictions_from_text(text: Column) -> Column:
+    """Integer predictions from the raw ``predictions`` JSON fragment.
 
-    First the integer-array schema; if that yields null, the text-label shape
-    (``alive`` -> 1, ``dead`` -> 0).
+    First as an integer array; if that yields null, as the text-label shape
+    (``alive`` -> 1, ``dead`` -> 0).  Only the small fragment is re-parsed.
     """
-    as_int = F.from_json(F.col(response_col), S.RESPONSE_SCHEMA)[S.PREDICTIONS_FIELD]
-    labels = F.from_json(F.col(response_col), S.LABEL_RESPONSE_SCHEMA)[S.PREDICTIONS_FIELD][S.LABEL_FIELD]
+    as_int = F.from_json(text, S.PREDICTIONS_SCHEMA)
+    labels = F.from_json(text, S.LABELS_SCHEMA)[S.LABEL_FIELD]
     from_labels = F.transform(labels, lambda s: F.when(s == "alive", F.lit(1)).when(s == "dead", F.lit(0)))
     return F.coalesce(as_int, from_labels)
 
 
+def predictions_expr(response_col: str = "response") -> Column:
+    """Integer predictions from either response shape (see ``predictions_from_text``)."""
+    return predictions_from_text(F.from_json(F.col(response_col), S.RESPONSE_RAW_SCHEMA)[S.PREDICTIONS_FIELD])
+
+
 def parse_response(df: DataFrame, response_col: str = "response") -> DataFrame:
-    """Adds ``predictions`` (array<int>) and ``served_request_id`` from the response text."""
-    parsed = F.from_json(F.col(response_col), S.RESPONSE_SCHEMA)
-    return df.withColumns({
-        "predictions": predictions_expr(response_col),
-        "served_request_id": parsed[S.OUTPUT_FIELD][S.REQUEST_ID_FIELD],
-    })
+    """Adds ``predictions`` (array<int>) and ``served_request_id``; the response text is parsed once."""
+    parsed = df.withColumn("_resp", F.from_json(F.col(response_col), S.RESPONSE_RAW_SCHEMA))
+    return parsed.withColumns({
+        "predictions": predictions_from_text(F.col("_resp")[S.PREDICTIONS_FIELD]),
+        "served_request_id": F.col("_resp")[S.OUTPUT_FIELD][S.REQUEST_ID_FIELD],
+    }).drop("_resp")
 
 
 def explode_records(df: DataFrame, keep_empty: bool = False) -> DataFrame:
@@ -170,9 +175,11 @@ def quarantine(payload: DataFrame, request_col: str = "request") -> DataFrame:
     """Per record: ``status`` valid/rejected and the first failing ``reason``.
 
     Requests are read twice in one projection: typed, and with every field as
-    raw text.  A field present as text whose typed value is null had the wrong
-    type.  Unparsable requests and empty record lists keep one rejected row
-    (``posexplode_outer``), so nothing disappears silently.
+    text.  A field present as text whose typed value is null had the wrong
+    type.  (Casting the text instead of the typed read would differ: Spark
+    re-quotes bare NaN in text mode.)  Unparsable requests and empty record
+    lists keep one rejected row (``posexplode_outer``), so nothing disappears
+    silently.
     """
     typed = F.from_json(F.col(request_col), S.REQUEST_SCHEMA)[S.RECORDS_FIELD]
     raw = F.from_json(F.col(request_col), S.RAW_REQUEST_SCHEMA)[S.RECORDS_FIELD]

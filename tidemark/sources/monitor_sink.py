@@ -1,4 +1,4 @@
-"""Idempotent append into the monitoring table.
+"""Idempotent append into the monitoring table, and the full monitor refresh.
 
 Re-running a refresh over the whole payload log must not double the table:
 only rows whose ``(request id, record position)`` is not yet stored are
@@ -10,11 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tidemark.functions import schemas as S
+from tidemark.operators import payload as P
+
 DATE_COL = "date"
+KEYS = (S.REQUEST_ID_FIELD, "record_pos")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -25,18 +30,47 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def monitor_append(spark: SparkSession, rows: DataFrame, path: str, key_cols: Sequence[str],
-                   time_col: str = "timestamp") -> int:
-    """Append unseen rows; returns how many were appended."""
-    batch = rows.withColumn(DATE_COL, F.to_date(F.col(time_col)))
-    if _exists(spark, path):
-        span = batch.agg(F.min(DATE_COL).alias("lo"), F.max(DATE_COL).alias("hi")).first()
-        if span["lo"] is None:
-            return 0
-        stored = (spark.read.parquet(path)
-                  .filter(F.col(DATE_COL).between(F.lit(span["lo"]), F.lit(span["hi"])))
-                  .select(DATE_COL, *key_cols))
-        batch = batch.join(stored, [DATE_COL, *key_cols], "left_anti")
-    seen = Observation("monitor_append")
-    batch.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(DATE_COL).parquet(path)
-    return int(seen.get.get("n", 0) or 0)
+def monitor_append(spark: SparkSession, rows: DataFrame, path: str, key_cols: Sequence[str] = KEYS,
+                   time_col: str = "timestamp", salt: int = 8) -> int:
+    """Append unseen rows; returns how many were appended.
+
+    The batch is persisted for the duration of the refresh (date span, anti
+    join and write read it once).  Before the write, rows are spread over
+    ``(date, hash(keys) % salt)`` so one busy day is written by ``salt``
+    tasks instead of one, and each task writes few date folders.
+    """
+    batch = rows.withColumn(DATE_COL, F.to_date(F.col(time_col))).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if _exists(spark, path):
+            span = batch.agg(F.min(DATE_COL).alias("lo"), F.max(DATE_COL).alias("hi")).first()
+            if span["lo"] is None:
+                return 0
+            stored = (spark.read.parquet(path)
+                      .filter(F.col(DATE_COL).between(F.lit(span["lo"]), F.lit(span["hi"])))
+                      .select(DATE_COL, *key_cols))
+            fresh = batch.join(stored, [DATE_COL, *key_cols], "left_anti")
+        else:
+            fresh = batch
+        spread = fresh.repartition(F.col(DATE_COL), F.pmod(F.xxhash64(*key_cols), F.lit(salt)))
+        seen = Observation("monitor_append")
+        spread.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(DATE_COL).parquet(path)
+        return int(seen.get.get("n", 0) or 0)
+    finally:
+        batch.unpersist()
+
+
+def refresh_monitor(spark: SparkSession, payload: DataFrame, path: str, model_name: str,
+                    align: bool = False) -> dict[str, int] | None:
+    """Payload log -> monitoring table, the whole refresh in one pass over the log.
+
+    Returns the stage counts (rows read, records exploded, rows appended), or
+    None when the payload is empty (nothing to refresh).
+    """
+    if payload.isEmpty():
+        return None
+    stages = Observation("monitor_refresh")
+    rows = P.payload_to_monitor(payload, model_name, align=align, observation=stages)
+    appended = monitor_append(spark, rows, path)
+    counts = dict(stages.get) if stages.get else {}
+    counts["n_appended"] = appended
+    return counts
