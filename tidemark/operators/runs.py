@@ -58,3 +58,8 @@ def latest_per_model(versions: DataFrame, model_col: str, version_col: str,
 def metrics_unnest(runs: DataFrame, run_col: str, map_col: str) -> DataFrame:
     """One row per (run, metric) from a map column of logged metrics."""
     return runs.select(run_col, F.explode(F.col(map_col)).alias("key", "value"))
+
+
+def input_dataset(inputs: DataFrame, run_id, context: str, run_col: str = "run_id") -> DataFrame:
+    """The dataset a run logged under ``context`` ("training" / "testing"); at most one row."""
+    return inputs.filter((F.col(run_col) == F.lit(run_id)) & (F.col("context") == context)).limit(1)

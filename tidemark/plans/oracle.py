@@ -155,15 +155,15 @@ m AS (SELECT l_orderkey AS run_id, 'quantity' AS key, l_quantity AS value, l_lin
       UNION ALL SELECT l_orderkey, 'discount', l_discount, l_linenumber FROM lineitem)"""
 
 
-def _synth_categorical(col: str, n: int, seed: str = "42") -> str:
+def _synth_categorical(col: str, n: int, seed: str = "42", p: str = "") -> str:
     return f"""
-cat_counts AS (SELECT {col} AS category, count(*) AS n FROM events GROUP BY 1),
-cat_tab AS (SELECT category,
+{p}cat_counts AS (SELECT {col} AS category, count(*) AS n FROM events GROUP BY 1),
+{p}cat_tab AS (SELECT category,
                    (sum(n) OVER (ORDER BY category ASC NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n)
                      / sum(n) OVER () AS lo,
                    sum(n) OVER (ORDER BY category ASC NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-                     / sum(n) OVER () AS hi FROM cat_counts),
-cat_draws AS (SELECT range AS row_id, {md5_u(f"'{seed}:{col}:' || range::VARCHAR")} AS u FROM range({n}))"""
+                     / sum(n) OVER () AS hi FROM {p}cat_counts),
+{p}cat_draws AS (SELECT range AS row_id, {md5_u(f"'{seed}:{col}:' || range::VARCHAR")} AS u FROM range({n}))"""
 
 
 def _numeric_draw(col: str, n_rows_sql: str, seed: str = "42", floor: bool = True, factor: str = "") -> str:
@@ -176,16 +176,16 @@ def _ts_draw(col: str, seed: str = "42") -> str:
     return f"make_timestamp(t.lo + floor({u} * (t.hi - t.lo))::BIGINT)"
 
 
-def _bootstrap_rows(table: str, key: str, seed: str, n: int) -> str:
+def _bootstrap_rows(table: str, key: str, seed: str, n: int, p: str = "") -> str:
     return f"""
-br AS (SELECT *, row_number() OVER (ORDER BY md5('{seed}:' || {key}::VARCHAR), {key}) - 1 AS idx FROM {table}),
-bn AS (SELECT count(*) AS total FROM {table}),
-bd AS (SELECT range AS draw_id, floor({md5_u(f"'{seed}:draw:' || range::VARCHAR")} * bn.total)::BIGINT AS idx
-       FROM range({n}), bn)"""
+{p}br AS (SELECT *, row_number() OVER (ORDER BY md5('{seed}:' || {key}::VARCHAR), {key}) - 1 AS idx FROM {table}),
+{p}bn AS (SELECT count(*) AS total FROM {table}),
+{p}bd AS (SELECT range AS draw_id, floor({md5_u(f"'{seed}:draw:' || range::VARCHAR")} * {p}bn.total)::BIGINT AS idx
+       FROM range({n}), {p}bn)"""
 
 
-def _synth_events(drift: bool) -> str:
-    """The synthetic events table of ``queries._synth_events`` (1,000 rows, seed 42)."""
+def _synth_events(drift: bool, p: str = "") -> str:
+    """The synthetic events table of ``queries._synth_events`` (1,000 rows, seed 42) as CTE ``{p}synth``."""
     value = _numeric_draw("value", "r.row_id", factor=" * 1.5::DOUBLE" if drift else "")
     if drift:
         cat = f"""(SELECT w.category FROM (VALUES ('click', 0.0::DOUBLE, 0.7::DOUBLE), ('view', 0.7::DOUBLE, 1.0::DOUBLE)) w(category, lo, hi)
@@ -194,18 +194,91 @@ def _synth_events(drift: bool) -> str:
     else:
         cat = "c.category"
     return f"""
-{_synth_categorical('event_type', 1000)},
-num AS (SELECT avg(value) AS m, stddev_samp(value) AS s FROM events),
-tsr AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events),
-{_bootstrap_rows('events', 'event_id', '42:user_id', 1000)},
-boot AS (SELECT bd.draw_id AS row_id, br.user_id FROM bd JOIN br USING (idx)),
-synth AS (
+{_synth_categorical('event_type', 1000, p=p)},
+{p}num AS (SELECT avg(value) AS m, stddev_samp(value) AS s FROM events),
+{p}tsr AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events),
+{_bootstrap_rows('events', 'event_id', '42:user_id', 1000, p=p)},
+{p}boot AS (SELECT {p}bd.draw_id AS row_id, {p}br.user_id FROM {p}bd JOIN {p}br USING (idx)),
+{p}synth AS (
   SELECT r.row_id, {value} AS value,
          make_timestamp(tsr.lo + floor({md5_u("'42:ts:' || r.row_id::VARCHAR")} * (tsr.hi - tsr.lo))::BIGINT) AS ts,
          {cat} AS event_type, boot.user_id, (1700000000000 + r.row_id)::VARCHAR AS Id
-  FROM cat_draws r
-  JOIN cat_tab c ON r.u >= c.lo AND r.u < c.hi
-  JOIN boot ON boot.row_id = r.row_id, num s, tsr)"""
+  FROM {p}cat_draws r
+  JOIN {p}cat_tab c ON r.u >= c.lo AND r.u < c.hi
+  JOIN {p}boot boot ON boot.row_id = r.row_id, {p}num s, {p}tsr tsr)"""
+
+
+def drift_categorical_body(base: str) -> str:
+    """Categorical drift over ``base(model, window_start, category)`` (see ``monitor_drift_categorical``)."""
+    return f"""WITH counts AS (SELECT model, window_start, category, count(*) AS n FROM {base} GROUP BY ALL),
+        totals AS (SELECT model, window_start, sum(n) AS total FROM counts GROUP BY ALL),
+        shares AS (SELECT c.model, c.window_start, c.category, c.n, c.n / t.total AS share
+                   FROM counts c JOIN totals t USING (model, window_start)),
+        chain AS (SELECT model, window_start, lag(window_start) OVER (PARTITION BY model ORDER BY window_start) AS prev_start
+                  FROM (SELECT DISTINCT model, window_start FROM counts)),
+        cur AS (SELECT s.model, s.window_start, ch.prev_start, s.category, s.n AS n_cur, s.share AS p
+                FROM shares s JOIN chain ch USING (model, window_start) WHERE ch.prev_start IS NOT NULL),
+        prv AS (SELECT s.model, ch.window_start, ch.prev_start, s.category, s.share AS q
+                FROM shares s JOIN chain ch ON s.model = ch.model AND s.window_start = ch.prev_start),
+        pairs AS (SELECT coalesce(cur.model, prv.model) AS model, coalesce(cur.window_start, prv.window_start) AS window_start,
+                         coalesce(cur.prev_start, prv.prev_start) AS prev_start, coalesce(cur.n_cur, 0) AS n_cur,
+                         coalesce(cur.p, 0.0) AS p, coalesce(prv.q, 0.0) AS q
+                  FROM cur FULL OUTER JOIN prv ON cur.model = prv.model AND cur.window_start = prv.window_start
+                       AND cur.prev_start = prv.prev_start AND cur.category = prv.category),
+        pt AS (SELECT pairs.*, t.total AS n_window, greatest(p, 1e-4) AS pf, greatest(q, 1e-4) AS qf, (p + q) / 2.0 AS mm
+               FROM pairs JOIN totals t USING (model, window_start)),
+        m AS (SELECT model, window_start, prev_start,
+                     sum(abs(p - q) / 2.0) AS total_variation,
+                     sum(((CASE WHEN p > 0 THEN p * ln(p / mm) ELSE 0.0 END)
+                          + (CASE WHEN q > 0 THEN q * ln(q / mm) ELSE 0.0 END)) / 2.0) AS js_divergence,
+                     sum((pf - qf) * ln(pf / qf)) AS psi,
+                     sum(pow(n_cur - n_window * qf, 2) / (n_window * qf)) AS chi2
+              FROM pt GROUP BY ALL)
+        SELECT model, window_start, prev_start, round(total_variation, 6) AS total_variation,
+               round(js_divergence, 6) AS js_divergence, round(psi, 6) AS psi, round(chi2, 6) AS chi2 FROM m
+        UNION ALL
+        SELECT model, window_start, prev_start, NULL, NULL, NULL, NULL FROM chain WHERE prev_start IS NULL"""
+
+
+def drift_numeric_body(base: str) -> str:
+    """Numeric drift over ``base(model, window_start, value)`` (see ``monitor_drift_numeric``)."""
+    return f"""WITH base AS (SELECT model, window_start, value AS v FROM {base} WHERE value IS NOT NULL),
+        stats AS (SELECT model, window_start, count(*) AS n, avg(v) AS mean, stddev_samp(v) AS std FROM base GROUP BY ALL),
+        chain AS (SELECT model, window_start, lag(window_start) OVER (PARTITION BY model ORDER BY window_start) AS prev_start
+                  FROM stats),
+        hist AS (SELECT model, window_start, v, count(*) AS c FROM base GROUP BY ALL),
+        nxt AS (SELECT * FROM chain WHERE prev_start IS NOT NULL),
+        merged AS (SELECT model, window_start, v, sum(c_cur) AS c_cur, sum(c_prev) AS c_prev FROM (
+                     SELECT h.model, h.window_start, h.v, h.c AS c_cur, 0 AS c_prev FROM hist h JOIN nxt USING (model, window_start)
+                     UNION ALL
+                     SELECT h.model, nxt.window_start, h.v, 0, h.c FROM hist h
+                     JOIN nxt ON h.model = nxt.model AND h.window_start = nxt.prev_start) GROUP BY ALL),
+        cm AS (SELECT model, window_start,
+                      sum(c_cur) OVER w AS cc, sum(c_prev) OVER w AS cp,
+                      sum(c_cur) OVER (PARTITION BY model, window_start) AS nc,
+                      sum(c_prev) OVER (PARTITION BY model, window_start) AS np
+               FROM merged WINDOW w AS (PARTITION BY model, window_start ORDER BY v
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+        ks AS (SELECT model, window_start, max(abs(cc / nc - cp / np)) AS ks FROM cm GROUP BY ALL)
+        SELECT s.model, s.window_start, ch.prev_start, round(s.mean, 6) AS mean_cur, round(p.mean, 6) AS mean_prev,
+               round(s.mean - p.mean, 6) AS mean_shift, round(s.std, 6) AS std_cur, round(p.std, 6) AS std_prev,
+               round(ks.ks, 6) AS ks
+        FROM stats s JOIN chain ch USING (model, window_start)
+        LEFT JOIN stats p ON p.model = s.model AND p.window_start = ch.prev_start
+        LEFT JOIN ks ON ks.model = s.model AND ks.window_start = s.window_start"""
+
+
+DRIFT_DEMO = f"""WITH {_synth_events(False, 'n_').strip()}, {_synth_events(True, 'd_').strip()},
+    dd AS (SELECT 'synthetic' AS model,
+                  time_bucket(INTERVAL '30 minutes', TIMESTAMP '2024-02-01 00:00:00' + to_seconds(row_id)) AS window_start,
+                  value, event_type AS category FROM n_synth
+           UNION ALL
+           SELECT 'synthetic', time_bucket(INTERVAL '30 minutes', TIMESTAMP '2024-02-01 00:30:00' + to_seconds(row_id)),
+                  value, event_type FROM d_synth)
+    SELECT n.model, n.window_start, n.prev_start, n.mean_shift, n.ks, c.total_variation, c.psi,
+           (n.ks > 0.1 OR c.psi > 0.2) AS drift_flag
+    FROM ({drift_numeric_body('dd')}) n JOIN ({drift_categorical_body('dd')}) c USING (model, window_start, prev_start)
+    WHERE n.prev_start IS NOT NULL"""
 
 
 ORACLE_SQL: dict[str, str] = {
@@ -337,60 +410,10 @@ ORACLE_SQL: dict[str, str] = {
         c AS (SELECT window_start, model, prediction, count(*) AS n FROM mbase GROUP BY ALL)
         SELECT window_start, window_start + INTERVAL '30 minutes' AS window_end, model, prediction, n,
                n / sum(n) OVER (PARTITION BY window_start, model) AS share FROM c""",
-    "monitor_drift_categorical": f"""WITH {MONITOR_BASE.strip()},
-        counts AS (SELECT model, window_start, category, count(*) AS n FROM mbase GROUP BY ALL),
-        totals AS (SELECT model, window_start, sum(n) AS total FROM counts GROUP BY ALL),
-        shares AS (SELECT c.model, c.window_start, c.category, c.n, c.n / t.total AS share
-                   FROM counts c JOIN totals t USING (model, window_start)),
-        chain AS (SELECT model, window_start, lag(window_start) OVER (PARTITION BY model ORDER BY window_start) AS prev_start
-                  FROM (SELECT DISTINCT model, window_start FROM counts)),
-        cur AS (SELECT s.model, s.window_start, ch.prev_start, s.category, s.n AS n_cur, s.share AS p
-                FROM shares s JOIN chain ch USING (model, window_start) WHERE ch.prev_start IS NOT NULL),
-        prv AS (SELECT s.model, ch.window_start, ch.prev_start, s.category, s.share AS q
-                FROM shares s JOIN chain ch ON s.model = ch.model AND s.window_start = ch.prev_start),
-        pairs AS (SELECT coalesce(cur.model, prv.model) AS model, coalesce(cur.window_start, prv.window_start) AS window_start,
-                         coalesce(cur.prev_start, prv.prev_start) AS prev_start, coalesce(cur.n_cur, 0) AS n_cur,
-                         coalesce(cur.p, 0.0) AS p, coalesce(prv.q, 0.0) AS q
-                  FROM cur FULL OUTER JOIN prv ON cur.model = prv.model AND cur.window_start = prv.window_start
-                       AND cur.prev_start = prv.prev_start AND cur.category = prv.category),
-        pt AS (SELECT pairs.*, t.total AS n_window, greatest(p, 1e-4) AS pf, greatest(q, 1e-4) AS qf, (p + q) / 2.0 AS mm
-               FROM pairs JOIN totals t USING (model, window_start)),
-        m AS (SELECT model, window_start, prev_start,
-                     sum(abs(p - q) / 2.0) AS total_variation,
-                     sum(((CASE WHEN p > 0 THEN p * ln(p / mm) ELSE 0.0 END)
-                          + (CASE WHEN q > 0 THEN q * ln(q / mm) ELSE 0.0 END)) / 2.0) AS js_divergence,
-                     sum((pf - qf) * ln(pf / qf)) AS psi,
-                     sum(pow(n_cur - n_window * qf, 2) / (n_window * qf)) AS chi2
-              FROM pt GROUP BY ALL)
-        SELECT model, window_start, prev_start, round(total_variation, 6) AS total_variation,
-               round(js_divergence, 6) AS js_divergence, round(psi, 6) AS psi, round(chi2, 6) AS chi2 FROM m
-        UNION ALL
-        SELECT model, window_start, prev_start, NULL, NULL, NULL, NULL FROM chain WHERE prev_start IS NULL""",
-    "monitor_drift_numeric": f"""WITH {MONITOR_BASE.strip()},
-        base AS (SELECT model, window_start, value AS v FROM mbase WHERE value IS NOT NULL),
-        stats AS (SELECT model, window_start, count(*) AS n, avg(v) AS mean, stddev_samp(v) AS std FROM base GROUP BY ALL),
-        chain AS (SELECT model, window_start, lag(window_start) OVER (PARTITION BY model ORDER BY window_start) AS prev_start
-                  FROM stats),
-        hist AS (SELECT model, window_start, v, count(*) AS c FROM base GROUP BY ALL),
-        nxt AS (SELECT * FROM chain WHERE prev_start IS NOT NULL),
-        merged AS (SELECT model, window_start, v, sum(c_cur) AS c_cur, sum(c_prev) AS c_prev FROM (
-                     SELECT h.model, h.window_start, h.v, h.c AS c_cur, 0 AS c_prev FROM hist h JOIN nxt USING (model, window_start)
-                     UNION ALL
-                     SELECT h.model, nxt.window_start, h.v, 0, h.c FROM hist h
-                     JOIN nxt ON h.model = nxt.model AND h.window_start = nxt.prev_start) GROUP BY ALL),
-        cm AS (SELECT model, window_start,
-                      sum(c_cur) OVER w AS cc, sum(c_prev) OVER w AS cp,
-                      sum(c_cur) OVER (PARTITION BY model, window_start) AS nc,
-                      sum(c_prev) OVER (PARTITION BY model, window_start) AS np
-               FROM merged WINDOW w AS (PARTITION BY model, window_start ORDER BY v
-                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-        ks AS (SELECT model, window_start, max(abs(cc / nc - cp / np)) AS ks FROM cm GROUP BY ALL)
-        SELECT s.model, s.window_start, ch.prev_start, round(s.mean, 6) AS mean_cur, round(p.mean, 6) AS mean_prev,
-               round(s.mean - p.mean, 6) AS mean_shift, round(s.std, 6) AS std_cur, round(p.std, 6) AS std_prev,
-               round(ks.ks, 6) AS ks
-        FROM stats s JOIN chain ch USING (model, window_start)
-        LEFT JOIN stats p ON p.model = s.model AND p.window_start = ch.prev_start
-        LEFT JOIN ks ON ks.model = s.model AND ks.window_start = s.window_start""",
+    "monitor_drift_categorical": f"""WITH {MONITOR_BASE.strip()}
+        SELECT * FROM ({drift_categorical_body('mbase')})""",
+    "monitor_drift_numeric": f"""WITH {MONITOR_BASE.strip()}
+        SELECT * FROM ({drift_numeric_body('mbase')})""",
     # ---------------------------------------------------------------- metrics
     "confusion_matrix": f"WITH {SCORED_DOCS.strip()} SELECT {cm_sql('pred_a')} FROM preds",
     "classification_metrics": f"WITH {SCORED_DOCS.strip()}, cm AS (SELECT {cm_sql('pred_a')} FROM preds) SELECT {RATES} FROM cm",
@@ -435,7 +458,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT o.o_orderkey, coalesce(cp.code, -1) AS o_orderpriority, coalesce(cs.code, -1) AS o_orderstatus
         FROM orders o LEFT JOIN cp ON cp.category = o.o_orderpriority LEFT JOIN cs ON cs.category = o.o_orderstatus""",
     # ---------------------------------------------------------------- snapshots
-    "snapshot_overwrite": f"WITH {ORDERS_VERSIONS.strip()} SELECT * FROM v2",
+    "snapshot_overwrite": f"""WITH {ORDERS_VERSIONS.strip()}
+        SELECT *, TIMESTAMP '2024-02-02 00:00:00' AS update_timestamp_utc FROM v2""",
     "read_version": f"WITH {ORDERS_VERSIONS.strip()} SELECT * FROM v1",
     "latest_version": f"WITH {ORDERS_VERSIONS.strip()} SELECT 2 AS latest_version, count(*) AS n_rows FROM v2",
     "change_feed": f"""WITH {ORDERS_VERSIONS.strip()},
@@ -478,6 +502,7 @@ ORACLE_SQL: dict[str, str] = {
     "synth_ids": "SELECT range AS row_id, (1700000000000 + range)::VARCHAR AS Id FROM range((SELECT count(*) FROM events))",
     "synth_table": f"WITH {_synth_events(False).strip()} SELECT * FROM synth",
     "inject_drift": f"WITH {_synth_events(True).strip()} SELECT * FROM synth",
+    "drift_demo": DRIFT_DEMO,
     # ---------------------------------------------------------------- streaming
     "stream_ingest": f"WITH {PAYLOAD_RECORDS.strip()} SELECT * FROM monitor WHERE prediction IS NOT NULL",
     "stream_window_profile": f"""WITH w AS (

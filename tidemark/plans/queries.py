@@ -403,8 +403,8 @@ def category_codes(spark, sf_dir):
 def snapshot_overwrite(spark, sf_dir):
     v1, v2 = D.orders_versions(spark, sf_dir)
     path = scratch_path(spark, "snapshot_overwrite")
-    snapshots.snapshot_overwrite(v1, path)
-    snapshots.snapshot_overwrite(v2, path)
+    snapshots.snapshot_overwrite(v1, path, F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    snapshots.snapshot_overwrite(v2, path, F.lit("2024-02-02 00:00:00").cast("timestamp_ntz"))
     return spark.read.parquet(path)
 
 

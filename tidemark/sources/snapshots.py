@@ -10,15 +10,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VERSION_COL = "_version"
+LOAD_TIME_COL = "update_timestamp_utc"
 
 
-def snapshot_overwrite(df: DataFrame, path: str) -> None:
-    """Full replace of a table (train/test tables are rewritten on every run)."""
-    df.write.mode("overwrite").parquet(path)
+def with_load_time(df: DataFrame, load_time: Column | str | None = None, col: str = LOAD_TIME_COL) -> DataFrame:
+    """Audit column with the load time: ``current_timestamp()`` (UTC session) unless given."""
+    if load_time is None:
+        ts = F.current_timestamp()
+    elif isinstance(load_time, Column):
+        ts = load_time
+    else:
+        ts = F.lit(load_time).cast("timestamp")
+    return df.withColumn(col, ts)
+
+
+def snapshot_overwrite(df: DataFrame, path: str, load_time: Column | str | None = None) -> None:
+    """Full replace of a table (train/test tables are rewritten on every run), stamped with the load time."""
+    with_load_time(df, load_time).write.mode("overwrite").parquet(path)
+
+
+def save_train_test(split: DataFrame, base_path: str, split_col: str = "split",
+                    load_time: Column | str | None = None) -> tuple[str, str]:
+    """Write the two sides of a split as ``train`` and ``test`` tables (overwrite)."""
+    paths = (f"{base_path.rstrip('/')}/train", f"{base_path.rstrip('/')}/test")
+    for side, path in zip(("train", "test"), paths):
+        snapshot_overwrite(split.filter(F.col(split_col) == side).drop(split_col), path, load_time)
+    return paths
 
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
