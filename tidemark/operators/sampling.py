@@ -7,14 +7,13 @@ reproducible in DuckDB for the correctness oracle.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import hash_text, md5_uniform
-from tidemark.plans.ordered import hash_cut, hash_rank, tuple_leq
+from tidemark.plans.ordered import hash_cut, rows_at_ranks, tuple_leq
 
 
 def stable_split(df: DataFrame, key_cols: Sequence[str], seed: int = 42, test_fraction: float = 0.2,
@@ -29,35 +28,29 @@ def stable_split(df: DataFrame, key_cols: Sequence[str], seed: int = 42, test_fr
 
 
 def exact_split(df: DataFrame, key_cols: Sequence[str], seed: int = 42, test_fraction: float = 0.2,
-                out_col: str = "split") -> DataFrame:
+                 out_col: str = "split") -> DataFrame:
     """Exactly ``ceil(test_fraction * n)`` test rows: those with the smallest
     ``(md5(seed:key), key)``.  Disjoint and complete by construction.
 
     The cut tuple is found from two bounded hash-prefix histograms
-    (``hash_cut``), so the split itself is a projection over the scan.
+    (``hash_cut``; n comes from the first one), so the split itself is a
+    projection over the scan: no shuffle of the rows.
     """
-    n = df.count()
-    k = math.ceil(test_fraction * n - 1e-9)
-    cut = hash_cut(df, key_cols, seed, k)
-    if cut is None:
-        flag = F.lit(False)
-    else:
-        flag = tuple_leq([hash_text(seed, *key_cols), *key_cols], list(cut))
+    cut, _ = hash_cut(df, key_cols, seed, fraction=test_fraction)
+    flag = F.lit(False) if cut is None else tuple_leq([hash_text(seed, *key_cols), *key_cols], list(cut))
     return df.withColumn(out_col, F.when(flag, F.lit("test")).otherwise(F.lit("train")))
 
 
 def bootstrap_sample(spark: SparkSession, df: DataFrame, key_cols: Sequence[str], n: int,
-                     seed: int = 42, draw_col: str = "draw_id") -> DataFrame:
+                     seed: int | str = 42, draw_col: str = "draw_id") -> DataFrame:
     """Exactly ``n`` rows drawn uniformly with replacement.
 
-    Rows get a dense index (rank in seeded hash order, see ``hash_rank``);
-    each draw j picks index floor(u(seed, j) * N).  The draws are equi-joined
-    to the index - a shuffle join of n draws against N rows, broadcast by AQE
-    when the draw side is small.
+    Draw j takes the row of rank floor(u(seed, j) * N) in the seeded hash
+    order.  Only the hash buckets hit by a draw are ranked
+    (``rows_at_ranks``), so sampling 1,000 rows does not shuffle the table.
     """
     total = df.count()
-    indexed = hash_rank(df, key_cols, seed, rank_col="_idx").drop("_h")
     draws = spark.range(n).select(
         F.col("id").alias(draw_col),
         F.floor(md5_uniform(f"{seed}:draw", F.col("id")) * F.lit(total)).cast("long").alias("_idx"))
-    return draws.join(indexed, "_idx").drop("_idx")
+    return rows_at_ranks(df, key_cols, seed, draws, "_idx", total).drop("_idx")

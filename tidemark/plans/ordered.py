@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import as_col, hash_text
+from tidemark.session import materialize
 
 PREFIX_HEX = 4  # 16^4 = 65,536 hash buckets: a proven bound for broadcast tables
 
@@ -73,35 +74,83 @@ def hash_rank(df: DataFrame, key_cols: Sequence[str], seed: str | int, rank_col:
             .drop("_hb", "_off__n"))
 
 
-def hash_cut(df: DataFrame, key_cols: Sequence[str], seed: str | int, k: int):
+def _level_counts(hashed: DataFrame, level: int, prefix_filter) -> DataFrame:
+    bucket = F.substring("_h", 1 + level * PREFIX_HEX, PREFIX_HEX)
+    return hashed.filter(prefix_filter).groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def hash_cut(df: DataFrame, key_cols: Sequence[str], seed: str | int, k: int | None = None,
+             fraction: float | None = None):
     """The k-th smallest ``(hash, keys)`` tuple, found from bounded histograms.
 
-    Returns ``None`` for k <= 0.  Two levels of 65,536 hash-prefix buckets
+    Give ``k`` directly or ``fraction`` (k = ceil(fraction * n), with n taken
+    from the first histogram - no separate count).  Returns ``(cut, n)``;
+    ``cut`` is None for k <= 0.  Two levels of 65,536 hash-prefix buckets
     narrow the search to about n / 2^32 rows before a tiny sort, so no step
     ever orders the whole table.
     """
-    if k <= 0:
-        return None
-    h = hash_text(seed, *key_cols)
-    hashed = df.select(h.alias("_h"), *key_cols)
-    remaining = k
+    import math
+    hashed = df.select(hash_text(seed, *key_cols).alias("_h"), *key_cols)
     prefix_filter = F.lit(True)
+    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    n = None
+    remaining = k
     for level in range(2):
-        start = 1 + level * PREFIX_HEX
-        bucket = F.substring("_h", start, PREFIX_HEX)
-        counts = hashed.filter(prefix_filter).groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
-        w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-        cut = (counts.withColumn("_cum", F.sum("_n").over(w))
-               .filter((F.col("_cum") - F.col("_n") < remaining) & (F.col("_cum") >= remaining))
-               .select("_b", (F.lit(remaining) - (F.col("_cum") - F.col("_n"))).alias("_r"))
+        counts = _level_counts(hashed, level, prefix_filter)
+        if level == 0:
+            # One scan of the table; the <= 65,536-row histogram is kept in the checkpoint folder.
+            counts = materialize(counts)
+            counts = counts.withColumn("_total", F.sum("_n").over(Window.partitionBy()))
+            if remaining is None:
+                total = counts.agg(F.sum("_n")).first()[0] or 0
+                remaining = math.ceil(fraction * total - 1e-9)
+        counts = counts.withColumn("_cum", F.sum("_n").over(w))
+        if remaining is None or remaining <= 0:
+            return None, n if n is not None else df.count()
+        cut = (counts.filter((F.col("_cum") - F.col("_n") < remaining) & (F.col("_cum") >= remaining))
+               .select("_b", (F.lit(remaining) - (F.col("_cum") - F.col("_n"))).alias("_r"),
+                       *(["_total"] if level == 0 else []))
                .first())
         if cut is None:
-            return None
+            return None, n
+        if level == 0:
+            n = int(cut["_total"])
         remaining = int(cut["_r"])
-        prefix_filter = prefix_filter & (bucket == F.lit(cut["_b"]))
+        prefix_filter = prefix_filter & (F.substring("_h", 1 + level * PREFIX_HEX, PREFIX_HEX) == F.lit(cut["_b"]))
     tail = hashed.filter(prefix_filter).orderBy("_h", *key_cols).limit(remaining)
     last = tail.orderBy(*[F.col(c).desc() for c in ["_h", *key_cols]]).first()
-    return tuple(last)
+    return tuple(last), n
+
+
+def rows_at_ranks(df: DataFrame, key_cols: Sequence[str], seed: str | int, wanted: DataFrame,
+                  rank_col: str, total: int) -> DataFrame:
+    """Join ``wanted`` (one row per requested 0-based rank) to the rows holding those ranks
+    in ``(md5(seed:keys), keys)`` order.
+
+    Only hash buckets that hold a requested rank are ranked: the bucket of a
+    rank is found by an equi-join on rank cells (each bucket expanded to the
+    cells its rank interval touches, <= 2 x 65,536 rows), the source rows are
+    semi-joined to the needed buckets (a bounded broadcast), and only those
+    rows are shuffled into the per-bucket window.  For n draws that is about
+    n / 65,536 of the table instead of all of it.
+    """
+    hashed = df.withColumn("_h", hash_text(seed, *key_cols)).withColumn("_hb", F.substring("_h", 1, PREFIX_HEX))
+    totals = hashed.groupBy("_hb").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = _offsets(totals, "_hb", ["_n"]).join(totals, "_hb").select(
+        "_hb", F.col("_off__n").alias("_start"), (F.col("_off__n") + F.col("_n")).alias("_end"))
+    cell = max(1, -(-int(total) // 16 ** PREFIX_HEX))
+    cells = offsets.select("_hb", "_start", "_end", F.explode(F.sequence(
+        F.floor(F.col("_start") / cell), F.floor((F.col("_end") - 1) / cell))).alias("_cell"))
+    located = (wanted.withColumn("_cell", F.floor(F.col(rank_col) / cell))
+               .join(F.broadcast(cells), "_cell")  # <= 2 x 65,536 rows
+               .filter((F.col(rank_col) >= F.col("_start")) & (F.col(rank_col) < F.col("_end")))
+               .drop("_cell", "_end"))
+    needed = located.select("_hb", "_start").distinct()  # <= 65,536 rows
+    w = Window.partitionBy("_hb").orderBy("_h", *key_cols)
+    ranked = (hashed.join(F.broadcast(needed), "_hb")
+              .withColumn(rank_col, F.col("_start") + F.row_number().over(w) - F.lit(1))
+              .drop("_h", "_hb", "_start"))
+    return located.drop("_hb", "_start").join(ranked, rank_col)
 
 
 def tuple_leq(cols: Sequence[str | object], bound: Sequence[object]):
