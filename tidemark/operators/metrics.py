@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans.ordered import running_totals
+from tidemark.session import materialize
 
 
 def _c(c: str | Column) -> Column:
@@ -76,7 +77,7 @@ def curve_areas(df: DataFrame, label: str, score: str, buckets: int = 64) -> Dat
     ROC AUC = sum(neg_i * (TP_i - pos_i / 2)) / (P * N),
     AP      = sum(pos_i / P * TP_i / (TP_i + FP_i)).
     """
-    table = score_table(df, label, score)
+    table = materialize(score_table(df, label, score))  # one scan of the scored rows
     cum = running_totals(table, "score", ["pos", "neg"], descending=True, buckets=buckets)
     terms = cum.select(
         (F.col("neg") * (F.col("cum_pos") - F.col("pos") / F.lit(2.0))).alias("_roc"),

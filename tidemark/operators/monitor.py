@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.ordered import exact_quantile
+from tidemark.plans.ordered import exact_quantile_hist
+from tidemark.session import materialize
 
 GRANULARITY = "30 minutes"
 KEYS = ["window_start", "window_end", "model"]
@@ -24,6 +25,22 @@ def with_window(df: DataFrame, ts: str, model: str, granularity: str = GRANULARI
     return df.withColumns({"window_start": w.start, "window_end": w.end, "model": F.col(model)})
 
 
+def histogram_moments(hist: DataFrame, keys: Sequence[str], value: str, count: str) -> DataFrame:
+    """n, mean and sample std per group from a (group, value, count) histogram.
+
+    Two passes over the histogram (mean first, then squared deviations), which
+    is numerically stable; groups with one row get a null std, as
+    ``stddev_samp`` does.
+    """
+    first = hist.groupBy(*keys).agg(F.sum(count).alias("n"),
+                                    (F.sum(F.col(value) * F.col(count)) / F.sum(count)).alias("mean"))
+    dev = hist.join(first, list(keys)).groupBy(*keys).agg(
+        F.sum(F.col(count) * F.pow(F.col(value) - F.col("mean"), 2)).alias("_ss"),
+        F.first("n").alias("n"), F.first("mean").alias("mean"))
+    return dev.select(*keys, "n", "mean",
+                      F.when(F.col("n") > 1, F.sqrt(F.col("_ss") / (F.col("n") - 1))).alias("std"))
+
+
 def monitor_profile(df: DataFrame, ts: str, model: str, numeric_cols: Sequence[str],
                     granularity: str = GRANULARITY, digits: int = 6) -> DataFrame:
     """Per window, model and numeric column: rows, nulls, distinct values, mean,
@@ -33,18 +50,19 @@ def monitor_profile(df: DataFrame, ts: str, model: str, numeric_cols: Sequence[s
     parts = ", ".join(f"'{c}', cast(`{c}` as double)" for c in numeric_cols)
     long = base.selectExpr(*KEYS, f"stack({len(numeric_cols)}, {parts}) as (column_name, v)")
     keys = KEYS + ["column_name"]
-    basic = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("v").isNull()).alias("n_null"),
-        F.round(F.avg("v"), digits).alias("mean"),
-        F.round(F.stddev_samp("v"), digits).alias("std"),
-        F.min("v").alias("min_value"),
-        F.max("v").alias("max_value"),
-    )
-    med = exact_quantile(long, keys, "v", 0.5, out_col="median", distinct_col="n_distinct")
-    out = basic.join(med, keys, "left")
+    # One scan: per-(group, value) counts, null as its own value; everything below reads the checkpoint.
+    hist = materialize(long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c")))
+    sizes = hist.groupBy(*keys).agg(
+        F.sum("c").alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("c"))), F.lit(0)).alias("n_null"),
+        F.min("v").alias("min_value"), F.max("v").alias("max_value"))
+    valued = hist.filter(F.col("v").isNotNull())
+    moments = histogram_moments(valued, keys, "v", "c").drop("n")
+    med = exact_quantile_hist(valued, keys, "v", "c", 0.5, out_col="median", distinct_col="n_distinct")
+    out = sizes.join(moments, keys, "left").join(med, keys, "left")
     return out.select(*keys, "n_rows", "n_null", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
-                      "mean", "std", "min_value", "max_value", F.round("median", digits).alias("median"))
+                      F.round("mean", digits).alias("mean"), F.round("std", digits).alias("std"),
+                      "min_value", "max_value", F.round("median", digits).alias("median"))
 
 
 def monitor_prediction_mix(df: DataFrame, ts: str, model: str, prediction: str,
@@ -74,7 +92,8 @@ def monitor_drift_categorical(df: DataFrame, ts: str, model: str, col: str,
     and gets null metrics.
     """
     base = with_window(df, ts, model, granularity).withColumn("category", F.col(col).cast("string"))
-    counts = base.groupBy("model", "window_start", "category").agg(F.count(F.lit(1)).alias("n"))
+    # One scan of the monitoring rows; every later step reads this small checkpointed table.
+    counts = materialize(base.groupBy("model", "window_start", "category").agg(F.count(F.lit(1)).alias("n")))
     totals = counts.groupBy("model", "window_start").agg(F.sum("n").alias("total"))
     shares = counts.join(totals, ["model", "window_start"]).withColumn("share", F.col("n") / F.col("total"))
     chain = _window_chain(counts)
@@ -117,10 +136,11 @@ def monitor_drift_numeric(df: DataFrame, ts: str, model: str, col: str,
     """
     base = with_window(df, ts, model, granularity).withColumn("v", F.col(col).cast("double")).filter(
         F.col("v").isNotNull())
-    stats = base.groupBy("model", "window_start").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"))
+    # One scan of the monitoring rows into a per-value histogram (repeated values collapse);
+    # window statistics and the KS curves are both derived from it.
+    hist = materialize(base.groupBy("model", "window_start", "v").agg(F.count(F.lit(1)).alias("c")))
+    stats = histogram_moments(hist, ["model", "window_start"], "v", "c")
     chain = _window_chain(stats)
-    hist = base.groupBy("model", "window_start", "v").agg(F.count(F.lit(1)).alias("c"))
     nxt = chain.filter(F.col("prev_start").isNotNull())
     cur_side = hist.join(nxt.select("model", "window_start"), ["model", "window_start"]).select(
         "model", "window_start", "v", F.col("c").alias("c_cur"), F.lit(0).cast("long").alias("c_prev"))

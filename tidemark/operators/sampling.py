@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import hash_text, md5_uniform
-from tidemark.plans.ordered import hash_cut, rows_at_ranks, tuple_leq
+from tidemark.plans.ordered import hash_bucket_totals, hash_cut, rows_at_ranks, tuple_leq
 
 
 def stable_split(df: DataFrame, key_cols: Sequence[str], seed: int = 42, test_fraction: float = 0.2,
@@ -49,8 +49,8 @@ def bootstrap_sample(spark: SparkSession, df: DataFrame, key_cols: Sequence[str]
     order.  Only the hash buckets hit by a draw are ranked
     (``rows_at_ranks``), so sampling 1,000 rows does not shuffle the table.
     """
-    total = df.count()
+    totals, total = hash_bucket_totals(df, key_cols, seed)
     draws = spark.range(n).select(
         F.col("id").alias(draw_col),
         F.floor(md5_uniform(f"{seed}:draw", F.col("id")) * F.lit(total)).cast("long").alias("_idx"))
-    return rows_at_ranks(df, key_cols, seed, draws, "_idx", total).drop("_idx")
+    return rows_at_ranks(df, key_cols, seed, draws, "_idx", totals, total).drop("_idx")

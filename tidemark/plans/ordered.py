@@ -122,8 +122,15 @@ def hash_cut(df: DataFrame, key_cols: Sequence[str], seed: str | int, k: int | N
     return tuple(last), n
 
 
+def hash_bucket_totals(df: DataFrame, key_cols: Sequence[str], seed: str | int) -> tuple[DataFrame, int]:
+    """Rows per hash-prefix bucket (<= 65,536 rows, checkpointed) and the table's row count."""
+    bucket = F.substring(hash_text(seed, *key_cols), 1, PREFIX_HEX)
+    totals = materialize(df.groupBy(bucket.alias("_hb")).agg(F.count(F.lit(1)).alias("_n")))
+    return totals, int(totals.agg(F.sum("_n")).first()[0] or 0)
+
+
 def rows_at_ranks(df: DataFrame, key_cols: Sequence[str], seed: str | int, wanted: DataFrame,
-                  rank_col: str, total: int) -> DataFrame:
+                  rank_col: str, totals: DataFrame, total: int) -> DataFrame:
     """Join ``wanted`` (one row per requested 0-based rank) to the rows holding those ranks
     in ``(md5(seed:keys), keys)`` order.
 
@@ -132,10 +139,10 @@ def rows_at_ranks(df: DataFrame, key_cols: Sequence[str], seed: str | int, wante
     cells its rank interval touches, <= 2 x 65,536 rows), the source rows are
     semi-joined to the needed buckets (a bounded broadcast), and only those
     rows are shuffled into the per-bucket window.  For n draws that is about
-    n / 65,536 of the table instead of all of it.
+    n / 65,536 of the table instead of all of it.  ``totals`` comes from
+    ``hash_bucket_totals``.
     """
     hashed = df.withColumn("_h", hash_text(seed, *key_cols)).withColumn("_hb", F.substring("_h", 1, PREFIX_HEX))
-    totals = hashed.groupBy("_hb").agg(F.count(F.lit(1)).alias("_n"))
     offsets = _offsets(totals, "_hb", ["_n"]).join(totals, "_hb").select(
         "_hb", F.col("_off__n").alias("_start"), (F.col("_off__n") + F.col("_n")).alias("_end"))
     cell = max(1, -(-int(total) // 16 ** PREFIX_HEX))
@@ -165,7 +172,7 @@ def tuple_leq(cols: Sequence[str | object], bound: Sequence[object]):
 
 def exact_quantile(df: DataFrame, group_cols: Sequence[str], value_col: str, q: float,
                    out_col: str = "quantile", distinct_col: str | None = None) -> DataFrame:
-    """Exact ``quantile_cont`` per group from a per-value histogram.
+    """Exact ``quantile_cont`` per group, via a per-value histogram.
 
     Counting rows per (group, value) is a partial aggregate, so a hot group of
     repeated values collapses before the shuffle; the ordered window then runs
@@ -174,18 +181,24 @@ def exact_quantile(df: DataFrame, group_cols: Sequence[str], value_col: str, q:
     """
     hist = (df.filter(F.col(value_col).isNotNull())
             .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_c")))
+    return exact_quantile_hist(hist, group_cols, value_col, "_c", q, out_col, distinct_col)
+
+
+def exact_quantile_hist(hist: DataFrame, group_cols: Sequence[str], value_col: str, count_col: str, q: float,
+                        out_col: str = "quantile", distinct_col: str | None = None) -> DataFrame:
+    """``quantile_cont`` from a (group, value, count) histogram of non-null values."""
     w_run = Window.partitionBy(*group_cols).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
     w_all = Window.partitionBy(*group_cols)
-    hist = (hist.withColumn("_cum", F.sum("_c").over(w_run))
-            .withColumn("_n", F.sum("_c").over(w_all))
-            .withColumn("_pos", F.lit(float(q)) * (F.col("_n") - 1))
-            .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos")))
-    at = lambda idx: F.max(F.when((F.col("_cum") - F.col("_c") <= F.col(idx)) & (F.col(idx) < F.col("_cum")),
+    h = (hist.withColumn("_cum", F.sum(count_col).over(w_run))
+         .withColumn("_n", F.sum(count_col).over(w_all))
+         .withColumn("_pos", F.lit(float(q)) * (F.col("_n") - 1))
+         .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos")))
+    at = lambda idx: F.max(F.when((F.col("_cum") - F.col(count_col) <= F.col(idx)) & (F.col(idx) < F.col("_cum")),
                                   F.col(value_col)))
     aggs = [at("_lo").alias("_vlo"), at("_hi").alias("_vhi"), F.max("_pos").alias("_p"),
             F.max("_lo").alias("_l")]
     if distinct_col:
         aggs.append(F.count(F.lit(1)).alias(distinct_col))
-    out = hist.groupBy(*group_cols).agg(*aggs)
+    out = h.groupBy(*group_cols).agg(*aggs)
     out = out.withColumn(out_col, F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_p") - F.col("_l")))
     return out.drop("_vlo", "_vhi", "_p", "_l")
