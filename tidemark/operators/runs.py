@@ -13,11 +13,13 @@ def metric_steps(metrics: DataFrame, run_col: str = "run_id", key_col: str = "ke
     """Latest value per (run, metric): the value logged at the highest step.
 
     Two values logged at the same step tie; the larger one wins, so the
-    result never depends on row order.  ``max_by`` is a partial aggregate,
-    so a run with millions of steps does not gather its rows in one place.
+    result never depends on row order.  ``max`` of the (step, value) struct
+    is a partial aggregate, so a run with millions of steps does not gather
+    its rows in one place.
     """
-    return metrics.groupBy(run_col, key_col).agg(
-        F.max_by(value_col, F.struct(step_col, value_col)).alias(value_col), F.max(step_col).alias(step_col))
+    top = F.max(F.struct(F.col(step_col).alias("s"), F.col(value_col).alias("v"))).alias("_top")
+    return metrics.groupBy(run_col, key_col).agg(top).select(
+        run_col, key_col, F.col("_top.v").alias(value_col), F.col("_top.s").alias(step_col))
 
 
 def run_search(runs: DataFrame, metrics: DataFrame | None = None, status: str | None = None,

@@ -15,6 +15,7 @@ from tidemark.functions import exprs as X
 from tidemark.functions import schemas as S
 from tidemark.operators import clean, features, metrics, monitor, payload as P, profile, runs, sampling, synth
 from tidemark.plans import standins as D
+from tidemark.plans.partitioning import spread
 from tidemark.session import pin_utc, scratch_path
 from tidemark.sources import csv as csvsrc
 from tidemark.sources import monitor_sink, snapshots
@@ -116,7 +117,7 @@ def label_text(spark, sf_dir):
 
 @query
 def keyword_flag(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))  # whole texts: use every core
     return docs.select("doc_id",
                        X.keyword_flag("text", ["license"]).alias("has_license"),
                        X.keyword_flag("text", ["@"]).alias("has_at"),
@@ -209,7 +210,7 @@ def stage_counts(spark, sf_dir):
 
 @query
 def build_request(spark, sf_dir):
-    ev = _events(spark, sf_dir)
+    ev = spread(_events(spark, sf_dir))
     return ev.select(F.concat(F.lit("req-"), F.col("event_id").cast("string")).alias(S.REQUEST_ID_FIELD),
                      P.build_request([D.event_record()]).alias("request"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import schemas as S
 from tidemark.operators import payload as P
+from tidemark.plans.partitioning import spread
 from tidemark.sources.tables import table
 
 MODEL_NAME = "tidemark-model"
@@ -76,7 +77,7 @@ def events_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scoring log (D5 shape) from ``events``, with the dirty cases every parser must meet:
     unparsable and empty requests, a wrong-typed field, two-record requests, the
     text-label response shape, unparsable and empty responses."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))  # JSON work per row: use every core
     et, bucket = F.col("event_type"), F.col("user_id") % 10
     one = P.build_request([event_record()])
     two = P.build_request([event_record(), event_record(F.col("value") + F.lit(1.0),

@@ -31,13 +31,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def monitor_append(spark: SparkSession, rows: DataFrame, path: str, key_cols: Sequence[str] = KEYS,
-                   time_col: str = "timestamp", salt: int = 8) -> int:
+                   time_col: str = "timestamp") -> int:
     """Append unseen rows; returns how many were appended.
 
     The batch is persisted for the duration of the refresh (date span, anti
-    join and write read it once).  Before the write, rows are spread over
-    ``(date, hash(keys) % salt)`` so one busy day is written by ``salt``
-    tasks instead of one, and each task writes few date folders.
+    join and write read it once).  The write goes through the ``rebalance``
+    hint on the date: each task writes few date folders, and AQE splits a
+    busy day over several tasks and merges quiet ones, so files stay near
+    the advisory size whatever the skew.
     """
     batch = rows.withColumn(DATE_COL, F.to_date(F.col(time_col))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -51,9 +52,9 @@ def monitor_append(spark: SparkSession, rows: DataFrame, path: str, key_cols: Se
             fresh = batch.join(stored, [DATE_COL, *key_cols], "left_anti")
         else:
             fresh = batch
-        spread = fresh.repartition(F.col(DATE_COL), F.pmod(F.xxhash64(*key_cols), F.lit(salt)))
+        balanced = fresh.hint("rebalance", DATE_COL)
         seen = Observation("monitor_append")
-        spread.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(DATE_COL).parquet(path)
+        balanced.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(DATE_COL).parquet(path)
         return int(seen.get.get("n", 0) or 0)
     finally:
         batch.unpersist()
