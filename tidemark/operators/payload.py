@@ -125,11 +125,12 @@ def drop_null_prediction(df: DataFrame) -> DataFrame:
 def valid_or_all(df: DataFrame) -> DataFrame:
     """Rows with a prediction; if no row has one, every row is kept instead.
 
-    The branch needs one boolean: ``isEmpty`` on the filtered plan stops at
-    the first valid row found.
+    The branch is an uncorrelated ``EXISTS`` subquery (``DataFrame.exists``)
+    inside the same lazy plan: it stops at the first valid row, and nothing
+    is decided on the driver at definition time.
     """
-    valid = df.filter(F.col("prediction").isNotNull())
-    return df if valid.isEmpty() else valid
+    has_prediction = F.col("prediction").isNotNull()
+    return df.filter(has_prediction | ~df.filter(has_prediction).exists())
 
 
 def payload_to_monitor(payload: DataFrame, model_name: str | Column, align: bool = False,

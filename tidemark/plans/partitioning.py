@@ -6,6 +6,10 @@ and parsing, text matching) would run on one core.  ``spread`` round-robins
 such an input over the cluster's default parallelism.  It is a no-op when
 the input already has enough partitions, which is the normal case on a big
 table, so it never adds a shuffle there.
+
+Catalyst pushes deterministic filters through a round-robin exchange, so a
+filter whose predicate is itself expensive (a JSON parse) would still run
+before the exchange; materialise the spread result when that matters.
 """
 
 from __future__ import annotations

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import schemas as S
 from tidemark.operators import payload as P
 from tidemark.plans.partitioning import spread
+from tidemark.session import materialize
 from tidemark.sources.tables import table
 
 MODEL_NAME = "tidemark-model"
@@ -94,9 +95,12 @@ def events_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .when((et == "view") & (bucket == 4), F.lit('{"predictions":[]}'))
                 .when(et == "signup", P.build_response(F.array(p, F.lit(1) - p), rid))
                 .otherwise(P.build_response(F.array(p), rid)))
-    return ev.select(
+    log = ev.select(
         request.alias("request"), response.alias("response"), F.col("ts").alias("request_time"),
         rid.alias(S.REQUEST_ID_FIELD), F.floor(F.col("value") * 10).cast("long").alias("execution_duration_ms"))
+    # The log is a stored table in a real deployment: materialise it (built on all cores), so
+    # downstream predicates scan it instead of being pushed below the round-robin exchange.
+    return materialize(log)
 
 
 def monitor_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
