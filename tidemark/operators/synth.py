@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import md5_normal, md5_uniform
 from tidemark.operators.sampling import bootstrap_sample
 from tidemark.plans.joins import bounded
+from tidemark.session import materialize
 
 CELLS = 65536  # equi-join cells for drawing categories by cumulative share
 MAX_CATEGORIES = 1_000_000
@@ -29,7 +30,7 @@ def share_table(source: DataFrame, col: str) -> DataFrame:
     table has one row per category and is checked against ``MAX_CATEGORIES``
     before it is ordered and broadcast.
     """
-    counts = source.groupBy(F.col(col).alias("category")).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(source.groupBy(F.col(col).alias("category")).agg(F.count(F.lit(1)).alias("n")))
     if not bounded(counts, MAX_CATEGORIES):
         raise ValueError(f"{col} has more than {MAX_CATEGORIES} categories; not a categorical column")
     w = Window.orderBy(F.col("category").asc_nulls_first())
@@ -145,6 +146,19 @@ def inject_drift(spark: SparkSession, df: DataFrame, scale_cols: Sequence[str],
     return out
 
 
+def column_profile(source: DataFrame, numeric: Sequence[str] = (), timestamps: Sequence[str] = ()
+                   ) -> tuple[dict[str, tuple], dict[str, tuple]]:
+    """Mean/std of numeric columns and min/max (epoch micros) of timestamp columns, in one aggregate."""
+    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    aggs = [e for c in numeric for e in (F.avg(c).alias(f"{c}__m"), F.stddev_samp(c).alias(f"{c}__s"))]
+    aggs += [e for c in timestamps for e in (F.min(us(c)).alias(f"{c}__lo"), F.max(us(c)).alias(f"{c}__hi"))]
+    if not aggs:
+        return {}, {}
+    row = source.agg(*aggs).first()
+    return ({c: (row[f"{c}__m"], row[f"{c}__s"]) for c in numeric},
+            {c: (row[f"{c}__lo"], row[f"{c}__hi"]) for c in timestamps})
+
+
 def synth_table(spark: SparkSession, source: DataFrame, n: int, numeric: Sequence[str] = (),
                 floored: Sequence[str] = (), categorical: Sequence[str] = (), timestamps: Sequence[str] = (),
                 bootstrap: Sequence[str] = (), key_cols: Sequence[str] = (), base_id: int = 0,
@@ -153,8 +167,7 @@ def synth_table(spark: SparkSession, source: DataFrame, n: int, numeric: Sequenc
                 floor: float = 0.1) -> DataFrame:
     """A whole synthetic table: numerics, categoricals, timestamps and
     bootstrapped columns, plus string ids, optionally with drift injected."""
-    nums = numeric_params(source, list(numeric)) if numeric else {}
-    tss = timestamp_params(source, list(timestamps)) if timestamps else {}
+    nums, tss = column_profile(source, list(numeric), list(timestamps))
     scale = set(drift_scale) if drift else set()
     out = _rows(spark, n).withColumns({
         **{c: numeric_draw(*nums[c], seed, c, floor if c in floored else None,
