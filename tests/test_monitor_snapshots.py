@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import monitor, payload as P
 from tidemark.plans import standins as D
 from tidemark.plans.ordered import exact_quantile
-from tidemark.plans.queries import QUERIES
+from tidemark.plans.registry import all_queries
+
+QUERIES = all_queries()
 from tidemark.session import scratch_path
 from tidemark.sources import monitor_sink, snapshots
 
@@ -74,3 +76,25 @@ def test_stream_matches_batch_on_closed_windows(spark, sf_small):
                          ["window_start", "model"])
     assert joined.count() == stream.count() > 0
     assert joined.filter((F.col("n_rows") != F.col("b_n")) | (F.abs(F.col("mean") - F.col("b_mean")) > 1e-9)).count() == 0
+
+
+def test_refresh_monitor_counts_and_guard(spark, sf_small):
+    payload = D.events_payload(spark, sf_small)
+    path = scratch_path(spark, "refresh_test")
+    first = monitor_sink.refresh_monitor(spark, payload, path, D.MODEL_NAME)
+    assert first["n_read"] == payload.count()
+    assert first["n_appended"] == spark.read.parquet(path).count() > 0
+    assert first["n_exploded"] >= first["n_appended"]
+    again = monitor_sink.refresh_monitor(spark, payload, path, D.MODEL_NAME)
+    assert again["n_appended"] == 0
+    assert monitor_sink.refresh_monitor(spark, payload.limit(0), path, D.MODEL_NAME) is None
+
+
+def test_categorical_profile_top_value(spark):
+    rows = spark.createDataFrame(
+        [("2024-01-01 00:01:00", "m", "a"), ("2024-01-01 00:02:00", "m", "b"), ("2024-01-01 00:03:00", "m", "b"),
+         ("2024-01-01 00:04:00", "m", None)], "ts string, model string, seg string"
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    r = monitor.monitor_profile_categorical(rows, "ts", "model", ["seg"]).first()
+    assert (r["n_rows"], r["n_null"], r["n_distinct"], r["top_value"], r["top_count"]) == (4, 1, 2, "b", 2)
+    assert abs(r["top_share"] - 2 / 3) < 1e-6

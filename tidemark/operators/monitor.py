@@ -65,6 +65,31 @@ def monitor_profile(df: DataFrame, ts: str, model: str, numeric_cols: Sequence[s
                       "min_value", "max_value", F.round("median", digits).alias("median"))
 
 
+def monitor_profile_categorical(df: DataFrame, ts: str, model: str, cat_cols: Sequence[str],
+                                granularity: str = GRANULARITY, digits: int = 6) -> DataFrame:
+    """Per window, model and categorical column: rows, nulls, distinct values and the
+    most frequent value with its share of the non-null rows (ties: the larger value).
+
+    One scan into per-(group, value) counts (checkpointed); the top value is
+    ``max`` of the (count, value) struct - a partial aggregate, no sort.
+    """
+    base = with_window(df, ts, model, granularity)
+    parts = ", ".join(f"'{c}', cast(`{c}` as string)" for c in cat_cols)
+    long = base.selectExpr(*KEYS, f"stack({len(cat_cols)}, {parts}) as (column_name, v)")
+    keys = KEYS + ["column_name"]
+    counts = materialize(long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c")))
+    top = F.max(F.when(F.col("v").isNotNull(), F.struct(F.col("c").alias("c"), F.col("v").alias("v"))))
+    out = counts.groupBy(*keys).agg(
+        F.sum("c").alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("c"))), F.lit(0)).alias("n_null"),
+        F.count("v").alias("n_distinct"),
+        top.alias("_top"))
+    return out.select(*keys, "n_rows", "n_null", "n_distinct", F.col("_top.v").alias("top_value"),
+                      F.col("_top.c").alias("top_count"),
+                      F.round(F.try_divide(F.col("_top.c"), F.col("n_rows") - F.col("n_null")), digits)
+                      .alias("top_share"))
+
+
 def monitor_prediction_mix(df: DataFrame, ts: str, model: str, prediction: str,
                            granularity: str = GRANULARITY) -> DataFrame:
     """Class mix of predictions per window and model, with the share inside the window."""

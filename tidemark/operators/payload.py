@@ -140,18 +140,19 @@ def payload_to_monitor(payload: DataFrame, model_name: str | Column, align: bool
 
     ``align=False`` reproduces the reference (prediction 0 for every record);
     ``align=True`` pairs record i with prediction i.  An ``Observation``
-    collects the stage counts in the same pass as the write.
+    counts the final rows (and those with a prediction) in the consumer's
+    own pass; it sits above the ``EXISTS`` subquery of ``valid_or_all``,
+    whose early stop must not feed it.
     """
     parsed = parse_response(parse_request(payload))
-    if observation is not None:
-        parsed = parsed.observe(observation,
-                                F.count(F.lit(1)).alias("n_read"),
-                                F.sum(F.coalesce(F.array_size(F.col("parsed_request")[S.RECORDS_FIELD]), F.lit(0)))
-                                .alias("n_exploded"))
     rows = explode_records(parsed)
     rows = align_predictions(rows) if align else first_prediction(rows)
     flat = flatten_record(rows, model_name)
-    return valid_or_all(flat) if keep_all_if_no_prediction else drop_null_prediction(flat)
+    out = valid_or_all(flat) if keep_all_if_no_prediction else drop_null_prediction(flat)
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("n_rows"),
+                          F.count("prediction").alias("n_with_prediction"))
+    return out
 
 
 def stage_counts(payload: DataFrame) -> DataFrame:

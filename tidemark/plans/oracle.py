@@ -406,6 +406,19 @@ ORACLE_SQL: dict[str, str] = {
                round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, min(v) AS min_value, max(v) AS max_value,
                round(quantile_cont(v, 0.5), 6) AS median
         FROM lng GROUP BY window_start, model, column_name""",
+    "monitor_profile_categorical": f"""WITH {MONITOR_BASE.strip()},
+        lng AS (SELECT window_start, model, 'segment' AS column_name, category AS v FROM mbase
+                UNION ALL SELECT window_start, model, 'prediction', prediction::VARCHAR FROM mbase),
+        c AS (SELECT window_start, model, column_name, v, count(*) AS c FROM lng GROUP BY ALL),
+        top AS (SELECT window_start, model, column_name, v AS top_value, c AS top_count FROM (
+                  SELECT *, row_number() OVER (PARTITION BY window_start, model, column_name ORDER BY c DESC, v DESC) AS rn
+                  FROM c WHERE v IS NOT NULL) WHERE rn = 1),
+        g AS (SELECT window_start, model, column_name, sum(c) AS n_rows,
+                     coalesce(sum(c) FILTER (WHERE v IS NULL), 0) AS n_null, count(v) AS n_distinct FROM c GROUP BY ALL)
+        SELECT g.window_start, g.window_start + INTERVAL '30 minutes' AS window_end, g.model, g.column_name,
+               n_rows, n_null, n_distinct, top_value, top_count,
+               round(top_count / nullif(n_rows - n_null, 0), 6) AS top_share
+        FROM g LEFT JOIN top USING (window_start, model, column_name)""",
     "monitor_prediction_mix": f"""WITH {MONITOR_BASE.strip()},
         c AS (SELECT window_start, model, prediction, count(*) AS n FROM mbase GROUP BY ALL)
         SELECT window_start, window_start + INTERVAL '30 minutes' AS window_end, model, prediction, n,
@@ -478,10 +491,11 @@ ORACLE_SQL: dict[str, str] = {
         ms AS (SELECT *, max(step) OVER (PARTITION BY run_id, key) AS top FROM m),
         latest AS (SELECT run_id, key, max(value) FILTER (WHERE step = top) AS value FROM ms GROUP BY ALL),
         runs AS (SELECT o_orderkey AS run_id, CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'RUNNING'
-                        ELSE 'FAILED' END AS status, o_orderdate AS start_time, o_orderpriority AS run_name FROM orders)
+                        ELSE 'FAILED' END AS status, o_orderdate AS start_time, o_orderpriority AS run_name,
+                        CASE WHEN o_custkey % 2 = 0 THEN 'even' ELSE 'odd' END AS segment FROM orders)
         SELECT run_id, run_name, start_time, status FROM runs
         WHERE status = 'FINISHED' AND start_time > TIMESTAMP '1995-01-01 00:00:00' AND run_name LIKE '%URGENT%'
-          AND run_id IN (SELECT run_id FROM latest WHERE key = 'quantity' AND value > 25.0)""",
+          AND segment = 'even' AND run_id IN (SELECT run_id FROM latest WHERE key = 'quantity' AND value > 25.0)""",
     "latest_per_model": """SELECT p_brand, max(p_partkey) AS latest_version, arg_max(p_name, p_partkey) AS p_name,
                            arg_max(p_retailprice, p_partkey) AS p_retailprice FROM part GROUP BY p_brand""",
     "metric_steps": f"""WITH {METRIC_ROWS.strip()}

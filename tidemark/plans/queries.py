@@ -302,6 +302,12 @@ def monitor_profile(spark, sf_dir):
     return monitor.monitor_profile(rows, "ts", "model_name", ["value", "prediction"])
 
 
+@query
+def monitor_profile_categorical(spark, sf_dir):
+    rows = D.monitor_rows(spark, sf_dir)
+    return monitor.monitor_profile_categorical(rows, "ts", "model_name", ["segment", "prediction"])
+
+
 @query
 def monitor_prediction_mix(spark, sf_dir):
     return monitor.monitor_prediction_mix(D.monitor_rows(spark, sf_dir), "ts", "model_name", "prediction")
@@ -442,7 +448,8 @@ def change_feed(spark, sf_dir):
 def run_search(spark, sf_dir):
     found = runs.run_search(D.runs_table(spark, sf_dir), D.metric_rows(spark, sf_dir), status="FINISHED",
                             started_after=F.lit("1995-01-01 00:00:00").cast("timestamp_ntz"),
-                            name_like="%URGENT%", metric_key="quantity", metric_min=25.0)
+                            name_like="%URGENT%", metric_key="quantity", metric_min=25.0,
+                            tag=("segment", "even"))
     return found.select("run_id", "run_name", "start_time", "status")
 
 

@@ -62,16 +62,16 @@ def monitor_append(spark: SparkSession, rows: DataFrame, path: str, key_cols: Se
 
 def refresh_monitor(spark: SparkSession, payload: DataFrame, path: str, model_name: str,
                     align: bool = False) -> dict[str, int] | None:
-    """Payload log -> monitoring table, the whole refresh in one pass over the log.
+    """Payload log -> monitoring table: the reference's whole refresh, made idempotent.
 
-    Returns the stage counts (rows read, records exploded, rows appended), or
-    None when the payload is empty (nothing to refresh).
+    Returns the stage counts (rows read, records exploded, records with a
+    prediction, rows kept - one aggregate pass, ``payload.stage_counts``) and
+    the rows appended (counted by ``observe`` in the write itself), or None
+    when the payload is empty.
     """
     if payload.isEmpty():
         return None
-    stages = Observation("monitor_refresh")
-    rows = P.payload_to_monitor(payload, model_name, align=align, observation=stages)
-    appended = monitor_append(spark, rows, path)
-    counts = dict(stages.get) if stages.get else {}
-    counts["n_appended"] = appended
-    return counts
+    counts = P.stage_counts(payload).first().asDict()
+    rows = P.payload_to_monitor(payload, model_name, align=align)
+    counts["n_appended"] = monitor_append(spark, rows, path)
+    return {k: int(v or 0) for k, v in counts.items()}
