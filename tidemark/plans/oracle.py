@@ -517,6 +517,15 @@ ORACLE_SQL: dict[str, str] = {
     "synth_table": f"WITH {_synth_events(False).strip()} SELECT * FROM synth",
     "inject_drift": f"WITH {_synth_events(True).strip()} SELECT * FROM synth",
     "drift_demo": DRIFT_DEMO,
+    # ---------------------------------------------------------------- features
+    "feature_vector": f"""WITH {SCORED_DOCS.strip()},
+        ranked AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || doc_id::VARCHAR), doc_id) AS rn,
+                          count(*) OVER () AS n FROM scored JOIN (SELECT doc_id, lang, source FROM documents) USING (doc_id)),
+        train AS (SELECT * FROM ranked WHERE rn > ceil(0.2 * n)),
+        cl AS (SELECT category, dense_rank() OVER (ORDER BY category) - 1 AS code FROM (SELECT DISTINCT lang AS category FROM train)),
+        cs AS (SELECT category, dense_rank() OVER (ORDER BY category) - 1 AS code FROM (SELECT DISTINCT source AS category FROM train))
+        SELECT t.doc_id, [coalesce(cl.code, -1)::DOUBLE, coalesce(cs.code, -1)::DOUBLE, t.n_chars::DOUBLE] AS features
+        FROM train t LEFT JOIN cl ON cl.category = t.lang LEFT JOIN cs ON cs.category = t.source""",
     # ---------------------------------------------------------------- streaming
     "stream_ingest": f"WITH {PAYLOAD_RECORDS.strip()} SELECT * FROM monitor WHERE prediction IS NOT NULL",
     "stream_window_profile": f"""WITH w AS (
