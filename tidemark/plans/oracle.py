@@ -413,8 +413,8 @@ ORACLE_SQL: dict[str, str] = {
         top AS (SELECT window_start, model, column_name, v AS top_value, c AS top_count FROM (
                   SELECT *, row_number() OVER (PARTITION BY window_start, model, column_name ORDER BY c DESC, v DESC) AS rn
                   FROM c WHERE v IS NOT NULL) WHERE rn = 1),
-        g AS (SELECT window_start, model, column_name, sum(c) AS n_rows,
-                     coalesce(sum(c) FILTER (WHERE v IS NULL), 0) AS n_null, count(v) AS n_distinct FROM c GROUP BY ALL)
+        g AS (SELECT window_start, model, column_name, sum(c)::BIGINT AS n_rows,
+                     coalesce(sum(c) FILTER (WHERE v IS NULL), 0)::BIGINT AS n_null, count(v) AS n_distinct FROM c GROUP BY ALL)
         SELECT g.window_start, g.window_start + INTERVAL '30 minutes' AS window_end, g.model, g.column_name,
                n_rows, n_null, n_distinct, top_value, top_count,
                round(top_count / nullif(n_rows - n_null, 0), 6) AS top_share
