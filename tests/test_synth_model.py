@@ -50,3 +50,18 @@ def test_train_score_and_ab(spark, sf_small):
     again = {r["doc_id"]: r["arm"] for r in Mo.ab_route(docs, "doc_id").collect()}
     assert all(routed[k] == f"Model {again[k]}" for k in routed)
     assert Mo.ab_summary(ab, "y").count() == 2
+
+
+def test_generate_synthetic_data_like_reference(spark, sf_small):
+    from tidemark.operators.clean import clean_table
+    cleaned = clean_table(D.raw_characters(spark, sf_small))
+    for drift in (False, True):
+        out = synth.generate_test_data(spark, cleaned, drift=drift, categorical=["Alive"], base_id=1000)
+        assert out.count() == synth.TEST_ROWS
+        assert set(out.columns) == set(cleaned.columns)
+        assert out.filter((F.col("Height") < 0.1) | (F.col("Weight") < 0.1)).count() == 0
+        assert {r["Alive"] for r in out.select("Alive").distinct().collect()} <= {0, 1}
+        ids = [r["Id"] for r in out.select("Id").collect()]
+        assert sorted(ids) == sorted(str(1000 + i) for i in range(synth.TEST_ROWS))
+    genders = {r["Gender"] for r in out.select("Gender").distinct().collect()}
+    assert genders <= {"Male", "Female"}

@@ -184,3 +184,56 @@ def synth_table(spark: SparkSession, source: DataFrame, n: int, numeric: Sequenc
         rest = [c for c in drift_scale if c not in numeric]
         out = inject_drift(spark, out, rest, 1.5, drift_col, drift_weights, seed)
     return out
+
+
+# ---------------------------------------------------------------------------
+# The reference pipeline's synthesis defaults.
+# ---------------------------------------------------------------------------
+DEFAULT_ROWS = 500
+TEST_ROWS = 100
+PHYSICAL_COLS = ("Height", "Weight")
+PHYSICAL_FLOOR = 0.1
+DRIFT_FACTOR = 1.5
+DRIFT_GENDER_COL = "Gender"
+DRIFT_GENDER_WEIGHTS = {"Male": 0.7, "Female": 0.3}
+# ---------------------------------------------------------------------------
+
+
+def generate_synthetic_data(spark: SparkSession, df: DataFrame, drift: bool = False, num_rows: int = DEFAULT_ROWS,
+                            base_id: int | None = None, seed: int = 42, categorical: Sequence[str] = (),
+                            key_cols: Sequence[str] = ("Id",)) -> DataFrame:
+    """Synthetic rows shaped like ``df`` (the cleaned table), optionally with drift.
+
+    Column roles follow the column types, as the reference does: numeric ->
+    normal draws (physical attributes floored at 0.1), string -> categorical
+    shares, timestamp -> uniform, anything else -> bootstrap of existing
+    values.  Columns listed in ``categorical`` (e.g. a 0/1 target) are drawn
+    by share instead of as normals.  ``Id`` is not modelled: new string ids
+    are ``base_id + row`` (``base_id`` defaults to the current time in ms).
+    """
+    import time
+    from pyspark.sql.types import NumericType, StringType, TimestampNTZType, TimestampType
+    numeric, cats, stamps, other = [], [], [], []
+    for f in df.schema.fields:
+        if f.name in key_cols:
+            continue
+        if f.name in categorical or isinstance(f.dataType, StringType):
+            cats.append(f.name)
+        elif isinstance(f.dataType, NumericType):
+            numeric.append(f.name)
+        elif isinstance(f.dataType, (TimestampType, TimestampNTZType)):
+            stamps.append(f.name)
+        else:
+            other.append(f.name)
+    base = int(time.time() * 1000) if base_id is None else int(base_id)
+    out = synth_table(spark, df, num_rows, numeric=numeric, floored=[c for c in PHYSICAL_COLS if c in numeric],
+                      categorical=cats, timestamps=stamps, bootstrap=other, key_cols=list(key_cols), base_id=base,
+                      seed=seed, drift=drift, drift_scale=[c for c in PHYSICAL_COLS if c in df.columns],
+                      drift_col=DRIFT_GENDER_COL if DRIFT_GENDER_COL in df.columns else None,
+                      drift_weights=DRIFT_GENDER_WEIGHTS, floor=PHYSICAL_FLOOR)
+    return out.select(*[c for c in df.columns if c in out.columns])
+
+
+def generate_test_data(spark: SparkSession, df: DataFrame, drift: bool = False, num_rows: int = TEST_ROWS,
+                       **kwargs) -> DataFrame:
+    return generate_synthetic_data(spark, df, drift, num_rows, **kwargs)

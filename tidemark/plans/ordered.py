@@ -42,9 +42,12 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], desce
     key = "_rt_key"
     base = df.withColumn(key, (-F.col(order_col) if descending else F.col(order_col)).cast("double"))
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(v for v in base.approxQuantile(key, probs, 0.001) if v is not None))
-    splits = [float("-inf")] + cuts + [float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol=key, outputCol="_rt_bucket").transform(base)
+    cuts = sorted(set(v for v in base.approxQuantile(key, probs, 0.001) if v is not None)) if probs else []
+    if cuts:
+        splits = [float("-inf")] + cuts + [float("inf")]
+        bucketed = Bucketizer(splits=splits, inputCol=key, outputCol="_rt_bucket").transform(base)
+    else:
+        bucketed = base.withColumn("_rt_bucket", F.lit(0.0))
     totals = bucketed.groupBy("_rt_bucket").agg(*[F.sum(c).alias(c) for c in sum_cols])
     offsets = _offsets(totals, "_rt_bucket", sum_cols)
     within = Window.partitionBy("_rt_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
