@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import math
+import os
 
 import duckdb
 import pytest
@@ -12,7 +13,7 @@ import pytest
 import __spark_entry__ as E
 from tidemark.sources.tables import TABLES
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("TIDEMARK_ORACLE_SF", "/root/testdata/sf0.001")  # set to sf0.01 for the driver's scale
 
 
 def _norm(v):

@@ -44,7 +44,7 @@ def _prepare(df: DataFrame, codes: DataFrame, cat_cols: Sequence[str], num_cols:
     return coded.withColumns({f"{c}__num": F.col(c).cast("double") for c in num_cols})
 
 
-def build_pipeline(cat_cols: Sequence[str], num_cols: Sequence[str], label: str, params: dict,
+def build_estimator(cat_cols: Sequence[str], num_cols: Sequence[str], label: str, params: dict,
                    seed: int = 42) -> Pipeline:
     num_in = [f"{c}__num" for c in num_cols]
     num_out = [f"{c}__imp" for c in num_cols]
@@ -63,7 +63,7 @@ def train_classifier(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequen
                      params: dict | None = None, seed: int = 42) -> TrainedModel:
     codes = fit_category_codes(train, cat_cols)
     prepared = _with_missing_flags(_prepare(train, codes, cat_cols, num_cols), num_cols)
-    pipe = build_pipeline(cat_cols, num_cols, label, params or {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1}, seed)
+    pipe = build_estimator(cat_cols, num_cols, label, params or {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1}, seed)
     return TrainedModel(codes, pipe.fit(prepared.withColumn(label, F.col(label).cast("double"))),
                         list(cat_cols), list(num_cols))
 
@@ -116,7 +116,7 @@ def param_sweep(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[st
     codes = fit_category_codes(train, cat_cols)
     prepared = _with_missing_flags(_prepare(train, codes, cat_cols, num_cols), num_cols).withColumn(
         label, F.col(label).cast("double"))
-    pipe = build_pipeline(cat_cols, num_cols, label, {}, seed)
+    pipe = build_estimator(cat_cols, num_cols, label, {}, seed)
     gbt = pipe.getStages()[-1]
     builder = ParamGridBuilder()
     for name, values in grid.items():
