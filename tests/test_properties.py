@@ -62,3 +62,17 @@ def test_exact_split_size(spark, n, frac):
     df = spark.range(n).withColumnRenamed("id", "k")
     test = sampling.exact_split(df, ["k"], seed=5, test_fraction=frac).filter("split = 'test'").count()
     assert test == math.ceil(frac * n - 1e-9)
+
+
+def test_exact_quantile_hot_group_many_buckets(spark):
+    rng = np.random.default_rng(7)
+    hot = rng.normal(0, 1, 6000).round(3)  # one group with thousands of distinct values
+    cold = rng.integers(0, 5, 50).astype(float)
+    rows = [(0, float(v)) for v in hot] + [(1, float(v)) for v in cold]
+    df = spark.createDataFrame(rows, "g int, v double")
+    from tidemark.plans.ordered import exact_quantile_hist
+    hist = df.groupBy("g", "v").count()
+    for q in (0.1, 0.5, 0.97):
+        got = {r["g"]: r["quantile"] for r in exact_quantile_hist(hist, ["g"], "v", "count", q, buckets=7).collect()}
+        assert math.isclose(got[0], float(np.quantile(hot, q)), abs_tol=1e-9)
+        assert math.isclose(got[1], float(np.quantile(cold, q)), abs_tol=1e-9)

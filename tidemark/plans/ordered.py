@@ -188,12 +188,26 @@ def exact_quantile(df: DataFrame, group_cols: Sequence[str], value_col: str, q:
 
 
 def exact_quantile_hist(hist: DataFrame, group_cols: Sequence[str], value_col: str, count_col: str, q: float,
-                        out_col: str = "quantile", distinct_col: str | None = None) -> DataFrame:
-    """``quantile_cont`` from a (group, value, count) histogram of non-null values."""
-    w_run = Window.partitionBy(*group_cols).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy(*group_cols)
-    h = (hist.withColumn("_cum", F.sum(count_col).over(w_run))
-         .withColumn("_n", F.sum(count_col).over(w_all))
+                        out_col: str = "quantile", distinct_col: str | None = None, buckets: int = 32) -> DataFrame:
+    """``quantile_cont`` from a (group, value, count) histogram of non-null values.
+
+    A group's distinct values are split into ``buckets`` ranges at per-group
+    approximate quantiles (``percentile_approx``, a mergeable sketch), so the
+    ordered running count runs per (group, bucket): a group holding a third
+    of all values is spread over ``buckets`` tasks.  Bucket offsets come from
+    the <= ``buckets`` totals of each group, so the result stays exact.
+    """
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = hist.groupBy(*group_cols).agg(F.percentile_approx(value_col, probs, 10000).alias("_cuts"))
+    b = hist.join(cuts, list(group_cols)).withColumn(  # a hot group's rows are split by AQE skew handling
+        "_bk", F.size(F.filter(F.col("_cuts"), lambda c: c < F.col(value_col)))).drop("_cuts")
+    totals = b.groupBy(*group_cols, "_bk").agg(F.sum(count_col).alias("_bn"))
+    w_prev = Window.partitionBy(*group_cols).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (totals.withColumn("_off", F.coalesce(F.sum("_bn").over(w_prev), F.lit(0)))
+            .withColumn("_n", F.sum("_bn").over(Window.partitionBy(*group_cols))).drop("_bn"))
+    w_run = Window.partitionBy(*group_cols, "_bk").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
+    h = (b.join(offs, [*group_cols, "_bk"])
+         .withColumn("_cum", F.col("_off") + F.sum(count_col).over(w_run))
          .withColumn("_pos", F.lit(float(q)) * (F.col("_n") - 1))
          .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos")))
     at = lambda idx: F.max(F.when((F.col("_cum") - F.col(count_col) <= F.col(idx)) & (F.col(idx) < F.col("_cum")),
