@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.ordered import exact_quantile_hist
+from tidemark.plans.ordered import exact_quantile_hist, grouped_running_totals
 from tidemark.session import materialize
 
 GRANULARITY = "30 minutes"
@@ -156,8 +156,9 @@ def monitor_drift_numeric(df: DataFrame, ts: str, model: str, col: str,
     """Mean / std shift and the two-sample KS statistic against the previous filled window.
 
     KS = max |F_cur(x) - F_prev(x)| over the union of observed values, from
-    per-value counts (partial aggregate) and running sums partitioned by
-    (model, window) - the group is the window pair's distinct values.
+    per-value counts (partial aggregate) and running sums per (model, window)
+    that are split into value buckets (``grouped_running_totals``), so a busy
+    window is not ordered in one task.
     """
     base = with_window(df, ts, model, granularity).withColumn("v", F.col(col).cast("double")).filter(
         F.col("v").isNotNull())
@@ -176,12 +177,9 @@ def monitor_drift_numeric(df: DataFrame, ts: str, model: str, col: str,
                          F.lit(0).cast("long").alias("c_cur"), F.col("c").alias("c_prev")))
     merged = (cur_side.unionByName(prev_side).groupBy("model", "window_start", "v")
               .agg(F.sum("c_cur").alias("c_cur"), F.sum("c_prev").alias("c_prev")))
-    w = Window.partitionBy("model", "window_start").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    wt = Window.partitionBy("model", "window_start")
-    gaps = (merged.withColumn("cc", F.sum("c_cur").over(w)).withColumn("cp", F.sum("c_prev").over(w))
-            .withColumn("nc", F.sum("c_cur").over(wt)).withColumn("np", F.sum("c_prev").over(wt))
-            .select("model", "window_start",
-                    F.abs(F.col("cc") / F.col("nc") - F.col("cp") / F.col("np")).alias("gap")))
+    run = grouped_running_totals(merged, ["model", "window_start"], "v", ["c_cur", "c_prev"])
+    gaps = run.select("model", "window_start",
+                      F.abs(F.col("cum_c_cur") / F.col("tot_c_cur") - F.col("cum_c_prev") / F.col("tot_c_prev")).alias("gap"))
     ks = gaps.groupBy("model", "window_start").agg(F.max("gap").alias("ks"))
     prev_stats = stats.select("model", F.col("window_start").alias("prev_start"),
                               F.col("mean").alias("mean_prev"), F.col("std").alias("std_prev"))

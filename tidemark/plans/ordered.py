@@ -187,27 +187,41 @@ def exact_quantile(df: DataFrame, group_cols: Sequence[str], value_col: str, q:
     return exact_quantile_hist(hist, group_cols, value_col, "_c", q, out_col, distinct_col)
 
 
-def exact_quantile_hist(hist: DataFrame, group_cols: Sequence[str], value_col: str, count_col: str, q: float,
-                        out_col: str = "quantile", distinct_col: str | None = None, buckets: int = 32) -> DataFrame:
-    """``quantile_cont`` from a (group, value, count) histogram of non-null values.
+def grouped_running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str, sum_cols: Sequence[str],
+                           buckets: int = 32, prefix: str = "cum_", total_prefix: str = "tot_") -> DataFrame:
+    """Inclusive running sums of ``sum_cols`` in ``order_col`` order within each group,
+    plus the group totals (``tot_<col>``); ``df`` has one row per (group, order value).
 
-    A group's distinct values are split into ``buckets`` ranges at per-group
+    A group's rows are split into ``buckets`` value ranges at per-group
     approximate quantiles (``percentile_approx``, a mergeable sketch), so the
-    ordered running count runs per (group, bucket): a group holding a third
-    of all values is spread over ``buckets`` tasks.  Bucket offsets come from
-    the <= ``buckets`` totals of each group, so the result stays exact.
+    ordered window runs per (group, bucket): a group holding a third of all
+    rows is spread over ``buckets`` tasks.  Bucket offsets come from the
+    <= ``buckets`` totals of each group, so the sums stay exact.
     """
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = hist.groupBy(*group_cols).agg(F.percentile_approx(value_col, probs, 10000).alias("_cuts"))
-    b = hist.join(cuts, list(group_cols)).withColumn(  # a hot group's rows are split by AQE skew handling
-        "_bk", F.size(F.filter(F.col("_cuts"), lambda c: c < F.col(value_col)))).drop("_cuts")
-    totals = b.groupBy(*group_cols, "_bk").agg(F.sum(count_col).alias("_bn"))
+    cuts = df.groupBy(*group_cols).agg(F.percentile_approx(order_col, probs, 10000).alias("_cuts"))
+    b = df.join(cuts, list(group_cols)).withColumn(  # a hot group's rows are split by AQE skew handling
+        "_bk", F.size(F.filter(F.col("_cuts"), lambda c: c < F.col(order_col)))).drop("_cuts")
+    totals = b.groupBy(*group_cols, "_bk").agg(*[F.sum(c).alias(f"_b_{c}") for c in sum_cols])
     w_prev = Window.partitionBy(*group_cols).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = (totals.withColumn("_off", F.coalesce(F.sum("_bn").over(w_prev), F.lit(0)))
-            .withColumn("_n", F.sum("_bn").over(Window.partitionBy(*group_cols))).drop("_bn"))
-    w_run = Window.partitionBy(*group_cols, "_bk").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
-    h = (b.join(offs, [*group_cols, "_bk"])
-         .withColumn("_cum", F.col("_off") + F.sum(count_col).over(w_run))
+    w_all = Window.partitionBy(*group_cols)
+    for c in sum_cols:
+        totals = (totals.withColumn(f"_off_{c}", F.coalesce(F.sum(f"_b_{c}").over(w_prev), F.lit(0)))
+                  .withColumn(f"{total_prefix}{c}", F.sum(f"_b_{c}").over(w_all)))
+    totals = totals.drop(*[f"_b_{c}" for c in sum_cols])
+    w_run = Window.partitionBy(*group_cols, "_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    out = b.join(totals, [*group_cols, "_bk"])
+    for c in sum_cols:
+        out = out.withColumn(f"{prefix}{c}", F.col(f"_off_{c}") + F.sum(c).over(w_run))
+    return out.drop("_bk", *[f"_off_{c}" for c in sum_cols])
+
+
+def exact_quantile_hist(hist: DataFrame, group_cols: Sequence[str], value_col: str, count_col: str, q: float,
+                        out_col: str = "quantile", distinct_col: str | None = None, buckets: int = 32) -> DataFrame:
+    """``quantile_cont`` from a (group, value, count) histogram of non-null values, with the
+    running counts from ``grouped_running_totals`` (no group is ordered in one task)."""
+    h = (grouped_running_totals(hist, group_cols, value_col, [count_col], buckets, prefix="_cum_", total_prefix="_n_")
+         .withColumnRenamed(f"_cum_{count_col}", "_cum").withColumnRenamed(f"_n_{count_col}", "_n")
          .withColumn("_pos", F.lit(float(q)) * (F.col("_n") - 1))
          .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos")))
     at = lambda idx: F.max(F.when((F.col("_cum") - F.col(count_col) <= F.col(idx)) & (F.col(idx) < F.col("_cum")),
