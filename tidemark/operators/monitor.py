@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.ordered import exact_quantile_hist, grouped_running_totals
+from tidemark.plans.ordered import MAX_GROUP_ROWS, exact_quantile_hist, grouped_running_totals
 from tidemark.session import materialize
 
 GRANULARITY = "30 minutes"
@@ -177,7 +177,10 @@ def monitor_drift_numeric(df: DataFrame, ts: str, model: str, col: str,
                          F.lit(0).cast("long").alias("c_cur"), F.col("c").alias("c_prev")))
     merged = (cur_side.unionByName(prev_side).groupBy("model", "window_start", "v")
               .agg(F.sum("c_cur").alias("c_cur"), F.sum("c_prev").alias("c_prev")))
-    run = grouped_running_totals(merged, ["model", "window_start"], "v", ["c_cur", "c_prev"])
+    # A merged group holds the distinct values of two windows: bound it on the checkpointed histogram.
+    small = (hist.groupBy("model", "window_start").count()
+             .filter(F.col("count") > MAX_GROUP_ROWS // 2).isEmpty())
+    run = grouped_running_totals(merged, ["model", "window_start"], "v", ["c_cur", "c_prev"], small_groups=small)
     gaps = run.select("model", "window_start",
                       F.abs(F.col("cum_c_cur") / F.col("tot_c_cur") - F.col("cum_c_prev") / F.col("tot_c_prev")).alias("gap"))
     ks = gaps.groupBy("model", "window_start").agg(F.max("gap").alias("ks"))

@@ -187,17 +187,34 @@ def exact_quantile(df: DataFrame, group_cols: Sequence[str], value_col: str, q:
     return exact_quantile_hist(hist, group_cols, value_col, "_c", q, out_col, distinct_col)
 
 
+MAX_GROUP_ROWS = 2_000_000  # rows one task may order for a single group
+
+
 def grouped_running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str, sum_cols: Sequence[str],
-                           buckets: int = 32, prefix: str = "cum_", total_prefix: str = "tot_") -> DataFrame:
+                           buckets: int = 32, prefix: str = "cum_", total_prefix: str = "tot_",
+                           max_group_rows: int = MAX_GROUP_ROWS, small_groups: bool | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_col`` order within each group,
     plus the group totals (``tot_<col>``); ``df`` has one row per (group, order value).
 
-    A group's rows are split into ``buckets`` value ranges at per-group
-    approximate quantiles (``percentile_approx``, a mergeable sketch), so the
-    ordered window runs per (group, bucket): a group holding a third of all
-    rows is spread over ``buckets`` tasks.  Bucket offsets come from the
-    <= ``buckets`` totals of each group, so the sums stay exact.
+    If every group has at most ``max_group_rows`` rows (checked with one
+    aggregate that stops at the first larger group), each group is ordered by
+    one window task.  Otherwise a group's rows are split into ``buckets`` value
+    ranges at per-group approximate quantiles (``percentile_approx``, a
+    mergeable sketch) and the ordered window runs per (group, bucket), so a
+    group holding a third of all rows is spread over ``buckets`` tasks; bucket
+    offsets come from the <= ``buckets`` totals of each group, so the sums
+    stay exact either way.  A caller that already knows the group sizes
+    passes ``small_groups`` and skips the check.
     """
+    if small_groups is None:
+        small_groups = df.groupBy(*group_cols).count().filter(F.col("count") > max_group_rows).isEmpty()
+    if small_groups:
+        w_run = Window.partitionBy(*group_cols).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+        w_all = Window.partitionBy(*group_cols)
+        out = df
+        for c in sum_cols:
+            out = out.withColumn(f"{prefix}{c}", F.sum(c).over(w_run)).withColumn(f"{total_prefix}{c}", F.sum(c).over(w_all))
+        return out
     probs = [i / buckets for i in range(1, buckets)]
     cuts = df.groupBy(*group_cols).agg(F.percentile_approx(order_col, probs, 10000).alias("_cuts"))
     b = df.join(cuts, list(group_cols)).withColumn(  # a hot group's rows are split by AQE skew handling
@@ -217,10 +234,12 @@ def grouped_running_totals(df: DataFrame, group_cols: Sequence[str], order_col:
 
 
 def exact_quantile_hist(hist: DataFrame, group_cols: Sequence[str], value_col: str, count_col: str, q: float,
-                        out_col: str = "quantile", distinct_col: str | None = None, buckets: int = 32) -> DataFrame:
+                        out_col: str = "quantile", distinct_col: str | None = None, buckets: int = 32,
+                        max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """``quantile_cont`` from a (group, value, count) histogram of non-null values, with the
     running counts from ``grouped_running_totals`` (no group is ordered in one task)."""
-    h = (grouped_running_totals(hist, group_cols, value_col, [count_col], buckets, prefix="_cum_", total_prefix="_n_")
+    h = (grouped_running_totals(hist, group_cols, value_col, [count_col], buckets, prefix="_cum_", total_prefix="_n_",
+                                max_group_rows=max_group_rows)
          .withColumnRenamed(f"_cum_{count_col}", "_cum").withColumnRenamed(f"_n_{count_col}", "_n")
          .withColumn("_pos", F.lit(float(q)) * (F.col("_n") - 1))
          .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos")))
