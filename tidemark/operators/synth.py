@@ -9,10 +9,12 @@ shares) are single aggregates of the source table.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType, TimestampNTZType, TimestampType
 
 from tidemark.functions.exprs import md5_normal, md5_uniform
 from tidemark.operators.sampling import bootstrap_sample
@@ -87,15 +89,9 @@ def numeric_draw(mean: float | None, std: float | None, seed: int, col: str, flo
     return F.round(value, digits) if digits is not None else value
 
 
-def numeric_params(source: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
-    """Mean and sample std of each column in one aggregate (two scalars per column)."""
-    row = source.agg(*[e for c in cols for e in (F.avg(c).alias(f"{c}__m"), F.stddev_samp(c).alias(f"{c}__s"))]).first()
-    return {c: (row[f"{c}__m"], row[f"{c}__s"]) for c in cols}
-
-
 def synth_numeric(spark: SparkSession, source: DataFrame, col: str, n: int, seed: int = 42,
                   floor: float | None = None) -> DataFrame:
-    mean, std = numeric_params(source, [col])[col]
+    mean, std = column_profile(source, numeric=[col])[0][col]
     return _rows(spark, n).withColumn(col, numeric_draw(mean, std, seed, col, floor))
 
 
@@ -108,14 +104,8 @@ def timestamp_draw(lo_us: int | None, hi_us: int | None, seed: int, col: str) ->
     return F.timestamp_micros(F.lit(int(lo_us)) + offset.cast("long")).cast("timestamp_ntz")
 
 
-def timestamp_params(source: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
-    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    row = source.agg(*[e for c in cols for e in (F.min(us(c)).alias(f"{c}__lo"), F.max(us(c)).alias(f"{c}__hi"))]).first()
-    return {c: (row[f"{c}__lo"], row[f"{c}__hi"]) for c in cols}
-
-
 def synth_timestamp(spark: SparkSession, source: DataFrame, col: str, n: int, seed: int = 42) -> DataFrame:
-    lo, hi = timestamp_params(source, [col])[col]
+    lo, hi = column_profile(source, timestamps=[col])[1][col]
     return _rows(spark, n).withColumn(col, timestamp_draw(lo, hi, seed, col))
 
 
@@ -211,8 +201,6 @@ def generate_synthetic_data(spark: SparkSession, df: DataFrame, drift: bool = Fa
     by share instead of as normals.  ``Id`` is not modelled: new string ids
     are ``base_id + row`` (``base_id`` defaults to the current time in ms).
     """
-    import time
-    from pyspark.sql.types import NumericType, StringType, TimestampNTZType, TimestampType
     numeric, cats, stamps, other = [], [], [], []
     for f in df.schema.fields:
         if f.name in key_cols:

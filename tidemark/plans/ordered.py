@@ -10,6 +10,7 @@ balanced shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -92,7 +93,6 @@ def hash_cut(df: DataFrame, key_cols: Sequence[str], seed: str | int, k: int | N
     narrow the search to about n / 2^32 rows before a tiny sort, so no step
     ever orders the whole table.
     """
-    import math
     hashed = df.select(hash_text(seed, *key_cols).alias("_h"), *key_cols)
     prefix_filter = F.lit(True)
     w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)

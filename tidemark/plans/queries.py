@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import exprs as X
 from tidemark.functions import schemas as S
-from tidemark.operators import clean, features, metrics, monitor, payload as P, profile, runs, sampling, synth
+from tidemark.operators import clean, features, metrics, model, monitor, payload as P, profile, runs, sampling, synth
 from tidemark.plans import standins as D
 from tidemark.plans.partitioning import spread
 from tidemark.session import pin_utc, scratch_path
@@ -357,8 +357,7 @@ def champion_challenger(spark, sf_dir):
 
 
 def _routed_documents(spark, sf_dir):
-    from tidemark.operators.model import ab_route
-    routed = ab_route(D.scored_documents(spark, sf_dir), "doc_id")
+    routed = model.ab_route(D.scored_documents(spark, sf_dir), "doc_id")
     return routed.withColumns({
         "prediction": F.when(F.col("arm") == "A", F.col("pred_a")).otherwise(F.col("pred_b")),
         "model": F.concat(F.lit("Model "), F.col("arm"))})
@@ -366,14 +365,12 @@ def _routed_documents(spark, sf_dir):
 
 @query
 def ab_summary(spark, sf_dir):
-    from tidemark.operators.model import ab_summary as summary
-    return summary(_routed_documents(spark, sf_dir), "y")
+    return model.ab_summary(_routed_documents(spark, sf_dir), "y")
 
 
 @query
 def ab_route(spark, sf_dir):
-    from tidemark.operators.model import ab_route as route
-    return route(table(spark, sf_dir, "customer"), "c_custkey").select("c_custkey", "arm")
+    return model.ab_route(table(spark, sf_dir, "customer"), "c_custkey").select("c_custkey", "arm")
 
 
 # --------------------------------------------------------------------------- splits, samples
