@@ -46,3 +46,21 @@ def test_input_dataset(spark):
     inputs = spark.createDataFrame([(1, "training", "t1"), (1, "testing", "t2"), (2, "training", "t3")],
                                    "run_id int, context string, table string")
     assert [r["table"] for r in runs.input_dataset(inputs, 1, "testing").collect()] == ["t2"]
+
+
+def test_logged_model_metrics_roundtrip(spark):
+    import json
+
+    from tidemark.operators.metrics import rates
+    from tidemark.sources import runs_json
+    published = {"true_negatives": 378, "false_positives": 4184, "false_negatives": 166, "true_positives": 13784}
+    doc = {"model_id": "m-1", "experiment_id": "e", "creation_timestamp": 1, "last_updated_timestamp": 2,
+           "metrics": [{"_key": k, "_value": float(v), "_timestamp": 3, "_step": 0, "_model_id": "m-1",
+                        "_dataset_name": "dataset", "_dataset_digest": "d", "_run_id": "r"} for k, v in published.items()]}
+    path = scratch_path(spark, "logged_model")
+    spark.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1).write.text(path)
+    rows = runs_json.read_logged_model_metrics(spark, path, multiline=False)
+    wide = rows.groupBy().pivot("key", list(published)).agg(F.first("value"))
+    cm = wide.select(*[F.col(k).cast("long").alias(a) for k, a in
+                       (("true_positives", "tp"), ("false_positives", "fp"), ("true_negatives", "tn"), ("false_negatives", "fn"))])
+    assert rates(cm).first()["f1"] == 0.8637132652421831

@@ -496,6 +496,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT run_id, run_name, start_time, status FROM runs
         WHERE status = 'FINISHED' AND start_time > TIMESTAMP '1995-01-01 00:00:00' AND run_name LIKE '%URGENT%'
           AND segment = 'even' AND run_id IN (SELECT run_id FROM latest WHERE key = 'quantity' AND value > 25.0)""",
+    "runs_json_scan": """SELECT o_orderkey AS run_id, 'totalprice' AS key, o_totalprice AS value FROM orders
+                         UNION ALL SELECT o_orderkey, 'custkey', o_custkey::DOUBLE FROM orders""",
     "latest_per_model": """SELECT p_brand, max(p_partkey) AS latest_version, arg_max(p_name, p_partkey) AS p_name,
                            arg_max(p_retailprice, p_partkey) AS p_retailprice FROM part GROUP BY p_brand""",
     "metric_steps": f"""WITH {METRIC_ROWS.strip()}

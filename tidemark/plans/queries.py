@@ -18,7 +18,7 @@ from tidemark.plans import standins as D
 from tidemark.plans.partitioning import spread
 from tidemark.session import pin_utc, scratch_path
 from tidemark.sources import csv as csvsrc
-from tidemark.sources import monitor_sink, snapshots
+from tidemark.sources import monitor_sink, runs_json, snapshots
 from tidemark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -465,6 +465,15 @@ def metrics_unnest(spark, sf_dir):
     return runs.metrics_unnest(D.runs_table(spark, sf_dir), "run_id", "metrics")
 
 
+@query
+def runs_json_scan(spark, sf_dir):
+    """Runs exported as nested JSON (info / data maps), read back with a declared schema and unnested."""
+    path = scratch_path(spark, "runs_json")
+    runs_json.write_runs(D.runs_table(spark, sf_dir), path)
+    back = runs_json.read_runs(spark, path)
+    return runs.metrics_unnest(back.withColumn("run_id", F.col("run_id").cast("long")), "run_id", "metrics")
+
+
 # --------------------------------------------------------------------------- synthesis
 
 SYNTH_ROWS = 1000
