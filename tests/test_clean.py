@@ -8,10 +8,10 @@ from tidemark.session import scratch_path
 RAW_SCHEMA = ("PageID long, `Height (m)` double, `Weight (kg)` double, Universe string, Teams string, Origin string, "
               "Identity string, Gender string, `Marital Status` string, Alive string")
 FIXTURE = [
-    (1, 1.8, 80.0, "Marvel", "Avengers", "Human", "Secret", "Male", "Single", "Alive"),
-    (2, 1.9, 85.0, "DC", None, "Mutant", "Public", "Female", "Married", "Dead"),
+    (1, 1.8, 80.0, "Earth-616", "Avengers", "Human", "Secret", "Male", "Single", "Alive"),
+    (2, 1.9, 85.0, "Earth-2", None, "Mutant", "Public", "Female", "Married", "Dead"),
     (3, None, 90.0, None, "X-Men", None, None, "Male", None, "Alive"),
-    (4, 1.7, None, "Marvel", "Avengers", "Alien", "Secret", None, "Widow", "Alive"),
+    (4, 1.7, None, "Earth-616", "Avengers", "Alien", "Secret", None, "Widow", "Alive"),
     (5, 1.6, 75.0, "Other", None, "Human", "Unknown", "Other", "Unknown", "Dead"),
 ]
 COLS = ["Id", "Height", "Weight", "Universe", "Teams", "Origin", "Magic", "Mutant", "Identity", "Gender",
@@ -36,28 +36,28 @@ def test_golden_fixture(spark):
     assert _rows(out) == GOLDEN
 
 
-def test_low_threshold_keeps_marvel(spark):
+def test_low_threshold_keeps_the_big_universe(spark):
     out = clean.clean_table(spark.createDataFrame(FIXTURE, RAW_SCHEMA), rare_threshold=2)
     got = {r["Id"]: r["Universe"] for r in out.collect()}
-    assert got == {"1": "Marvel", "2": "Other", "3": "Other", "4": "Marvel", "5": "Other"}
+    assert got == {"1": "Earth-616", "2": "Other", "3": "Other", "4": "Earth-616", "5": "Other"}
 
 
 def test_extra_rows(spark):
     extra = FIXTURE + [
-        (6, 1.5, 60.0, "Marvel", None, "Inhuman", "Public", "Male", "Single", "Alive"),
-        (7, 1.5, 60.0, "Marvel", None, "Human mutant", "Public", "Male", "Single", "Alive"),
-        (8, 1.5, 60.0, "Marvel", None, "Magic user", "Public", "Male", "Single", "Dead"),
-        (9, 1.5, 60.0, "Marvel", None, "Human", "No Dual", "Male", "Single", "Alive"),     # identity dropped
-        (10, 1.5, 60.0, "Marvel", None, "Human", "Public", "Male", "Divorced", "Alive"),  # status dropped
-        (11, 1.5, 60.0, "Marvel", None, "Human", "Public", "Male", "Single", None),       # no Alive: dropped
+        (6, 1.5, 60.0, "Earth-616", None, "Inhuman", "Public", "Male", "Single", "Alive"),
+        (7, 1.5, 60.0, "Earth-616", None, "Human mutant", "Public", "Male", "Single", "Alive"),
+        (8, 1.5, 60.0, "Earth-616", None, "Magic user", "Public", "Male", "Single", "Dead"),
+        (9, 1.5, 60.0, "Earth-616", None, "Human", "No Dual", "Male", "Single", "Alive"),     # identity dropped
+        (10, 1.5, 60.0, "Earth-616", None, "Human", "Public", "Male", "Divorced", "Alive"),  # status dropped
+        (11, 1.5, 60.0, "Earth-616", None, "Human", "Public", "Male", "Single", None),       # no Alive: dropped
     ]
     out = clean.clean_table(spark.createDataFrame(extra, RAW_SCHEMA), rare_threshold=8)
     got = {r["Id"]: (r["Universe"], r["Origin"], r["Magic"], r["Mutant"]) for r in out.collect()}
     assert set(got) == {"1", "2", "3", "4", "5", "6", "7", "8"}
-    # Marvel has 8 rows counted before the filters (rows 9-11 count), so it is not lumped.
-    assert got["6"] == ("Marvel", "Human", 0, 0)
-    assert got["7"] == ("Marvel", "Human", 0, 1)
-    assert got["8"] == ("Marvel", "Other", 1, 0)
+    # Earth-616 has 8 rows counted before the filters (rows 9-11 count), so it is not lumped.
+    assert got["6"] == ("Earth-616", "Human", 0, 0)
+    assert got["7"] == ("Earth-616", "Human", 0, 1)
+    assert got["8"] == ("Earth-616", "Other", 1, 0)
 
 
 def test_value_counts_and_rare(spark):
@@ -78,6 +78,6 @@ def test_csv_scan_na_tokens(spark):
     r1, r2 = rows[1], rows[2]
     assert r1["Universe"] is None and r1["Teams"] is None and r1["Origin"] is None and r1["Identity"] is None
     assert r1["Gender"] is None and r1["Marital Status"] is None and r1["Weight (kg)"] == 80.0
-    assert r2["Height (m)"] is None and r2["Weight (kg)"] is None and r2["Universe"] == "Marvel"
+    assert r2["Height (m)"] is None and r2["Weight (kg)"] is None and r2["Universe"] == "Earth-616"
     cleaned = clean.clean_table(df, rare_threshold=1)
     assert cleaned.count() == 2
