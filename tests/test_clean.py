@@ -71,7 +71,7 @@ def test_csv_scan_na_tokens(spark):
     path = scratch_path(spark, "csv_test")
     lines = ["PageID,Height (m),Weight (kg),Universe,Teams,Origin,Identity,Gender,Marital Status,Alive",
              "1,1.8,80,NA,null,None,n/a,nan,NULL,Alive",
-             "2,NaN,x,Marvel,,Human,Secret,Male,Single,Dead"]
+             "2,NaN,x,Earth-616,,Human,Secret,Male,Single,Dead"]
     spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
     df = clean.scan_raw_characters(spark, path)
     rows = {r["PageID"]: r for r in df.collect()}
