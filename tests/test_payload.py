@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import payload as P
 
-REC = '{"Height": %s, "Weight": 80.0, "Universe": "Marvel", "Identity": "Public", "Gender": "Male", ' \
+REC = '{"Height": %s, "Weight": 80.0, "Universe": "Earth-616", "Identity": "Public", "Gender": "Male", ' \
       '"Marital_Status": "Single", "Teams": %s, "Origin": "Human", "Magic": "0", "Mutant": "0"}'
 
 
