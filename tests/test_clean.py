@@ -81,3 +81,19 @@ def test_csv_scan_na_tokens(spark):
     assert r2["Height (m)"] is None and r2["Weight (kg)"] is None and r2["Universe"] == "Earth-616"
     cleaned = clean.clean_table(df, rare_threshold=1)
     assert cleaned.count() == 2
+
+
+def test_preprocess_invariants_on_derived_table(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import sampling
+    from tidemark.plans import standins as D
+    out = clean.clean_table(D.raw_characters(spark, sf_small))
+    for c in ("Height", "Weight", "Marital_Status", "Id", "Magic", "Mutant"):
+        assert c in out.columns
+    nulls = out.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in ("Universe", "Origin", "Identity")]).first()
+    assert all(nulls[c] == 0 for c in ("Universe", "Origin", "Identity"))
+    assert {r["Alive"] for r in out.select("Alive").distinct().collect()} == {0, 1}
+    split = sampling.exact_split(out, ["Id"], seed=42, test_fraction=0.4)
+    sizes = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
+    assert sizes["train"] > 0 and sizes["test"] > 0 and sizes["train"] + sizes["test"] == out.count()
