@@ -98,3 +98,12 @@ def test_categorical_profile_top_value(spark):
     r = monitor.monitor_profile_categorical(rows, "ts", "model", ["seg"]).first()
     assert (r["n_rows"], r["n_null"], r["n_distinct"], r["top_value"], r["top_count"]) == (4, 1, 2, "b", 2)
     assert abs(r["top_share"] - 2 / 3) < 1e-6
+
+
+def test_monitor_quality_per_window(spark):
+    rows = spark.createDataFrame(
+        [("2024-01-01 00:01:00", "m", 1, 1), ("2024-01-01 00:02:00", "m", 0, 1), ("2024-01-01 00:40:00", "m", 1, 1)],
+        "ts string, model string, y int, p int").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    got = {str(r["window_start"]): (r["tp"], r["fp"], r["f1"]) for r in
+           monitor.monitor_quality(rows, "ts", "model", "y", "p").collect()}
+    assert got == {"2024-01-01 00:00:00": (1, 1, 2 / 3), "2024-01-01 00:30:00": (1, 0, 1.0)}

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.metrics import classification_metrics
 from tidemark.plans.ordered import MAX_GROUP_ROWS, exact_quantile_hist, grouped_running_totals
 from tidemark.session import materialize
 
@@ -90,6 +91,13 @@ def monitor_profile_categorical(df: DataFrame, ts: str, model: str, cat_cols: Se
                       .alias("top_share"))
 
 
+def monitor_quality(df: DataFrame, ts: str, model: str, label: str, prediction: str,
+                    granularity: str = GRANULARITY) -> DataFrame:
+    """Classification quality per window and model once ground-truth labels are joined
+    to the monitoring rows: confusion counts, accuracy, precision, recall, F1."""
+    return classification_metrics(with_window(df, ts, model, granularity), label, prediction, by=KEYS)
+
+
 def monitor_prediction_mix(df: DataFrame, ts: str, model: str, prediction: str,
                            granularity: str = GRANULARITY) -> DataFrame:
     """Class mix of predictions per window and model, with the share inside the window."""
