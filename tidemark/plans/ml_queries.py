@@ -33,7 +33,9 @@ def feature_vector(spark, sf_dir):
     codes = features.fit_category_codes(train, CAT)
     coded = features.apply_category_codes(train, codes, CAT, suffix="__code")
     vec = features.feature_vector(coded, [f"{c}__code" for c in CAT], NUM)
-    return vec.select("doc_id", vector_to_array("features").alias("features"))
+    arr = vector_to_array("features")
+    slots = [f"{c}__code" for c in CAT] + NUM  # assembler order: codes first, then numeric columns
+    return vec.select("doc_id", *[arr[i].alias(f"f_{name}") for i, name in enumerate(slots)])
 
 
 @query

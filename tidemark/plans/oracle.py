@@ -388,7 +388,7 @@ ORACLE_SQL: dict[str, str] = {
         WHERE prediction IS NOT NULL OR NOT EXISTS (SELECT 1 FROM monitor WHERE prediction IS NOT NULL)""",
     "payload_to_monitor": f"""WITH {PAYLOAD_RECORDS.strip()} SELECT * FROM monitor
         WHERE prediction IS NOT NULL OR NOT EXISTS (SELECT 1 FROM monitor WHERE prediction IS NOT NULL)""",
-    "monitor_append": f"""WITH {PAYLOAD_RECORDS.strip()} SELECT *, "timestamp"::DATE AS date FROM monitor
+    "monitor_append": f"""WITH {PAYLOAD_RECORDS.strip()} SELECT * FROM monitor
         WHERE prediction IS NOT NULL OR NOT EXISTS (SELECT 1 FROM monitor WHERE prediction IS NOT NULL)""",
     "score_and_log": f"""WITH {_bootstrap_rows('events', 'event_id', '42', 1000).strip()}
         SELECT e.ts AS request_time, 'draw-' || bd.draw_id::VARCHAR AS databricks_request_id,
@@ -526,7 +526,8 @@ ORACLE_SQL: dict[str, str] = {
         train AS (SELECT * FROM ranked WHERE rn > ceil(0.2 * n)),
         cl AS (SELECT category, dense_rank() OVER (ORDER BY category) - 1 AS code FROM (SELECT DISTINCT lang AS category FROM train)),
         cs AS (SELECT category, dense_rank() OVER (ORDER BY category) - 1 AS code FROM (SELECT DISTINCT source AS category FROM train))
-        SELECT t.doc_id, [coalesce(cl.code, -1)::DOUBLE, coalesce(cs.code, -1)::DOUBLE, t.n_chars::DOUBLE] AS features
+        SELECT t.doc_id, coalesce(cl.code, -1)::DOUBLE AS f_lang__code, coalesce(cs.code, -1)::DOUBLE AS f_source__code,
+               t.n_chars::DOUBLE AS f_n_chars
         FROM train t LEFT JOIN cl ON cl.category = t.lang LEFT JOIN cs ON cs.category = t.source""",
     # ---------------------------------------------------------------- streaming
     "stream_ingest": f"WITH {PAYLOAD_RECORDS.strip()} SELECT * FROM monitor WHERE prediction IS NOT NULL",

@@ -281,7 +281,7 @@ def monitor_append(spark, sf_dir):
     rows = P.payload_to_monitor(D.events_payload(spark, sf_dir), D.MODEL_NAME)
     for _ in range(2):
         monitor_sink.monitor_append(spark, rows, path, [S.REQUEST_ID_FIELD, "record_pos"])
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop(monitor_sink.DATE_COL)  # the date is the sink's partition key
 
 
 @query
