@@ -64,3 +64,13 @@ def test_logged_model_metrics_roundtrip(spark):
     cm = wide.select(*[F.col(k).cast("long").alias(a) for k, a in
                        (("true_positives", "tp"), ("false_positives", "fp"), ("true_negatives", "tn"), ("false_negatives", "fn"))])
     assert rates(cm).first()["f1"] == 0.8637132652421831
+
+
+def test_spread_is_noop_on_partitioned_input(spark):
+    from tidemark.plans.partitioning import spread
+    wide = spark.range(0, 1000, numPartitions=8)
+    assert spread(wide, 8) is wide  # enough partitions: no exchange added
+    narrow = spark.range(0, 1000, numPartitions=1)
+    spread_df = spread(narrow, 8)
+    assert spread_df.rdd.getNumPartitions() == 8
+    assert sorted(r.id for r in spread_df.collect()) == list(range(1000))
