@@ -6,11 +6,47 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import packing, token_counts
+from tidemark.llm import mixing, packing, sharding, token_counts
 from tidemark.llm.frames import table
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=16, seed=11).select(
+        "doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_epochs=3, seed=7)
+    return out.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 13))::BIGINT AS u
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source),
+w AS (SELECT *, ([5.0, 2.0, 1.0]::DOUBLE[])[((place - 1) % 3 + 1)::INT] AS weight FROM s),
+r AS (SELECT *, 3 * source_size AS cap, 3 * source_size / weight AS ratio FROM w),
+l AS (SELECT *, sum(source_size) OVER () AS words,
+        (sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) >= ratio AS capped
+      FROM r WINDOW before AS (ORDER BY ratio, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, CASE WHEN capped THEN cap::DOUBLE ELSE
+        (words - sum(CASE WHEN capped THEN cap ELSE 0 END) OVER ())::DOUBLE / sum(CASE WHEN capped THEN 0.0::DOUBLE ELSE weight END) OVER () * weight END AS target FROM l),
+k AS (SELECT d.doc_id, d.size, d.u, t.source, t.source_size, t.target,
+        CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY u) AS end_of, sum(size) OVER (PARTITION BY source, u) AS same FROM k)
+SELECT doc_id, size, source_size, target,
+       (size * (whole + CASE WHEN target - whole * source_size > 0 AND end_of - same / 2.0 <= target - whole * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM c
+"""
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1, length=2048)
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
@@ -21,7 +57,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_sharding": op3_sharding,
+    "op4_mixing": op4_mixing,
     "op6_packing": op6_packing,
     "op9_token_counts": op9_token_counts,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_mixing": OP4_SQL,
+}
