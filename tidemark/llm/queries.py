@@ -8,10 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, sharding, token_counts
+from tidemark.llm import html_text, language, mixing, packing, quality, sharding, token_counts
 from tidemark.llm.frames import table
 
 
+def held_out() -> F.Column:
+    """A fifth of the documents, by crc32 of the id as text; a null id is never learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = quality.classify(docs.select("doc_id", "text"), docs, labels.where(~held_out()), max_labelled=4000)
+    score = F.col("quality_vote.score")
+    return out.select("doc_id", held_out().alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return sharding.shard(table(spark, sf_dir, "documents"), shards=16, seed=11).select(
@@ -47,6 +59,17 @@ FROM c
 """
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_text.extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = language.identify(docs.select("doc_id", "text"), docs.where(~held_out()), max_chars=3_000_000)
+    return out.select("doc_id", held_out().alias("held_out"), "language.lang_pred", "language.score", "language.rejected")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1, length=2048)
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
@@ -57,10 +80,13 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op3_sharding": op3_sharding,
     "op4_mixing": op4_mixing,
     "op6_packing": op6_packing,
+    "op8_html": op8_html,
     "op9_token_counts": op9_token_counts,
+    "op10_language": op10_language,
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_mixing": OP4_SQL,
