@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Rows in one Arrow batch. Texts may be long, so batches hold few rows; tasks cut them further by characters.
 ROWS_PER_BATCH = 256
@@ -33,6 +34,11 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | p
     return df.mapInArrow(run, schema)
 
 
+def with_field(schema: StructType, name: str, kind: str) -> StructType:
+    """``schema`` and one more column; ``kind`` as in DDL."""
+    return StructType([*schema.fields, *StructType.fromDDL(f"`{name}` {kind}").fields])
+
+
 def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of rows whose sizes sum to ``limit`` at most; a larger row is alone."""
     start, held = 0, 0

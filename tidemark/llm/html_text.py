@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import map_batches
+from tidemark.llm.frames import map_batches, with_field
 
 #: Elements by their meaning in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -199,5 +199,5 @@ def extract(df: DataFrame, html_col: str = "html", out: str = "text") -> DataFra
         texts = pa.array([main_text(p or "") for p in b.column(at).to_pylist()], pa.string())
         return pa.RecordBatch.from_arrays([*b.columns, texts], [*names, "_main_text"])
 
-    done = map_batches(base.withColumn(html_col, F.col(html_col).cast("string")), batch, base.withColumn(html_col, F.col(html_col).cast("string")).schema.add("_main_text", "string"))
+    done = map_batches(base.withColumn(html_col, F.col(html_col).cast("string")), batch, with_field(base.withColumn(html_col, F.col(html_col).cast("string")).schema, "_main_text", "string"))
     return done.drop(html_col).withColumnRenamed("_main_text", out) if out == html_col else done.withColumnRenamed("_main_text", out)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.frames import map_batches, slices
+from tidemark.llm.frames import map_batches, slices, with_field
 
 ORDER = 4
 BITS = 16
@@ -219,5 +219,5 @@ def identify(df: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col:
         made = pa.StructArray.from_arrays([pa.array(languages, pa.string()), pa.array(score), pa.array(np.where(known, low, np.nan), from_pandas=True), pa.array(rejected)], ["lang_pred", "score", "entropy", "rejected"])
         return pa.RecordBatch.from_arrays([*b.columns, made], [*names, out])
 
-    schema = base.schema.add(out, "struct<lang_pred:string,score:double,entropy:double,rejected:boolean>")
+    schema = with_field(base.schema, out, "struct<lang_pred:string,score:double,entropy:double,rejected:boolean>")
     return map_batches(base, batch, schema)

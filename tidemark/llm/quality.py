@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.frames import map_batches, slices
+from tidemark.llm.frames import map_batches, slices, with_field
 
 CHARS = 1 << 20
 KINDS = 32
@@ -171,4 +171,4 @@ def classify(df: DataFrame, docs: DataFrame, labels: DataFrame, id_col: str = "d
         made = pa.StructArray.from_arrays([pa.array(np.clip(score, 0, 1), pa.float64())], ["score"])
         return pa.RecordBatch.from_arrays([*b.columns, made], [*names, out])
 
-    return map_batches(base, batch, base.schema.add(out, "struct<score:double>"))
+    return map_batches(base, batch, with_field(base.schema, out, "struct<score:double>"))
