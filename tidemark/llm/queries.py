@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, language, mixing, packing, quality, sharding, token_counts
+from tidemark.llm import embedding_dedup, html_text, language, mixing, packing, quality, sharding, token_counts
 from tidemark.llm.frames import table
 
 
@@ -59,6 +59,10 @@ FROM c
 """
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html_text.extract(table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_mixing": op4_mixing,
     "op6_packing": op6_packing,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_html": op8_html,
     "op9_token_counts": op9_token_counts,
     "op10_language": op10_language,
