@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, html_text, language, mixing, packing, quality, sharding, token_counts
+from tidemark.llm import embedding_dedup, hilbert, html_text, language, mixing, packing, quality, sharding, token_counts
 from tidemark.llm.frames import table
 
 
@@ -74,6 +74,21 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "language.lang_pred", "language.score", "language.rejected")
 
 
+def op5_hilbert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1, length=2048)
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
@@ -87,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_sharding": op3_sharding,
     "op4_mixing": op4_mixing,
+    "op5_hilbert_search": op5_hilbert_search,
     "op6_packing": op6_packing,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_html": op8_html,
@@ -95,4 +111,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_mixing": OP4_SQL,
+    "op5_hilbert_search": OP5_SQL,
 }
