@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, hilbert, html_text, language, mixing, packing, quality, sharding, token_counts
+from tidemark.llm import embedding_dedup, hilbert, html_text, language, mixing, ngram_join, packing, quality, sharding, token_counts
 from tidemark.llm.frames import table
 
 
@@ -17,6 +17,10 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents"), n=5, percent=80)
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = quality.classify(docs.select("doc_id", "text"), docs, labels.where(~held_out()), max_labelled=4000)
@@ -99,6 +103,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_quality": op2_quality,
     "op3_sharding": op3_sharding,
     "op4_mixing": op4_mixing,
