@@ -4,17 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import embedding_dedup, hilbert, html_text, language, mixing, ngram_join, packing, quality, sharding, token_counts
-from tidemark.llm.frames import table
-
-
-def held_out() -> F.Column:
-    """A fifth of the documents, by crc32 of the id as text; a null id is never learned from."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))
+from tidemark.llm.frames import held_out, table
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,8 +109,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_token_counts": op9_token_counts,
     "op10_language": op10_language,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_mixing": OP4_SQL,
     "op5_hilbert_search": OP5_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
