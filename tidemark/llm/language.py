@@ -187,7 +187,7 @@ def fit(train: DataFrame, text_col: str, lang_col: str, max_chars: int) -> Model
 
     measured = map_batches(sample.where("apart").select("text", "lang"), measure, "lang string, h double").where("h IS NOT NULL")
     top = {r["lang"]: (r["top"], r["mid"]) for r in measured.groupBy("lang").agg(F.percentile_approx("h", 0.99).alias("top"), F.percentile_approx("h", 0.5).alias("mid")).collect()}
-    widest = max([t + (t - m) for t, m in top.values()], default=float("inf"))
+    widest = max([t + (t - m) for t, m in top.values()], default=-float(model.floor[0]))  # uncalibrated: worse than a blind guess
     model.limits = np.array([(top[x][0] + (top[x][0] - top[x][1])) if x in top else widest for x in model.languages]) + 0.25
     return model
 
