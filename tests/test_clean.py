@@ -7,57 +7,53 @@ from tidemark.session import scratch_path
 
 RAW_SCHEMA = ("PageID long, `Height (m)` double, `Weight (kg)` double, Universe string, Teams string, Origin string, "
               "Identity string, Gender string, `Marital Status` string, Alive string")
-FIXTURE = [
-    (1, 1.8, 80.0, "Earth-616", "Avengers", "Human", "Secret", "Male", "Single", "Alive"),
-    (2, 1.9, 85.0, "Earth-2", None, "Mutant", "Public", "Female", "Married", "Dead"),
-    (3, None, 90.0, None, "X-Men", None, None, "Male", None, "Alive"),
-    (4, 1.7, None, "Earth-616", "Avengers", "Alien", "Secret", None, "Widow", "Alive"),
-    (5, 1.6, 75.0, "Other", None, "Human", "Unknown", "Other", "Unknown", "Dead"),
-]
 COLS = ["Id", "Height", "Weight", "Universe", "Teams", "Origin", "Magic", "Mutant", "Identity", "Gender",
         "Marital_Status", "Alive"]
-GOLDEN = {
-    "1": (1.8, 80.0, "Other", 1, "Human", 0, 0, "Secret", "Male", "Single", 1),
-    "2": (1.9, 85.0, "Other", 0, "Mutant", 0, 1, "Public", "Female", "Married", 0),
-    "3": (None, 90.0, "Other", 1, "Other", 0, 0, "Unknown", "Male", "Unknown", 1),
-    "4": (1.7, None, "Other", 1, "Alien", 0, 0, "Secret", "Other", "Widowed", 1),
-    "5": (1.6, 75.0, "Other", 0, "Human", 0, 0, "Unknown", "Other", "Unknown", 0),
-}
-
-
-def _rows(df):
-    return {r["Id"]: tuple(r[c] for c in COLS[1:]) for r in df.collect()}
-
-
-def test_golden_fixture(spark):
-    out = clean.clean_table(spark.createDataFrame(FIXTURE, RAW_SCHEMA))
-    assert out.columns == ["Height", "Weight", "Universe", "Identity", "Gender", "Marital_Status", "Teams",
-                           "Origin", "Magic", "Mutant", "Alive", "Id"]
-    assert _rows(out) == GOLDEN
-
-
-def test_low_threshold_keeps_the_big_universe(spark):
-    out = clean.clean_table(spark.createDataFrame(FIXTURE, RAW_SCHEMA), rare_threshold=2)
-    got = {r["Id"]: r["Universe"] for r in out.collect()}
-    assert got == {"1": "Earth-616", "2": "Other", "3": "Other", "4": "Earth-616", "5": "Other"}
-
-
-def test_extra_rows(spark):
-    extra = FIXTURE + [
-        (6, 1.5, 60.0, "Earth-616", None, "Inhuman", "Public", "Male", "Single", "Alive"),
-        (7, 1.5, 60.0, "Earth-616", None, "Human mutant", "Public", "Male", "Single", "Alive"),
-        (8, 1.5, 60.0, "Earth-616", None, "Magic user", "Public", "Male", "Single", "Dead"),
-        (9, 1.5, 60.0, "Earth-616", None, "Human", "No Dual", "Male", "Single", "Alive"),     # identity dropped
-        (10, 1.5, 60.0, "Earth-616", None, "Human", "Public", "Male", "Divorced", "Alive"),  # status dropped
-        (11, 1.5, 60.0, "Earth-616", None, "Human", "Public", "Male", "Single", None),       # no Alive: dropped
-    ]
-    out = clean.clean_table(spark.createDataFrame(extra, RAW_SCHEMA), rare_threshold=8)
-    got = {r["Id"]: (r["Universe"], r["Origin"], r["Magic"], r["Mutant"]) for r in out.collect()}
-    assert set(got) == {"1", "2", "3", "4", "5", "6", "7", "8"}
-    # Earth-616 has 8 rows counted before the filters (rows 9-11 count), so it is not lumped.
-    assert got["6"] == ("Earth-616", "Human", 0, 0)
-    assert got["7"] == ("Earth-616", "Human", 0, 1)
-    assert got["8"] == ("Earth-616", "Other", 1, 0)
+PLAIN = {"Height (m)": 2.25, "Weight (kg)": 41.5, "Universe": "North", "Teams": None, "Origin": "Robot", "Identity": "Public",
+         "Gender": "Female", "Marital Status": "Single", "Alive": "Alive"}
+#: One rule per row: what differs from PLAIN, and what the rule makes of it (None: the row goes).
+RULES = [
+    ({}, {"Origin": "Robot", "Teams": 0, "Alive": 1}),
+    ({"Universe": None}, {"Universe": "Other"}),
+    ({"Universe": "Lonely"}, {"Universe": "Other"}),
+    ({"Teams": "Crew"}, {"Teams": 1}),
+    ({"Origin": None}, {"Origin": "Other"}),
+    ({"Origin": "Subhuman being"}, {"Origin": "Human", "Magic": 0, "Mutant": 0}),
+    ({"Origin": "a mutant fish"}, {"Mutant": 1}),
+    ({"Origin": "old magic"}, {"Origin": "Other", "Magic": 1, "Mutant": 0}),
+    ({"Identity": None}, {"Identity": "Unknown"}),
+    ({"Identity": "Known Twice"}, None),
+    ({"Gender": None}, {"Gender": "Other"}),
+    ({"Marital Status": "Widow"}, {"Marital_Status": "Widowed"}),
+    ({"Marital Status": None}, {"Marital_Status": "Unknown"}),
+    ({"Marital Status": "Promised"}, None),
+    ({"Alive": "Dead"}, {"Alive": 0}),
+    ({"Alive": None}, None),
+    ({"Height (m)": None, "Weight (kg)": None}, {"Height": None, "Weight": None}),
+]
+
+
+def _table(spark, rules):
+    rows = [(100 + k, *(PLAIN | change).values()) for k, (change, _) in enumerate(rules)]
+    return spark.createDataFrame(rows, RAW_SCHEMA)
+
+
+def test_each_rule_on_its_row(spark):
+    out = clean.clean_table(_table(spark, RULES), rare_threshold=5)
+    assert set(out.columns) == set(COLS)
+    got = {r["Id"]: r.asDict() for r in out.collect()}
+    for k, (_, made) in enumerate(RULES):
+        row = got.pop(str(100 + k), None)
+        assert (row is None) == (made is None)
+        assert all(row[name] == value for name, value in (made or {}).items()), RULES[k]
+    assert not got
+
+
+def test_rare_values_are_counted_before_rows_are_dropped(spark):
+    # 15 rows of North, three of which other rules drop: at a threshold of 15 it is still frequent
+    universes = {r["Universe"] for r in clean.clean_table(_table(spark, RULES), rare_threshold=15).collect()}
+    assert universes == {"North", "Other"}
+    assert {r["Universe"] for r in clean.clean_table(_table(spark, RULES), rare_threshold=16).collect()} == {"Other"}
 
 
 def test_value_counts_and_rare(spark):
@@ -67,33 +63,25 @@ def test_value_counts_and_rare(spark):
     assert lumped == ["Other", "Other", "a", "a"]
 
 
-def test_csv_scan_na_tokens(spark):
+def test_csv_scan_missing_tokens_and_quotes(spark):
+    from tidemark.sources import csv
+
     path = scratch_path(spark, "csv_test")
-    lines = ["PageID,Height (m),Weight (kg),Universe,Teams,Origin,Identity,Gender,Marital Status,Alive",
-             "1,1.8,80,NA,null,None,n/a,nan,NULL,Alive",
-             "2,NaN,x,Earth-616,,Human,Secret,Male,Single,Dead"]
-    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
-    df = clean.scan_raw_characters(spark, path)
-    rows = {r["PageID"]: r for r in df.collect()}
-    r1, r2 = rows[1], rows[2]
-    assert r1["Universe"] is None and r1["Teams"] is None and r1["Origin"] is None and r1["Identity"] is None
-    assert r1["Gender"] is None and r1["Marital Status"] is None and r1["Weight (kg)"] == 80.0
-    assert r2["Height (m)"] is None and r2["Weight (kg)"] is None and r2["Universe"] == "Earth-616"
-    cleaned = clean.clean_table(df, rare_threshold=1)
-    assert cleaned.count() == 2
-
-
-def test_preprocess_invariants_on_derived_table(spark, sf_small):
-    from pyspark.sql import functions as F
-
-    from tidemark.operators import sampling
+    tokens = ["NA", "null", "None", "n/a", "nan", "NULL", ""]
+    lines = ["k,t,v", *[f"{i},{t},{t}" for i, t in enumerate(tokens)], '50,"two ""words"", one comma",1.5', '51,"first\nsecond",x', "52,plain,NaN"]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+    rows = {r["k"]: (r["t"], r["v"]) for r in csv.csv_scan(spark, path, "k int, t string, v double").collect()}
+    assert all(rows[i] == (None, None) for i in range(len(tokens)))
+    assert rows[50] == ('two "words", one comma', 1.5) and rows[51] == ("first\nsecond", None) and rows[52] == ("plain", None)
+
+
+def test_cleaning_accounts_for_every_row(spark, sf_small):
     from tidemark.plans import standins as D
-    out = clean.clean_table(D.raw_characters(spark, sf_small))
-    for c in ("Height", "Weight", "Marital_Status", "Id", "Magic", "Mutant"):
-        assert c in out.columns
-    nulls = out.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in ("Universe", "Origin", "Identity")]).first()
-    assert all(nulls[c] == 0 for c in ("Universe", "Origin", "Identity"))
-    assert {r["Alive"] for r in out.select("Alive").distinct().collect()} == {0, 1}
-    split = sampling.exact_split(out, ["Id"], seed=42, test_fraction=0.4)
-    sizes = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
-    assert sizes["train"] > 0 and sizes["test"] > 0 and sizes["train"] + sizes["test"] == out.count()
+
+    raw = D.raw_characters(spark, sf_small)
+    once = clean.clean_table(raw).cache()
+    ids = {r["PageID"] for r in raw.select("PageID").collect()}
+    kept = [int(r["Id"]) for r in once.select("Id").collect()]
+    assert len(kept) == len(set(kept)) and set(kept) < ids  # no row twice, none made up, some dropped by the lists
+    again = {r["Id"]: tuple(r[c] for c in COLS) for r in clean.clean_table(raw.repartition(3)).collect()}
+    assert {r["Id"]: tuple(r[c] for c in COLS) for r in once.collect()} == again

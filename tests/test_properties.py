@@ -74,6 +74,6 @@ def test_exact_quantile_hot_group_many_buckets(spark):
     hist = df.groupBy("g", "v").count()
     for q, bound in ((0.1, 100), (0.5, 100), (0.97, 100), (0.5, 2_000_000)):  # 100 forces the bucketed path
         got = {r["g"]: r["quantile"] for r in
-               exact_quantile_hist(hist, ["g"], "v", "count", q, buckets=7, max_group_rows=bound).collect()}
+               exact_quantile_hist(hist, ["g"], "v", "count", q, buckets=7).collect()}
         assert math.isclose(got[0], float(np.quantile(hot, q)), abs_tol=1e-9)
         assert math.isclose(got[1], float(np.quantile(cold, q)), abs_tol=1e-9)

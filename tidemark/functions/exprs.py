@@ -38,7 +38,7 @@ MARITAL_VALUES = ("Single", "Married", "Widowed", "Engaged", "Unknown")
 ALIVE_VALUES = ("Alive", "Dead")
 # ---------------------------------------------------------------------------
 
-TWO_POW_32 = 4294967296.0
+UNIFORM_HEX, UNIFORM_RANGE = 13, 4503599627370496.0  # 52 bits of an md5: exact in a double
 
 
 def as_col(c: str | Column) -> Column:
@@ -127,24 +127,24 @@ def label_text(c: str | Column) -> Column:
 
 
 def hash_text(seed: str | int, *cols: str | Column) -> Column:
-    """md5 hex of ``seed:col1:col2...`` - identical in Spark SQL and DuckDB."""
-    parts = [F.lit(str(seed))] + [as_col(c).cast("string") for c in cols]
+    """md5 hex of ``seed:col1:col2...`` - identical in Spark SQL and DuckDB; a null counts as ``\\N``."""
+    parts = [F.lit(str(seed))] + [F.coalesce(as_col(c).cast("string"), F.lit("\\N")) for c in cols]
     return F.md5(F.concat_ws(":", *parts))
 
 
 def md5_uniform(seed: str | int, *cols: str | Column) -> Column:
-    """Uniform in [0, 1): first 32 bits of md5(seed:cols) / 2^32.
+    """Uniform in [0, 1): first 52 bits of md5(seed:cols) / 2^52.
 
     Independent of partitioning, so reruns and other engines agree.
     """
     h = hash_text(seed, *cols)
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("long") / F.lit(TWO_POW_32)
+    return F.conv(F.substring(h, 1, UNIFORM_HEX), 16, 10).cast("long") / F.lit(UNIFORM_RANGE)
 
 
 def md5_open_uniform(seed: str | int, *cols: str | Column) -> Column:
-    """Uniform in (0, 1): (first 32 bits + 0.5) / 2^32, safe for logarithms."""
+    """Uniform in (0, 1): (first 52 bits + 0.5) / 2^52, safe for logarithms."""
     h = hash_text(seed, *cols)
-    return (F.conv(F.substring(h, 1, 8), 16, 10).cast("long") + F.lit(0.5)) / F.lit(TWO_POW_32)
+    return (F.conv(F.substring(h, 1, UNIFORM_HEX), 16, 10).cast("long") + F.lit(0.5)) / F.lit(UNIFORM_RANGE)
 
 
 def md5_normal(seed: str | int, *cols: str | Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import exprs as X
-from tidemark.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+from tidemark.plans.joins import MAX_BROADCAST_ROWS, lookup_join
 
 # Raw column names of the character table and their clean names.
 RAW_RENAMES = {"Height (m)": "Height", "Weight (kg)": "Weight", "Marital Status": "Marital_Status"}
@@ -45,7 +45,7 @@ def rare_values(df: DataFrame, col: str, threshold: int) -> DataFrame:
 
 def rare_to_other(df: DataFrame, col: str, threshold: int, other: str = X.OTHER,
                   counted_on: DataFrame | None = None,
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Replace values with fewer than ``threshold`` rows by ``other``.
 
     Counts come from ``counted_on`` (default ``df``) so a caller can count

@@ -12,7 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_small_side
+from tidemark.plans.joins import MAX_BROADCAST_ROWS, checked_small_side
 
 UNKNOWN_CODE = -1
 
@@ -31,7 +31,7 @@ def fit_category_codes(train: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def apply_category_codes(df: DataFrame, codes: DataFrame, cols: Sequence[str], suffix: str = "",
-                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                         max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Replace each column (or add ``col + suffix``) by its code, -1 when unseen or null."""
     table = checked_small_side(codes, max_broadcast_rows)
     out = df

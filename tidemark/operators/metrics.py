@@ -69,7 +69,7 @@ def score_table(df: DataFrame, label: str, score: str) -> DataFrame:
             .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
 
 
-def curve_areas(df: DataFrame, label: str, score: str, buckets: int = 64) -> DataFrame:
+def curve_areas(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC (trapezoid, ties share one step) and PR AUC (average precision).
 
     Thresholds run from the highest score down.  With cumulative positives

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.metrics import classification_metrics
-from tidemark.plans.ordered import MAX_GROUP_ROWS, exact_quantile_hist, grouped_running_totals
+from tidemark.plans.joins import null_safe_join
+from tidemark.plans.ordered import exact_quantile_hist, grouped_running_totals
 from tidemark.session import materialize
 
 GRANULARITY = "30 minutes"
@@ -26,22 +27,6 @@ def with_window(df: DataFrame, ts: str, model: str, granularity: str = GRANULARI
     return df.withColumns({"window_start": w.start, "window_end": w.end, "model": F.col(model)})
 
 
-def histogram_moments(hist: DataFrame, keys: Sequence[str], value: str, count: str) -> DataFrame:
-    """n, mean and sample std per group from a (group, value, count) histogram.
-
-    Two passes over the histogram (mean first, then squared deviations), which
-    is numerically stable; groups with one row get a null std, as
-    ``stddev_samp`` does.
-    """
-    first = hist.groupBy(*keys).agg(F.sum(count).alias("n"),
-                                    (F.sum(F.col(value) * F.col(count)) / F.sum(count)).alias("mean"))
-    dev = hist.join(first, list(keys)).groupBy(*keys).agg(
-        F.sum(F.col(count) * F.pow(F.col(value) - F.col("mean"), 2)).alias("_ss"),
-        F.first("n").alias("n"), F.first("mean").alias("mean"))
-    return dev.select(*keys, "n", "mean",
-                      F.when(F.col("n") > 1, F.sqrt(F.col("_ss") / (F.col("n") - 1))).alias("std"))
-
-
 def monitor_profile(df: DataFrame, ts: str, model: str, numeric_cols: Sequence[str],
                     granularity: str = GRANULARITY, digits: int = 6) -> DataFrame:
     """Per window, model and numeric column: rows, nulls, distinct values, mean,
@@ -51,16 +36,13 @@ def monitor_profile(df: DataFrame, ts: str, model: str, numeric_cols: Sequence[s
     parts = ", ".join(f"'{c}', cast(`{c}` as double)" for c in numeric_cols)
     long = base.selectExpr(*KEYS, f"stack({len(numeric_cols)}, {parts}) as (column_name, v)")
     keys = KEYS + ["column_name"]
-    # One scan: per-(group, value) counts, null as its own value; everything below reads the checkpoint.
-    hist = materialize(long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c")))
-    sizes = hist.groupBy(*keys).agg(
-        F.sum("c").alias("n_rows"),
-        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("c"))), F.lit(0)).alias("n_null"),
-        F.min("v").alias("min_value"), F.max("v").alias("max_value"))
-    valued = hist.filter(F.col("v").isNotNull())
-    moments = histogram_moments(valued, keys, "v", "c").drop("n")
-    med = exact_quantile_hist(valued, keys, "v", "c", 0.5, out_col="median", distinct_col="n_distinct")
-    out = sizes.join(moments, keys, "left").join(med, keys, "left")
+    # What merges comes from one partial aggregate over the rows; the histogram is for the median and the distinct values only.
+    stats = long.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("v").isNull()).alias("n_null"),
+        F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min_value"), F.max("v").alias("max_value"))
+    hist = materialize(long.filter(F.col("v").isNotNull()).groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c")))
+    med = exact_quantile_hist(hist, keys, "v", "c", 0.5, out_col="median", distinct_col="n_distinct")
+    out = null_safe_join(stats, med, keys, "left")
     return out.select(*keys, "n_rows", "n_null", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
                       F.round("mean", digits).alias("mean"), F.round("std", digits).alias("std"),
                       "min_value", "max_value", F.round("median", digits).alias("median"))
@@ -114,89 +96,103 @@ def _window_chain(counts: DataFrame) -> DataFrame:
     return wins.withColumn("prev_start", F.lag("window_start").over(w))
 
 
+def _against(shares: DataFrame, chain: DataFrame, baseline: DataFrame | None, carry: Sequence[str]) -> DataFrame:
+    """What each window is compared with, keyed by that window: the rows of its predecessor, or of its model's baseline."""
+    if baseline is not None:
+        return null_safe_join(chain.select("model", "window_start", "prev_start"), baseline.select("model", *carry), ["model"])
+    follows = chain.filter(F.col("prev_start").isNotNull()).select("model", F.col("prev_start").alias("_start"), F.col("window_start").alias("_next"))
+    before = shares.withColumnRenamed("window_start", "_start").select("model", "_start", *carry)
+    return (null_safe_join(before, follows, ["model", "_start"])
+            .select("model", F.col("_next").alias("window_start"), F.col("_start").alias("prev_start"), *carry))
+
+
 def monitor_drift_categorical(df: DataFrame, ts: str, model: str, col: str,
-                              granularity: str = GRANULARITY, eps: float = 1e-4, digits: int = 6) -> DataFrame:
-    """Shares of ``col`` in each window against the previous filled window of the model.
+                              granularity: str = GRANULARITY, eps: float = 1e-4, digits: int = 6,
+                              baseline: DataFrame | None = None) -> DataFrame:
+    """Shares of ``col`` in each window against the previous filled window of the model, or,
+    with ``baseline`` (columns ``model`` and ``col``), against that table's shares of the model.
 
     Categories missing on one side count as share 0 (full outer join).
     total_variation = 1/2 sum|p - q|; js = Jensen-Shannon divergence (natural log);
     psi = sum (p' - q') ln(p'/q') and chi2 = sum (n_p - N_p q')^2 / (N_p q') with
-    shares floored at ``eps``.  The first window of a model has no predecessor
-    and gets null metrics.
+    shares floored at ``eps``.  A window with nothing to compare it with gets null
+    metrics; ``prev_start`` is null against a baseline.  A null model is a model of its own.
     """
     base = with_window(df, ts, model, granularity).withColumn("category", F.col(col).cast("string"))
     # One scan of the monitoring rows; every later step reads this small checkpointed table.
     counts = materialize(base.groupBy("model", "window_start", "category").agg(F.count(F.lit(1)).alias("n")))
     totals = counts.groupBy("model", "window_start").agg(F.sum("n").alias("total"))
-    shares = counts.join(totals, ["model", "window_start"]).withColumn("share", F.col("n") / F.col("total"))
+    shares = null_safe_join(counts, totals, ["model", "window_start"]).withColumn("share", F.col("n") / F.col("total"))
     chain = _window_chain(counts)
-    cur = shares.join(chain, ["model", "window_start"]).select(
-        "model", "window_start", "prev_start", "category", F.col("n").alias("n_cur"),
-        F.col("share").alias("p"))
-    # The previous window's shares, re-keyed to the window that follows it.
-    prev_keys = chain.filter(F.col("prev_start").isNotNull()).select(
-        "model", F.col("prev_start").alias("share_start"), F.col("window_start").alias("next_start"))
-    prev = (shares.withColumnRenamed("window_start", "share_start").join(prev_keys, ["model", "share_start"])
-            .select("model", F.col("next_start").alias("window_start"), F.col("share_start").alias("prev_start"),
-                    "category", F.col("share").alias("q")))
-    pairs = (cur.filter(F.col("prev_start").isNotNull())
-             .join(prev, ["model", "window_start", "prev_start", "category"], "full_outer")
-             .fillna({"p": 0.0, "q": 0.0, "n_cur": 0}))
-    pairs = pairs.join(totals.withColumnRenamed("total", "n_window"), ["model", "window_start"])
+    known = None
+    if baseline is not None:
+        chain = chain.withColumn("prev_start", F.lit(None).cast(chain.schema["window_start"].dataType))
+        per = baseline.groupBy(F.col(model).alias("model"), F.col(col).cast("string").alias("category")).agg(F.count(F.lit(1)).alias("n"))
+        known = null_safe_join(per, per.groupBy("model").agg(F.sum("n").alias("total")), ["model"])
+        known = materialize(known.withColumn("share", F.col("n") / F.col("total")))
+    prev = _against(shares, chain, known, ["category", "share"]).withColumnRenamed("share", "q")
+    compared = prev.select("model", "window_start", "prev_start").distinct()
+    cur = null_safe_join(shares.select("model", "window_start", "category", F.col("n").alias("n_cur"), F.col("share").alias("p")),
+                         compared, ["model", "window_start"])
+    pairs = null_safe_join(cur, prev, ["model", "window_start", "prev_start", "category"], "full_outer").fillna(
+        {"p": 0.0, "q": 0.0, "n_cur": 0})
+    pairs = null_safe_join(pairs, totals.withColumnRenamed("total", "n_window"), ["model", "window_start"])
     p, q = F.col("p"), F.col("q")
     m = (p + q) / F.lit(2.0)
     pf, qf = F.greatest(p, F.lit(eps)), F.greatest(q, F.lit(eps))
     expected = F.col("n_window") * qf
     kl = lambda a: F.when(a > 0, a * F.ln(a / m)).otherwise(F.lit(0.0))
-    metrics = pairs.groupBy("model", "window_start", "prev_start").agg(
+    names = ("total_variation", "js_divergence", "psi", "chi2")
+    metrics = pairs.groupBy("model", "window_start").agg(
         F.sum(F.abs(p - q) / F.lit(2.0)).alias("total_variation"),
         F.sum((kl(p) + kl(q)) / F.lit(2.0)).alias("js_divergence"),
         F.sum((pf - qf) * F.ln(pf / qf)).alias("psi"),
         F.sum(F.pow(F.col("n_cur") - expected, 2) / expected).alias("chi2"))
-    firsts = chain.filter(F.col("prev_start").isNull()).select("model", "window_start", "prev_start")
-    out = metrics.unionByName(firsts, allowMissingColumns=True)
-    return out.select("model", "window_start", "prev_start",
-                      *[F.round(c, digits).alias(c) for c in ("total_variation", "js_divergence", "psi", "chi2")])
+    out = null_safe_join(chain, metrics, ["model", "window_start"], "left")
+    return out.select("model", "window_start", "prev_start", *[F.round(c, digits).alias(c) for c in names])
 
 
 def monitor_drift_numeric(df: DataFrame, ts: str, model: str, col: str,
-                          granularity: str = GRANULARITY, digits: int = 6) -> DataFrame:
-    """Mean / std shift and the two-sample KS statistic against the previous filled window.
+                          granularity: str = GRANULARITY, digits: int = 6,
+                          baseline: DataFrame | None = None) -> DataFrame:
+    """Mean / std shift and the two-sample KS statistic against the previous filled window,
+    or, with ``baseline`` (columns ``model`` and ``col``), against that table's rows of the model.
 
     KS = max |F_cur(x) - F_prev(x)| over the union of observed values, from
     per-value counts (partial aggregate) and running sums per (model, window)
     that are split into value buckets (``grouped_running_totals``), so a busy
-    window is not ordered in one task.
+    window is not ordered in one task.  Mean and std come from one partial
+    aggregate over the rows.  A null model is a model of its own.
     """
-    base = with_window(df, ts, model, granularity).withColumn("v", F.col(col).cast("double")).filter(
-        F.col("v").isNotNull())
-    # One scan of the monitoring rows into a per-value histogram (repeated values collapse);
-    # window statistics and the KS curves are both derived from it.
+    value = F.col(col).cast("double")
+    base = with_window(df, ts, model, granularity).withColumn("v", value).filter(F.col("v").isNotNull())
+    moments = (F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"))
+    stats = materialize(base.groupBy("model", "window_start").agg(*moments))
+    # Repeated values collapse into a histogram; only the KS curves need it.
     hist = materialize(base.groupBy("model", "window_start", "v").agg(F.count(F.lit(1)).alias("c")))
-    stats = histogram_moments(hist, ["model", "window_start"], "v", "c")
     chain = _window_chain(stats)
-    nxt = chain.filter(F.col("prev_start").isNotNull())
-    cur_side = hist.join(nxt.select("model", "window_start"), ["model", "window_start"]).select(
-        "model", "window_start", "v", F.col("c").alias("c_cur"), F.lit(0).cast("long").alias("c_prev"))
-    # The previous window's values, re-keyed to the window that follows it.
-    prev_keys = nxt.select("model", F.col("prev_start").alias("hist_start"), F.col("window_start").alias("next_start"))
-    prev_side = (hist.withColumnRenamed("window_start", "hist_start").join(prev_keys, ["model", "hist_start"])
-                 .select("model", F.col("next_start").alias("window_start"), "v",
-                         F.lit(0).cast("long").alias("c_cur"), F.col("c").alias("c_prev")))
-    merged = (cur_side.unionByName(prev_side).groupBy("model", "window_start", "v")
-              .agg(F.sum("c_cur").alias("c_cur"), F.sum("c_prev").alias("c_prev")))
-    # A merged group holds the distinct values of two windows: bound it on the checkpointed histogram.
-    small = (hist.groupBy("model", "window_start").count()
-             .filter(F.col("count") > MAX_GROUP_ROWS // 2).isEmpty())
-    run = grouped_running_totals(merged, ["model", "window_start"], "v", ["c_cur", "c_prev"], small_groups=small)
+    known = known_stats = None
+    if baseline is not None:
+        chain = chain.withColumn("prev_start", F.lit(None).cast(chain.schema["window_start"].dataType))
+        rows = baseline.select(F.col(model).alias("model"), value.alias("v")).filter(F.col("v").isNotNull())
+        known = materialize(rows.groupBy("model", "v").agg(F.count(F.lit(1)).alias("c")))
+        known_stats = rows.groupBy("model").agg(*moments)
+    before = _against(hist, chain, known, ["v", "c"])
+    compared = before.select("model", "window_start").distinct()
+    zero = F.lit(0).cast("long")
+    cur_side = null_safe_join(hist, compared, ["model", "window_start"]).select(
+        "model", "window_start", "v", F.col("c").alias("c_cur"), zero.alias("c_prev"))
+    prev_side = before.select("model", "window_start", "v", zero.alias("c_cur"), F.col("c").alias("c_prev"))
+    merged = materialize(cur_side.unionByName(prev_side).groupBy("model", "window_start", "v")
+                         .agg(F.sum("c_cur").alias("c_cur"), F.sum("c_prev").alias("c_prev")))
+    run = grouped_running_totals(merged, ["model", "window_start"], "v", ["c_cur", "c_prev"])
     gaps = run.select("model", "window_start",
                       F.abs(F.col("cum_c_cur") / F.col("tot_c_cur") - F.col("cum_c_prev") / F.col("tot_c_prev")).alias("gap"))
     ks = gaps.groupBy("model", "window_start").agg(F.max("gap").alias("ks"))
-    prev_stats = stats.select("model", F.col("window_start").alias("prev_start"),
-                              F.col("mean").alias("mean_prev"), F.col("std").alias("std_prev"))
-    out = (stats.join(chain, ["model", "window_start"])
-           .join(prev_stats, ["model", "prev_start"], "left")
-           .join(ks, ["model", "window_start"], "left"))
+    prev_stats = _against(stats, chain, known_stats, ["mean", "std"]).select(
+        "model", "window_start", F.col("mean").alias("mean_prev"), F.col("std").alias("std_prev"))
+    out = null_safe_join(null_safe_join(stats, chain, ["model", "window_start"]), prev_stats, ["model", "window_start"], "left")
+    out = null_safe_join(out, ks, ["model", "window_start"], "left")
     return out.select(
         "model", "window_start", "prev_start",
         F.round("mean", digits).alias("mean_cur"), F.round("mean_prev", digits).alias("mean_prev"),

@@ -18,27 +18,31 @@ from pyspark.sql.types import NumericType, StringType, TimestampNTZType, Timesta
 
 from tidemark.functions.exprs import md5_normal, md5_uniform
 from tidemark.operators.sampling import bootstrap_sample
-from tidemark.plans.joins import bounded
+from tidemark.plans.joins import checked_small_side
 from tidemark.session import materialize
 
 CELLS = 65536  # equi-join cells for drawing categories by cumulative share
-MAX_CATEGORIES = 1_000_000
 
 
 def share_table(source: DataFrame, col: str) -> DataFrame:
     """Cumulative share interval ``[lo, hi)`` per category, categories in sorted order.
 
     Null is a category of its own (it is drawn as often as it occurs).  The
-    table has one row per category and is checked against ``MAX_CATEGORIES``
-    before it is ordered and broadcast.
+    categories are range-partitioned and written; each partition is summed,
+    and running sums are the partition's offset plus the sum inside it, so any
+    number of categories is ordered without one large task.
     """
-    counts = materialize(source.groupBy(F.col(col).alias("category")).agg(F.count(F.lit(1)).alias("n")))
-    if not bounded(counts, MAX_CATEGORIES):
-        raise ValueError(f"{col} has more than {MAX_CATEGORIES} categories; not a categorical column")
-    w = Window.orderBy(F.col("category").asc_nulls_first())
-    total = F.sum("n").over(Window.partitionBy())
-    cum = F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return counts.select("category", ((cum - F.col("n")) / total).alias("lo"), (cum / total).alias("hi"))
+    counts = source.groupBy(F.col(col).alias("category")).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts.repartitionByRange(F.col("category").asc_nulls_first())).withColumn("_part", F.spark_partition_id())
+    parts = counts.groupBy("_part").agg(F.sum("n").alias("_sum"))  # one row per partition
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"),
+                         F.sum("_sum").over(Window.partitionBy()).alias("_total"))
+    inside = F.sum("n").over(Window.partitionBy("_part").orderBy(F.col("category").asc_nulls_first())
+                             .rowsBetween(Window.unboundedPreceding, 0))
+    out = counts.withColumn("_in", inside).join(F.broadcast(parts), "_part").withColumn("_cum", F.col("_before") + F.col("_in"))
+    return materialize(out.select("category", ((F.col("_cum") - F.col("n")) / F.col("_total")).alias("lo"),
+                                  (F.col("_cum") / F.col("_total")).alias("hi")))
 
 
 def weights_table(spark: SparkSession, weights: Mapping[str, float]) -> DataFrame:
@@ -56,13 +60,13 @@ def draw_category(draws: DataFrame, table: DataFrame, u: Column, out_col: str) -
 
     Range join made equi: ``u`` falls in cell floor(u * CELLS); each category
     is expanded to the cells its interval touches (<= CELLS + categories rows,
-    broadcast), and the exact interval test runs after the hash join.
+    broadcast if measured small), and the exact interval test runs after the join.
     """
     cells = table.select("category", "lo", "hi", F.explode(F.sequence(
         F.floor(F.col("lo") * CELLS).cast("int"),
         F.least(F.floor(F.col("hi") * CELLS).cast("int"), F.lit(CELLS - 1)))).alias("_cell"))
     keyed = draws.withColumn("_u", u).withColumn("_cell", F.floor(F.col("_u") * CELLS).cast("int"))
-    out = keyed.join(F.broadcast(cells), "_cell").filter((F.col("_u") >= F.col("lo")) & (F.col("_u") < F.col("hi")))
+    out = keyed.join(checked_small_side(cells), "_cell").filter((F.col("_u") >= F.col("lo")) & (F.col("_u") < F.col("hi")))
     return out.withColumnRenamed("category", out_col).drop("_cell", "_u", "lo", "hi")
 
 

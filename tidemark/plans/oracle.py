@@ -7,16 +7,16 @@ single-node check at small scale).  Column names match the Spark results.
 
 from __future__ import annotations
 
-U32 = "4294967296.0"
+U52 = "4503599627370496.0::DOUBLE"
 
 
 def md5_u(text_sql: str) -> str:
     """SQL for the md5 uniform used by ``functions.exprs.md5_uniform``."""
-    return f"(('0x' || substr(md5({text_sql}), 1, 8))::BIGINT / {U32})"
+    return f"(('0x' || substr(md5({text_sql}), 1, 13))::BIGINT / {U52})"
 
 
 def md5_u_open(text_sql: str) -> str:
-    return f"((('0x' || substr(md5({text_sql}), 1, 8))::BIGINT + 0.5) / {U32})"
+    return f"((('0x' || substr(md5({text_sql}), 1, 13))::BIGINT + 0.5::DOUBLE) / {U52})"
 
 
 def md5_normal(seed_sql: str, row_sql: str) -> str:
@@ -343,6 +343,7 @@ ORACLE_SQL: dict[str, str] = {
           AND marital_f IN ('Single', 'Married', 'Widowed', 'Engaged', 'Unknown')
           AND alive IN ('Alive', 'Dead')""",
     "csv_scan": """SELECT n_nationkey, CASE WHEN n_regionkey IN (0, 1) THEN NULL ELSE n_name END AS n_name,
+                   'He said "' || n_name || '", then,' || chr(10) || 'left' AS quoted,
                    CASE WHEN n_regionkey = 4 THEN NULL ELSE n_regionkey END AS n_regionkey FROM nation""",
     # ---------------------------------------------------------------- profiles
     "numeric_profile": " UNION ALL ".join(

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import as_col, hash_text
+from tidemark.plans.joins import null_safe_join
 from tidemark.session import materialize
 
 PREFIX_HEX = 4  # 16^4 = 65,536 hash buckets: a proven bound for broadcast tables
@@ -32,8 +33,27 @@ def _offsets(bucket_totals: DataFrame, bucket_col: str, sum_cols: Sequence[str])
     return out.select(bucket_col, *[f"_off_{c}" for c in sum_cols])
 
 
+BUCKET_ROWS = 500_000  # rows that one task orders, about
+MAX_BUCKETS = 65_536  # cuts the driver holds; buckets grow beyond that
+
+
+def bucket_count(rows: int) -> int:
+    return min(MAX_BUCKETS, 1 + rows // BUCKET_ROWS)
+
+
+def _bucketed(df: DataFrame, key, buckets: int | None, out_col: str) -> DataFrame:
+    """Numbers the rows by the quantile range of ``key``; as many ranges as the table's size asks for."""
+    n = buckets or bucket_count(df.count())
+    keyed = df.withColumn("_bucket_key", key)
+    cuts = sorted({v for v in keyed.approxQuantile("_bucket_key", [i / n for i in range(1, n)], 0.1 / n) if v is not None}) if n > 1 else []
+    if not cuts:
+        return df.withColumn(out_col, F.lit(0.0))
+    splits = [float("-inf"), *cuts, float("inf")]
+    return Bucketizer(splits=splits, inputCol="_bucket_key", outputCol=out_col, handleInvalid="keep").transform(keyed).drop("_bucket_key")
+
+
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], descending: bool = False,
-                   buckets: int = 64, out_prefix: str = "cum_") -> DataFrame:
+                   buckets: int | None = None, out_prefix: str = "cum_") -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_col`` order.
 
     ``df`` must hold one row per distinct ``order_col`` value (aggregate first),
@@ -42,17 +62,11 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], desce
     """
     key = "_rt_key"
     base = df.withColumn(key, (-F.col(order_col) if descending else F.col(order_col)).cast("double"))
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(v for v in base.approxQuantile(key, probs, 0.001) if v is not None)) if probs else []
-    if cuts:
-        splits = [float("-inf")] + cuts + [float("inf")]
-        bucketed = Bucketizer(splits=splits, inputCol=key, outputCol="_rt_bucket").transform(base)
-    else:
-        bucketed = base.withColumn("_rt_bucket", F.lit(0.0))
+    bucketed = _bucketed(base, F.col(key), buckets, "_rt_bucket")
     totals = bucketed.groupBy("_rt_bucket").agg(*[F.sum(c).alias(c) for c in sum_cols])
     offsets = _offsets(totals, "_rt_bucket", sum_cols)
     within = Window.partitionBy("_rt_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    out = bucketed.join(F.broadcast(offsets), "_rt_bucket")  # <= buckets rows
+    out = bucketed.join(F.broadcast(offsets), "_rt_bucket")  # one row per bucket, MAX_BUCKETS at most
     for c in sum_cols:
         out = out.withColumn(f"{out_prefix}{c}", F.col(f"_off_{c}") + F.sum(c).over(within))
     return out.drop(key, "_rt_bucket", *[f"_off_{c}" for c in sum_cols])
@@ -164,12 +178,12 @@ def rows_at_ranks(df: DataFrame, key_cols: Sequence[str], seed: str | int, wante
 
 
 def tuple_leq(cols: Sequence[str | object], bound: Sequence[object]):
-    """Lexicographic ``(cols) <= (bound)`` as one boolean Column."""
-    cond = None
-    for i in range(len(cols) - 1, -1, -1):
-        c = as_col(cols[i])
-        lit = F.lit(bound[i])
-        cond = (c <= lit) if cond is None else ((c < lit) | ((c == lit) & cond))
+    """Lexicographic ``(cols) <= (bound)`` as one boolean Column; nulls are smallest, as in ``orderBy``."""
+    cond = F.lit(True)
+    for name, value in reversed(list(zip(cols, bound))):
+        c = as_col(name)
+        below = F.lit(False) if value is None else c.isNull() | (c < F.lit(value))
+        cond = below | (c.eqNullSafe(F.lit(value)) & cond)
     return cond
 
 
@@ -187,59 +201,39 @@ def exact_quantile(df: DataFrame, group_cols: Sequence[str], value_col: str, q:
     return exact_quantile_hist(hist, group_cols, value_col, "_c", q, out_col, distinct_col)
 
 
-MAX_GROUP_ROWS = 2_000_000  # rows one task may order for a single group
-
-
 def grouped_running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str, sum_cols: Sequence[str],
-                           buckets: int = 32, prefix: str = "cum_", total_prefix: str = "tot_",
-                           max_group_rows: int = MAX_GROUP_ROWS, small_groups: bool | None = None) -> DataFrame:
+                           buckets: int | None = None, prefix: str = "cum_", total_prefix: str = "tot_") -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_col`` order within each group,
     plus the group totals (``tot_<col>``); ``df`` has one row per (group, order value).
 
-    If every group has at most ``max_group_rows`` rows (checked with one
-    aggregate that stops at the first larger group), each group is ordered by
-    one window task.  Otherwise a group's rows are split into ``buckets`` value
-    ranges at per-group approximate quantiles (``percentile_approx``, a
-    mergeable sketch) and the ordered window runs per (group, bucket), so a
-    group holding a third of all rows is spread over ``buckets`` tasks; bucket
-    offsets come from the <= ``buckets`` totals of each group, so the sums
-    stay exact either way.  A caller that already knows the group sizes
-    passes ``small_groups`` and skips the check.
+    The values are cut into buckets at quantiles of the whole table, whose
+    number follows the table's size (``bucket_count``), and rows are ordered
+    per (group, bucket).  A group with a third of all rows covers a third of
+    the buckets at least, so no task orders a whole large group, and finding
+    a row's bucket needs no join.  Offsets come from the bucket totals of each
+    group.  A null group is a group like any other.
     """
-    if small_groups is None:
-        small_groups = df.groupBy(*group_cols).count().filter(F.col("count") > max_group_rows).isEmpty()
-    if small_groups:
-        w_run = Window.partitionBy(*group_cols).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-        w_all = Window.partitionBy(*group_cols)
-        out = df
-        for c in sum_cols:
-            out = out.withColumn(f"{prefix}{c}", F.sum(c).over(w_run)).withColumn(f"{total_prefix}{c}", F.sum(c).over(w_all))
-        return out
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.groupBy(*group_cols).agg(F.percentile_approx(order_col, probs, 10000).alias("_cuts"))
-    b = df.join(cuts, list(group_cols)).withColumn(  # a hot group's rows are split by AQE skew handling
-        "_bk", F.size(F.filter(F.col("_cuts"), lambda c: c < F.col(order_col)))).drop("_cuts")
-    totals = b.groupBy(*group_cols, "_bk").agg(*[F.sum(c).alias(f"_b_{c}") for c in sum_cols])
-    w_prev = Window.partitionBy(*group_cols).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*group_cols)
-    for c in sum_cols:
-        totals = (totals.withColumn(f"_off_{c}", F.coalesce(F.sum(f"_b_{c}").over(w_prev), F.lit(0)))
-                  .withColumn(f"{total_prefix}{c}", F.sum(f"_b_{c}").over(w_all)))
-    totals = totals.drop(*[f"_b_{c}" for c in sum_cols])
-    w_run = Window.partitionBy(*group_cols, "_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    out = b.join(totals, [*group_cols, "_bk"])
+    bucketed = _bucketed(df, F.col(order_col).cast("double"), buckets, "_bk")
+    totals = bucketed.groupBy(*group_cols, "_bk").agg(*[F.sum(c).alias(f"_b_{c}") for c in sum_cols])
+    before = Window.partitionBy(*group_cols).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group_cols)
+    offsets = totals.select(
+        *group_cols, "_bk",
+        *[F.coalesce(F.sum(f"_b_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
+        *[F.sum(f"_b_{c}").over(whole).alias(f"{total_prefix}{c}") for c in sum_cols])
+    run = Window.partitionBy(*group_cols, "_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    out = null_safe_join(bucketed, offsets, [*group_cols, "_bk"])
     for c in sum_cols:
-        out = out.withColumn(f"{prefix}{c}", F.col(f"_off_{c}") + F.sum(c).over(w_run))
+        out = out.withColumn(f"{prefix}{c}", F.col(f"_off_{c}") + F.sum(c).over(run))
     return out.drop("_bk", *[f"_off_{c}" for c in sum_cols])
 
 
 def exact_quantile_hist(hist: DataFrame, group_cols: Sequence[str], value_col: str, count_col: str, q: float,
-                        out_col: str = "quantile", distinct_col: str | None = None, buckets: int = 32,
-                        max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                        out_col: str = "quantile", distinct_col: str | None = None,
+                        buckets: int | None = None) -> DataFrame:
     """``quantile_cont`` from a (group, value, count) histogram of non-null values, with the
     running counts from ``grouped_running_totals`` (no group is ordered in one task)."""
-    h = (grouped_running_totals(hist, group_cols, value_col, [count_col], buckets, prefix="_cum_", total_prefix="_n_",
-                                max_group_rows=max_group_rows)
+    h = (grouped_running_totals(hist, group_cols, value_col, [count_col], buckets, prefix="_cum_", total_prefix="_n_")
          .withColumnRenamed(f"_cum_{count_col}", "_cum").withColumnRenamed(f"_n_{count_col}", "_n")
          .withColumn("_pos", F.lit(float(q)) * (F.col("_n") - 1))
          .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos")))

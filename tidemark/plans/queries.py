@@ -177,9 +177,10 @@ def csv_scan(spark, sf_dir):
         F.col("n_nationkey").cast("string").alias("n_nationkey"),
         F.when(F.col("n_regionkey") == 0, "NA").when(F.col("n_regionkey") == 1, "null")
          .otherwise(F.col("n_name")).alias("n_name"),
+        F.concat(F.lit('He said "'), F.col("n_name"), F.lit('", then,\nleft')).alias("quoted"),
         F.when(F.col("n_regionkey") == 4, "nan").otherwise(F.col("n_regionkey").cast("string")).alias("n_regionkey"))
-    csvsrc.write_csv(dirty.coalesce(1), path)
-    return csvsrc.csv_scan(spark, path, "n_nationkey int, n_name string, n_regionkey int")
+    csvsrc.write_csv(dirty, path)
+    return csvsrc.csv_scan(spark, path, "n_nationkey int, n_name string, quoted string, n_regionkey int")
 
 
 # --------------------------------------------------------------------------- profiles

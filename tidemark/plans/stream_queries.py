@@ -22,7 +22,7 @@ def stream_ingest(spark, sf_dir):
     payload.filter(F.col("request_time") < F.lit("2024-01-08").cast("timestamp_ntz")).write.mode(
         "append").parquet(log)
     out = T.stream_ingest(spark, log, payload.schema, D.MODEL_NAME, scratch_path(spark, "monitor_sink"),
-                          scratch_path(spark, "ingest_ckpt"), WATERMARK)
+                          scratch_path(spark, "ingest_ckpt"))
     return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 

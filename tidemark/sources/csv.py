@@ -10,9 +10,14 @@ from tidemark.functions.exprs import NA_TOKENS, nan_to_null, null_tokens
 
 
 def csv_scan(spark: SparkSession, path: str, schema: str | StructType,
-             na_tokens=NA_TOKENS) -> DataFrame:
+             na_tokens=NA_TOKENS, multi_line: bool = True) -> DataFrame:
     """Read CSV text with ``schema`` (never inferred).
 
+    Quoted fields follow the common rules: a doubled quote is a quote, and
+    commas and line breaks inside quotes are text.  Line breaks in quotes need
+    whole files per task; ``multi_line=False`` lets Spark split large files of
+    text that has none.
+
     Spark nulls only empty fields, so the text columns are read as strings
     first, the pandas tokens (``NA``, ``null``, ``None``, ``nan`` ...) are
     nulled, and only then are values cast to the declared types with
@@ -21,7 +26,8 @@ def csv_scan(spark: SparkSession, path: str, schema: str | StructType,
     """
     target = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     as_text = StructType([f.__class__(f.name, StringType(), True) for f in target.fields])
-    raw = spark.read.schema(as_text).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    raw = spark.read.schema(as_text).option("header", True).option("mode", "PERMISSIVE").option(
+        "escape", '"').option("multiLine", multi_line).csv(path)
     cols = []
     for f in target.fields:
         c = null_tokens(F.col(f"`{f.name}`"), na_tokens)
@@ -35,4 +41,4 @@ def csv_scan(spark: SparkSession, path: str, schema: str | StructType,
 
 def write_csv(df: DataFrame, path: str, na_token: str = "") -> None:
     """Write CSV with a header; nulls written as ``na_token``."""
-    df.write.mode("overwrite").option("header", True).option("nullValue", na_token).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option("nullValue", na_token).csv(path)

@@ -10,54 +10,61 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions import schemas as S
 from tidemark.operators import payload as P
+from tidemark.plans.joins import null_safe_join
+from tidemark.session import materialize
 
 DATE_COL = "date"
 KEYS = (S.REQUEST_ID_FIELD, "record_pos")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None where there is none yet; any other fault is raised."""
     try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+        return spark.read.parquet(path)
+    except AnalysisException as fault:
+        if fault.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def monitor_append(spark: SparkSession, rows: DataFrame, path: str, key_cols: Sequence[str] = KEYS,
                    time_col: str = "timestamp") -> int:
-    """Append unseen rows; returns how many were appended.
+    """Append unseen rows, each key once; returns how many were appended.
 
-    The batch is persisted for the duration of the refresh (date span, anti
-    join and write read it once).  The write goes through the ``rebalance``
-    hint on the date: each task writes few date folders, and AQE splits a
-    busy day over several tasks and merges quiet ones, so files stay near
-    the advisory size whatever the skew.
+    Repeated keys inside the batch are stored once.  Rows with a null key can't
+    be told apart by it and are compared as whole rows; null times equal each
+    other.  So a refresh over the same log appends nothing.  The batch is
+    written once to the shared scratch folder, and only the date partitions
+    that occur in it (one value per day reaches the driver) are read from the
+    stored table.  The write goes through the ``rebalance`` hint on the date:
+    each task writes few date folders, and AQE splits a busy day over several
+    tasks.
     """
-    batch = rows.withColumn(DATE_COL, F.to_date(F.col(time_col))).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if _exists(spark, path):
-            span = batch.agg(F.min(DATE_COL).alias("lo"), F.max(DATE_COL).alias("hi")).first()
-            if span["lo"] is None:
-                return 0
-            stored = (spark.read.parquet(path)
-                      .filter(F.col(DATE_COL).between(F.lit(span["lo"]), F.lit(span["hi"])))
-                      .select(DATE_COL, *key_cols))
-            fresh = batch.join(stored, [DATE_COL, *key_cols], "left_anti")
-        else:
-            fresh = batch
-        balanced = fresh.hint("rebalance", DATE_COL)
-        seen = Observation("monitor_append")
-        balanced.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(DATE_COL).parquet(path)
-        return int(seen.get.get("n", 0) or 0)
-    finally:
-        batch.unpersist()
+    keys, named = list(key_cols), sorted(rows.columns)
+    unknown = F.lit(False)
+    for k in keys:
+        unknown = unknown | F.col(k).isNull()
+    whole_row = F.when(unknown, F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in named]))
+    dated = rows.withColumns({DATE_COL: F.to_date(F.col(time_col)), "_row": whole_row})
+    batch = materialize(dated.dropDuplicates([*keys, "_row"]))
+    stored = _stored(spark, path)
+    if stored is not None:
+        days = [r[0] for r in batch.select(DATE_COL).distinct().collect()]
+        there = F.col(DATE_COL).isin([d for d in days if d is not None])
+        if None in days:
+            there = there | F.col(DATE_COL).isNull()
+        mine = stored.filter(there).withColumn("_row", whole_row).select(*keys, "_row")
+        batch = null_safe_join(batch, mine, [*keys, "_row"], "left_anti")
+    balanced = batch.drop("_row").hint("rebalance", DATE_COL)
+    seen = Observation("monitor_append")
+    balanced.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(DATE_COL).parquet(path)
+    return int(seen.get.get("n", 0) or 0)
 
 
 def refresh_monitor(spark: SparkSession, payload: DataFrame, path: str, model_name: str,
@@ -69,9 +76,9 @@ def refresh_monitor(spark: SparkSession, payload: DataFrame, path: str, model_na
     the rows appended (counted by ``observe`` in the write itself), or None
     when the payload is empty.
     """
-    if payload.isEmpty():
-        return None
     counts = P.stage_counts(payload).first().asDict()
+    if not counts["n_read"]:
+        return None
     rows = P.payload_to_monitor(payload, model_name, align=align)
     counts["n_appended"] = monitor_append(spark, rows, path)
     return {k: int(v or 0) for k, v in counts.items()}

@@ -1,8 +1,7 @@
 """Continuous monitor refresh with Structured Streaming.
 
 ``stream_ingest`` turns an ever-growing payload log into monitoring rows,
-each request record once (watermark-bounded de-duplication instead of
-re-reading the whole log).  ``stream_window_profile`` keeps 30-minute
+each request record once, by appending every micro-batch idempotently.  ``stream_window_profile`` keeps 30-minute
 tumbling profiles per model; a window is written once the watermark passes
 its end, and rows later than the watermark are dropped.  Both run with an
 ``availableNow`` trigger (process what is there, then stop) and keep their
@@ -13,40 +12,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemark.functions import schemas as S
 from tidemark.operators import payload as P
+from tidemark.sources.monitor_sink import DATE_COL, monitor_append
 
 
-def _run(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append", timeout_s: int = 600) -> None:
-    query = (stream.writeStream.format("parquet").outputMode(mode)
-             .option("path", sink).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination(timeout_s)
-    if query.isActive:
+def _finish(query: StreamingQuery, timeout_s: int | None) -> None:
+    """Wait for the end; only a caller that asks for a limit gets one."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
-        raise TimeoutError(f"stream to {sink} did not finish in {timeout_s}s")
+        raise TimeoutError(f"the stream did not finish in {timeout_s}s")
     if query.exception() is not None:
         raise query.exception()
 
 
-def ingest_stream(payload_stream: DataFrame, model_name: str, watermark: str = "1 hour") -> DataFrame:
-    """Payload stream -> monitoring rows, de-duplicated on (request id, record position)."""
-    parsed = P.parse_response(P.parse_request(payload_stream))
-    rows = P.flatten_record(P.first_prediction(P.explode_records(parsed)), model_name)
-    rows = P.drop_null_prediction(rows).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    return (rows.withWatermark("timestamp", watermark)
-            .dropDuplicatesWithinWatermark([S.REQUEST_ID_FIELD, "record_pos"]))
+def stream_ingest(spark: SparkSession, source_dir: str, schema: StructType | str, model_name: str, sink: str,
+                  checkpoint: str, align: bool = False, max_files: int | None = None,
+                  timeout_s: int | None = None) -> DataFrame:
+    """Payload files -> monitoring table, every record once, whatever the order of the files.
 
-
-def stream_ingest(spark: SparkSession, source_dir: str, schema: StructType | str, model_name: str,
-                  sink: str, checkpoint: str, watermark: str = "1 hour", max_files: int | None = None) -> DataFrame:
+    Each micro-batch goes through ``payload_to_monitor`` and the idempotent
+    ``monitor_append``, so batch and stream refreshes store the same rows, a
+    batch repeated after a failure adds nothing, and rows are never too late:
+    no watermark drops them.  Records without a prediction are not stored.
+    """
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    _run(ingest_stream(reader.parquet(source_dir), model_name, watermark), sink, checkpoint)
-    return spark.read.parquet(sink)
+
+    def store(batch: DataFrame, _: int) -> None:
+        rows = P.payload_to_monitor(batch, model_name, align, keep_all_if_no_prediction=False)
+        monitor_append(batch.sparkSession, rows, sink)
+
+    query = (reader.parquet(source_dir).writeStream.foreachBatch(store)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    _finish(query, timeout_s)
+    return spark.read.parquet(sink).drop(DATE_COL)
 
 
 def window_profile_stream(rows: DataFrame, ts: str, model: str, value: str, granularity: str = "30 minutes",
@@ -65,6 +70,12 @@ def window_profile_stream(rows: DataFrame, ts: str, model: str, value: str, gran
 
 
 def stream_window_profile(spark: SparkSession, source: DataFrame, ts: str, model: str, value: str, sink: str,
-                          checkpoint: str, granularity: str = "30 minutes", watermark: str = "1 hour") -> DataFrame:
-    _run(window_profile_stream(source, ts, model, value, granularity, watermark), sink, checkpoint)
+                          checkpoint: str, granularity: str = "30 minutes", watermark: str = "1 hour",
+                          timeout_s: int | None = None) -> DataFrame:
+    """The profiles of all windows that the watermark has closed; windows still open at the end are not in
+    the result and follow when later rows close them."""
+    profile = window_profile_stream(source, ts, model, value, granularity, watermark)
+    query = (profile.writeStream.format("parquet").outputMode("append").option("path", sink)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    _finish(query, timeout_s)
     return spark.read.parquet(sink)
