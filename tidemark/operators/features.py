@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.joins import MAX_BROADCAST_ROWS, checked_small_side
+from tidemark.plans.joins import MAX_BROADCAST_ROWS, bounded
+from tidemark.plans.ordered import range_ranks
 
 UNKNOWN_CODE = -1
 
@@ -21,19 +22,19 @@ def fit_category_codes(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column_name, category, code)``: sorted categories of each column -> 0..k-1.
 
     One pass unpivots the columns, ``distinct`` is a partial aggregate, and
-    ``dense_rank`` runs over the distinct table partitioned by column.
+    the distinct table is range-partitioned to number its rows, so a column
+    with many categories is not ordered in one task.
     """
     parts = ", ".join(f"'{c}', cast(`{c}` as string)" for c in cols)
     long = train.selectExpr(f"stack({len(cols)}, {parts}) as (column_name, category)")
     cats = long.filter(F.col("category").isNotNull()).distinct()
-    w = Window.partitionBy("column_name").orderBy("category")
-    return cats.withColumn("code", (F.dense_rank().over(w) - 1).cast("int"))
+    return range_ranks(cats, "column_name", "category", "code").withColumn("code", F.col("code").cast("int"))
 
 
 def apply_category_codes(df: DataFrame, codes: DataFrame, cols: Sequence[str], suffix: str = "",
                          max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Replace each column (or add ``col + suffix``) by its code, -1 when unseen or null."""
-    table = checked_small_side(codes, max_broadcast_rows)
+    table = F.broadcast(codes) if bounded(codes, max_broadcast_rows) else codes
     out = df
     for c in cols:
         lookup = table.filter(F.col("column_name") == c).select(

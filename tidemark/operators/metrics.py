@@ -125,11 +125,13 @@ def champion_challenger(df: DataFrame, label: str, champion: str, challenger: st
     A null champion F1 (no model yet) promotes the challenger.  The promote
     flag is a window over the four joined metric rows.
     """
-    def long(pred: str, name: str) -> DataFrame:
-        return (_unpivot(classification_metrics(df, label, pred), ["accuracy", "precision", "recall", "f1"])
-                .withColumnRenamed("value", name))
-
-    side = long(champion, "champion").join(long(challenger, "challenger"), "metric")
+    both = df.selectExpr(f"`{label}` as _label", f"stack(2, 'champion', `{champion}`, 'challenger', `{challenger}`) as (_model, _prediction)")
+    names = ["accuracy", "precision", "recall", "f1"]
+    rates = classification_metrics(both, "_label", "_prediction", by=["_model"])  # one scan for both models
+    parts = ", ".join(f"'{n}', cast(`{n}` as double)" for n in names)
+    long = rates.selectExpr("_model", f"stack({len(names)}, {parts}) as (metric, value)")
+    of = lambda model: F.max(F.when(F.col("_model") == model, F.col("value"))).alias(model)
+    side = long.groupBy("metric").agg(of("champion"), of("challenger"))
     wins = F.when(F.col("metric") == "f1",
                   (F.col("challenger") >= F.col("champion")) | F.col("champion").isNull())
     return side.withColumn("promote", F.max(wins).over(Window.partitionBy()))

@@ -17,12 +17,13 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import md5_parity_arm
 from tidemark.operators import metrics as M
 from tidemark.operators.features import apply_category_codes, fit_category_codes
+from tidemark.session import materialize
 
 # Reference hyper-parameters: learning rate 0.01, 1000 trees, depth 6.
 REFERENCE_PARAMS = {"stepSize": 0.01, "maxIter": 1000, "maxDepth": 6}
@@ -38,6 +39,19 @@ class TrainedModel:
     def prepare(self, df: DataFrame) -> DataFrame:
         return _prepare(df, self.codes, self.cat_cols, self.num_cols)
 
+    def save(self, path: str) -> None:
+        """Pipeline, codes and column roles under one folder, for a scoring job to ``load``."""
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        self.codes.write.mode("overwrite").parquet(f"{path}/codes")
+        spark = self.codes.sparkSession
+        spark.createDataFrame([(self.cat_cols, self.num_cols)], "cat_cols array<string>, num_cols array<string>").write.mode(
+            "overwrite").parquet(f"{path}/roles")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TrainedModel:
+        roles = spark.read.parquet(f"{path}/roles").first()
+        return cls(spark.read.parquet(f"{path}/codes"), PipelineModel.load(f"{path}/pipeline"), list(roles["cat_cols"]), list(roles["num_cols"]))
+
 
 def _prepare(df: DataFrame, codes: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str]) -> DataFrame:
     coded = apply_category_codes(df, codes, cat_cols, suffix="__code")
@@ -61,9 +75,10 @@ def _with_missing_flags(df: DataFrame, num_cols: Sequence[str]) -> DataFrame:
 
 def train_classifier(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str], label: str,
                      params: dict | None = None, seed: int = 42) -> TrainedModel:
-    codes = fit_category_codes(train, cat_cols)
+    # frozen: the codes of a fitted model don't change with the training table
+    codes = materialize(fit_category_codes(train, cat_cols))
     prepared = _with_missing_flags(_prepare(train, codes, cat_cols, num_cols), num_cols)
-    pipe = build_estimator(cat_cols, num_cols, label, params or {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1}, seed)
+    pipe = build_estimator(cat_cols, num_cols, label, params or REFERENCE_PARAMS, seed)
     return TrainedModel(codes, pipe.fit(prepared.withColumn(label, F.col(label).cast("double"))),
                         list(cat_cols), list(num_cols))
 

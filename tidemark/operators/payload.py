@@ -31,7 +31,9 @@ def build_request(records: Sequence[Sequence[Column]] | None = None, feature_col
     """
     if records is None:
         records = [[F.col(c) for c in feature_cols]]
-    structs = [F.struct(*[c.alias(n) for c, n in zip(rec, feature_cols)]) for rec in records]
+    numeric = {n for n, typ in S.FEATURE_FIELDS if typ == "double"}
+    clean = lambda c, n: nan_to_null(c.cast("double")) if n in numeric else c
+    structs = [F.struct(*[clean(c, n).alias(n) for c, n in zip(rec, feature_cols)]) for rec in records]
     return F.to_json(F.struct(F.array(*structs).alias(S.RECORDS_FIELD)), {"ignoreNullFields": "false"})
 
 
@@ -178,18 +180,24 @@ def quarantine(payload: DataFrame, request_col: str = "request") -> DataFrame:
 
     Requests are read twice in one projection: typed, and with every field as
     text.  A field present as text whose typed value is null had the wrong
-    type.  (Casting the text instead of the typed read would differ: Spark
+    type; fields that a record lacks or has beyond the declared ones are
+    reasons of their own, by name.  (Casting the text instead of the typed read would differ: Spark
     re-quotes bare NaN in text mode.)  Unparsable requests and empty record
     lists keep one rejected row (``posexplode_outer``), so nothing disappears
     silently.
     """
     typed = F.from_json(F.col(request_col), S.REQUEST_SCHEMA)[S.RECORDS_FIELD]
     raw = F.from_json(F.col(request_col), S.RAW_REQUEST_SCHEMA)[S.RECORDS_FIELD]
-    pairs = F.arrays_zip(typed.alias("t"), raw.alias("r"))
+    text = F.from_json(F.col(request_col), f"`{S.RECORDS_FIELD}` array<string>")[S.RECORDS_FIELD]
+    names = F.array(*[F.lit(n) for n, _ in S.FEATURE_FIELDS])
+    pairs = F.arrays_zip(typed.alias("t"), raw.alias("r"), F.transform(text, F.json_object_keys).alias("k"))
     df = payload.select(S.REQUEST_ID_FIELD, typed.isNull().alias("_unparsed"),
                         F.posexplode_outer(pairs).alias("record_pos", "_rec"))
     reason = F.when(F.col("_unparsed"), F.lit("unparsable_request")).when(
         F.col("_rec").isNull(), F.lit("no_records"))
+    missing, unknown = F.array_except(names, F.col("_rec.k")), F.array_except(F.col("_rec.k"), names)
+    reason = reason.when(F.size(missing) > 0, F.concat(F.lit("missing:"), F.get(missing, 0)))
+    reason = reason.when(F.size(unknown) > 0, F.concat(F.lit("unknown:"), F.get(unknown, 0)))
     for name, typ in S.FEATURE_FIELDS:
         if typ != "string":
             t, r = F.col(f"_rec.t.{name}"), F.col(f"_rec.r.{name}")

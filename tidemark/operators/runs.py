@@ -2,34 +2,44 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def metric_steps(metrics: DataFrame, run_col: str = "run_id", key_col: str = "key",
-                 value_col: str = "value", step_col: str = "step") -> DataFrame:
+def metric_steps(metrics: DataFrame, run_col: str = "run_id", key_col: str = "key", value_col: str = "value",
+                 step_col: str = "step", time_col: str | None = None) -> DataFrame:
     """Latest value per (run, metric): the value logged at the highest step.
 
-    Two values logged at the same step tie; the larger one wins, so the
-    result never depends on row order.  ``max`` of the (step, value) struct
-    is a partial aggregate, so a run with millions of steps does not gather
-    its rows in one place.
+    Of values logged at the same step the one with the latest ``time_col``
+    counts; without it, or at equal times, the larger value, so the result
+    never depends on row order.  ``max`` of the struct is a partial aggregate,
+    so a run with millions of steps does not gather its rows in one place.
     """
-    top = F.max(F.struct(F.col(step_col).alias("s"), F.col(value_col).alias("v"))).alias("_top")
+    times = [F.col(time_col).alias("t")] if time_col else []
+    top = F.max(F.struct(F.col(step_col).alias("s"), *times, F.col(value_col).alias("v"))).alias("_top")
     return metrics.groupBy(run_col, key_col).agg(top).select(
         run_col, key_col, F.col("_top.v").alias(value_col), F.col("_top.s").alias(step_col))
 
 
+COMPARE = {"=": operator.eq, "!=": operator.ne, ">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le}
+
+
 def run_search(runs: DataFrame, metrics: DataFrame | None = None, status: str | None = None,
-               started_after=None, name_like: str | None = None, metric_key: str | None = None,
-               metric_min: float | None = None, tag: tuple[str, str] | None = None,
-               tag_not: tuple[str, str] | None = None, run_col: str = "run_id") -> DataFrame:
-    """Filter runs like a tracking-server search string, newest first.
+               started_after=None, name_like: str | None = None,
+               metric_conditions: Sequence[tuple[str, str, float]] = (),
+               tag_conditions: Sequence[tuple[str, str, str]] = (),
+               param_conditions: Sequence[tuple[str, str, str]] = (),
+               order_by: Sequence[Column | str] | None = None, run_col: str = "run_id") -> DataFrame:
+    """Filter runs like a tracking-server search string; newest first unless ``order_by`` says otherwise.
 
-    Metric conditions use each run's latest value and a ``left_semi`` join,
-    so runs are never duplicated by their metric rows.
+    Conditions are (key, operator, value) with =, !=, <, <=, > or >= and must
+    all hold.  Metric conditions use each run's latest value: one aggregate
+    marks the runs that meet all of them, and a ``left_semi`` join keeps those,
+    so runs are never duplicated by their metric rows.  ``tags`` and ``params``
+    are map columns; a run without the key meets only ``!=``.
     """
     out = runs
     if status is not None:
@@ -38,15 +48,19 @@ def run_search(runs: DataFrame, metrics: DataFrame | None = None, status: str |
         out = out.filter(F.col("start_time") > F.lit(started_after))
     if name_like is not None:
         out = out.filter(F.col("run_name").like(name_like))
-    if tag is not None:
-        out = out.filter(F.col("tags")[tag[0]] == tag[1])
-    if tag_not is not None:
-        out = out.filter(F.coalesce(F.col("tags")[tag_not[0]] != tag_not[1], F.lit(True)))
-    if metric_key is not None and metrics is not None:
-        latest = metric_steps(metrics, run_col).filter(
-            (F.col("key") == metric_key) & (F.col("value") > F.lit(metric_min)))
-        out = out.join(latest.select(run_col), run_col, "left_semi")
-    return out.orderBy(F.col("start_time").desc(), F.col(run_col))
+    for column, conditions in (("tags", tag_conditions), ("params", param_conditions)):
+        for key, op, value in conditions:
+            held = COMPARE[op](F.col(column)[key], F.lit(value))
+            out = out.filter(F.coalesce(held, F.lit(op == "!=")))
+    if metric_conditions and metrics is not None:
+        latest = metric_steps(metrics, run_col)
+        met = [F.max(F.when(F.col("key") == key, COMPARE[op](F.col("value"), F.lit(value)))).alias(f"_c{i}")
+               for i, (key, op, value) in enumerate(metric_conditions)]
+        good = latest.groupBy(run_col).agg(*met)
+        for i in range(len(met)):
+            good = good.filter(F.col(f"_c{i}"))
+        out = out.join(good.select(run_col), run_col, "left_semi")
+    return out.orderBy(*(order_by or [F.col("start_time").desc()]), F.col(run_col))
 
 
 def latest_per_model(versions: DataFrame, model_col: str, version_col: str,

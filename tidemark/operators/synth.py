@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType, TimestampNTZType, TimestampType
 
-from tidemark.functions.exprs import md5_normal, md5_uniform
+from tidemark.functions.exprs import md5_normal, md5_uniform, nan_to_null
 from tidemark.operators.sampling import bootstrap_sample
 from tidemark.plans.joins import checked_small_side
 from tidemark.session import materialize
@@ -144,7 +144,8 @@ def column_profile(source: DataFrame, numeric: Sequence[str] = (), timestamps: S
                    ) -> tuple[dict[str, tuple], dict[str, tuple]]:
     """Mean/std of numeric columns and min/max (epoch micros) of timestamp columns, in one aggregate."""
     us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    aggs = [e for c in numeric for e in (F.avg(c).alias(f"{c}__m"), F.stddev_samp(c).alias(f"{c}__s"))]
+    known = lambda c: nan_to_null(F.col(c).cast("double"))
+    aggs = [e for c in numeric for e in (F.avg(known(c)).alias(f"{c}__m"), F.stddev_samp(known(c)).alias(f"{c}__s"))]
     aggs += [e for c in timestamps for e in (F.min(us(c)).alias(f"{c}__lo"), F.max(us(c)).alias(f"{c}__hi"))]
     if not aggs:
         return {}, {}

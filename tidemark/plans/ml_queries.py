@@ -14,6 +14,7 @@ from tidemark.operators import features, model as Mo
 from tidemark.operators.sampling import exact_split
 from tidemark.plans import standins as D
 from tidemark.plans.queries import query
+from tidemark.session import materialize, scratch_path
 
 CAT = ["lang", "source"]
 NUM = ["n_chars"]
@@ -74,3 +75,32 @@ def ab_score(spark, sf_dir):
 def param_sweep(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
     return Mo.param_sweep(train, CAT, NUM, LABEL, {"maxDepth": [2, 3], "maxIter": [5]}, parallelism=2)
+
+
+@query
+def batch_score_check(spark, sf_dir):
+    """Every test document scored once, with a label text and a class that agree with the probability."""
+    train, test = _split(spark, sf_dir)
+    scored = Mo.batch_score(Mo.train_classifier(train, CAT, NUM, LABEL, SMALL), test, keep=["doc_id"], text_label=True)
+    text = F.when(F.col("prediction") == 1, "alive").otherwise("dead")
+    return scored.select("doc_id", ((F.col("label_text") == text) & ((F.col("probability") > 0.5) == (F.col("prediction") == 1))).alias("consistent"))
+
+
+@query
+def ab_score_check(spark, sf_dir):
+    """The arm that scored each test document."""
+    return ab_score(spark, sf_dir).select("doc_id", "model")
+
+
+@query
+def model_roundtrip(spark, sf_dir):
+    """Fit on a stored table, save, overwrite that table, load and score: the same as before."""
+    train, test = _split(spark, sf_dir)
+    path = scratch_path(spark, "train_table")
+    train.write.parquet(path)
+    fitted = Mo.train_classifier(spark.read.parquet(path), CAT, NUM, LABEL, SMALL)
+    before = materialize(Mo.batch_score(fitted, test, keep=["doc_id"]))
+    fitted.save(f"{path}-model")
+    train.withColumn("lang", F.lit("aa")).write.mode("overwrite").parquet(path)
+    after = Mo.batch_score(Mo.TrainedModel.load(spark, f"{path}-model"), test, keep=["doc_id"]).withColumnRenamed("probability", "later")
+    return before.join(after.select("doc_id", "later"), "doc_id").select("doc_id", (F.col("probability") == F.col("later")).alias("same"))

@@ -496,7 +496,8 @@ ORACLE_SQL: dict[str, str] = {
                         CASE WHEN o_custkey % 2 = 0 THEN 'even' ELSE 'odd' END AS segment FROM orders)
         SELECT run_id, run_name, start_time, status FROM runs
         WHERE status = 'FINISHED' AND start_time > TIMESTAMP '1995-01-01 00:00:00' AND run_name LIKE '%URGENT%'
-          AND segment = 'even' AND run_id IN (SELECT run_id FROM latest WHERE key = 'quantity' AND value > 25.0)""",
+          AND segment = 'even' AND run_id IN (SELECT run_id FROM latest WHERE key = 'quantity' AND value > 25.0)
+          AND run_id IN (SELECT run_id FROM latest WHERE key = 'discount' AND value <= 0.06)""",
     "runs_json_scan": """SELECT o_orderkey AS run_id, 'totalprice' AS key, o_totalprice AS value FROM orders
                          UNION ALL SELECT o_orderkey, 'custkey', o_custkey::DOUBLE FROM orders""",
     "latest_per_model": """SELECT p_brand, max(p_partkey) AS latest_version, arg_max(p_name, p_partkey) AS p_name,
@@ -541,3 +542,38 @@ ORACLE_SQL: dict[str, str] = {
         WHERE window_start + INTERVAL '30 minutes' <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'
         GROUP BY window_start, model""",
 }
+
+_CURRENT = "mbase AS (SELECT window_start, CASE WHEN model <> 'error' THEN model END AS model, value, prediction, category FROM named)"
+ORACLE_SQL["monitor_quality"] = f"""WITH {MONITOR_BASE.strip()},
+    cm AS (SELECT window_start, window_start + INTERVAL '30 minutes' AS window_end, model, {cm_sql('prediction')}
+           FROM (SELECT *, (value > 40)::INT AS y FROM mbase) GROUP BY ALL)
+    SELECT window_start, window_end, model, {RATES} FROM cm"""
+ORACLE_SQL["monitor_drift_null_model"] = f"""WITH {MONITOR_BASE.strip().replace('mbase AS', 'named AS', 1)}, {_CURRENT},
+    shown AS (SELECT * REPLACE (coalesce(model, '') AS model) FROM mbase)
+    SELECT * REPLACE (nullif(model, '') AS model) FROM ({drift_numeric_body('shown')})"""
+ORACLE_SQL["monitor_drift_baseline"] = f"""WITH {MONITOR_BASE.strip()},
+    b AS (SELECT event_type AS model, 's' || (user_id % 4)::VARCHAR AS category, count(*) AS n FROM events WHERE user_id % 3 = 0 GROUP BY ALL),
+    bs AS (SELECT model, category, n / sum(n) OVER (PARTITION BY model) AS q FROM b),
+    c AS (SELECT model, window_start, category, count(*) AS n FROM mbase GROUP BY ALL),
+    w AS (SELECT model, window_start, sum(n) AS total FROM c GROUP BY ALL),
+    keys AS (SELECT model, window_start, category FROM c
+             UNION SELECT w.model, w.window_start, bs.category FROM w JOIN bs USING (model)),
+    pairs AS (SELECT k.model, k.window_start, w.total::DOUBLE AS total, coalesce(c.n, 0)::DOUBLE AS n, coalesce(c.n, 0)::DOUBLE / w.total AS p,
+                     coalesce(bs.q, 0)::DOUBLE AS q
+              FROM keys k JOIN w USING (model, window_start) LEFT JOIN c USING (model, window_start, category)
+              LEFT JOIN bs ON bs.model = k.model AND bs.category = k.category
+              WHERE k.model IN (SELECT model FROM bs)),
+    f AS (SELECT *, greatest(p, 1e-4) AS pf, greatest(q, 1e-4) AS qf, (p + q) / 2 AS m FROM pairs),
+    d AS (SELECT model, window_start, sum(abs(p - q) / 2) AS tv,
+                 sum((CASE WHEN p > 0 THEN p * ln(p / m) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(q / m) ELSE 0 END) / 2) AS js,
+                 sum((pf - qf) * ln(pf / qf)) AS psi, sum(pow(n - total * qf, 2) / (total * qf)) AS chi2 FROM f GROUP BY ALL)
+    SELECT w.model, w.window_start, NULL::TIMESTAMP AS prev_start, round(tv, 6) AS total_variation, round(js, 6) AS js_divergence,
+           round(psi, 6) AS psi, round(chi2, 6) AS chi2 FROM w LEFT JOIN d USING (model, window_start)"""
+ORACLE_SQL["train_test_tables"] = f"""SELECT Id, CASE WHEN row_number() OVER (ORDER BY md5('42:' || Id), Id) <= ceil(0.2 * count(*) OVER ())
+    THEN 'test' ELSE 'train' END AS side, TIMESTAMP '2024-02-01 00:00:00' AS update_timestamp_utc FROM ({ORACLE_SQL['clean_table']})"""
+_TEST_DOCS = f"""WITH {SCORED_DOCS.strip()}, r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id::VARCHAR), doc_id) AS rn,
+    count(*) OVER () AS n FROM preds), t AS (SELECT doc_id FROM r WHERE rn <= ceil(0.2 * n))"""
+ORACLE_SQL["batch_score_check"] = f"{_TEST_DOCS} SELECT doc_id, TRUE AS consistent FROM t"
+ORACLE_SQL["model_roundtrip"] = f"{_TEST_DOCS} SELECT doc_id, TRUE AS same FROM t"
+ORACLE_SQL["ab_score_check"] = f"""{_TEST_DOCS} SELECT doc_id, CASE WHEN ('0x' || substr(md5(doc_id::VARCHAR), 32, 1))::INT % 2 = 1
+    THEN 'Model A' ELSE 'Model B' END AS model FROM t"""

@@ -177,6 +177,22 @@ def rows_at_ranks(df: DataFrame, key_cols: Sequence[str], seed: str | int, wante
     return located.drop("_hb", "_start").join(ranked, rank_col)
 
 
+def range_ranks(df: DataFrame, group_col: str, order_col: str, out_col: str) -> DataFrame:
+    """0-based place of each row in ``order_col`` order inside its group (no nulls, no ties).
+
+    The rows are range-partitioned by group and order and written; a row's
+    place is its partition's offset in the group plus its place inside, so
+    only one row per group and partition is ever gathered.
+    """
+    ranged = materialize(df.repartitionByRange(group_col, order_col)).withColumn("_part", F.spark_partition_id())
+    before = Window.partitionBy(group_col).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy(group_col, "_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        group_col, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(group_col, "_part").orderBy(order_col)
+    return (ranged.withColumn("_in", F.row_number().over(inside)).join(parts, [group_col, "_part"])
+            .withColumn(out_col, F.col("_before") + F.col("_in") - 1).drop("_part", "_in", "_before"))
+
+
 def tuple_leq(cols: Sequence[str | object], bound: Sequence[object]):
     """Lexicographic ``(cols) <= (bound)`` as one boolean Column; nulls are smallest, as in ``orderBy``."""
     cond = F.lit(True)

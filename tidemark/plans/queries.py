@@ -324,6 +324,35 @@ def monitor_drift_numeric(spark, sf_dir):
     return monitor.monitor_drift_numeric(D.monitor_rows(spark, sf_dir), "ts", "model_name", "value")
 
 
+@query
+def monitor_quality(spark, sf_dir):
+    rows = D.monitor_rows(spark, sf_dir).withColumn("y", (F.col("value") > 40).cast("int"))
+    return monitor.monitor_quality(rows, "ts", "model_name", "y", "prediction")
+
+
+@query
+def monitor_drift_baseline(spark, sf_dir):
+    """Each window against a fixed baseline table: the events of every third user."""
+    rows = D.monitor_rows(spark, sf_dir)
+    return monitor.monitor_drift_categorical(rows, "ts", "model_name", "segment", baseline=rows.filter(F.col("user_id") % 3 == 0))
+
+
+@query
+def monitor_drift_null_model(spark, sf_dir):
+    """Events without a known type are a model of their own."""
+    rows = D.monitor_rows(spark, sf_dir).withColumn("model_name", F.when(F.col("model_name") != "error", F.col("model_name")))
+    return monitor.monitor_drift_numeric(rows, "ts", "model_name", "value")
+
+
+@query
+def train_test_tables(spark, sf_dir):
+    """Clean, split exactly and save: the two tables as a training job finds them."""
+    split = sampling.exact_split(clean.clean_table(D.raw_characters(spark, sf_dir)), ["Id"])
+    paths = snapshots.save_train_test(split, scratch_path(spark, "train_test"), load_time=F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    both = [spark.read.parquet(p).select("Id", F.lit(side).alias("side"), "update_timestamp_utc") for p, side in zip(paths, ("train", "test"))]
+    return both[0].unionByName(both[1])
+
+
 # --------------------------------------------------------------------------- metrics
 
 @query
@@ -446,8 +475,8 @@ def change_feed(spark, sf_dir):
 def run_search(spark, sf_dir):
     found = runs.run_search(D.runs_table(spark, sf_dir), D.metric_rows(spark, sf_dir), status="FINISHED",
                             started_after=F.lit("1995-01-01 00:00:00").cast("timestamp_ntz"),
-                            name_like="%URGENT%", metric_key="quantity", metric_min=25.0,
-                            tag=("segment", "even"))
+                            name_like="%URGENT%", metric_conditions=[("quantity", ">", 25.0), ("discount", "<=", 0.06)],
+                            tag_conditions=[("segment", "!=", "odd")], order_by=[F.col("run_name"), F.col("start_time")])
     return found.select("run_id", "run_name", "start_time", "status")
 
 

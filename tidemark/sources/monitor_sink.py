@@ -18,6 +18,7 @@ from tidemark.functions import schemas as S
 from tidemark.operators import payload as P
 from tidemark.plans.joins import null_safe_join
 from tidemark.session import materialize
+from tidemark.sources.tables import read_target, write_target
 
 DATE_COL = "date"
 KEYS = (S.REQUEST_ID_FIELD, "record_pos")
@@ -26,9 +27,9 @@ KEYS = (S.REQUEST_ID_FIELD, "record_pos")
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None where there is none yet; any other fault is raised."""
     try:
-        return spark.read.parquet(path)
+        return read_target(spark, path)
     except AnalysisException as fault:
-        if fault.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if fault.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND"):
             return None
         raise
 
@@ -63,7 +64,7 @@ def monitor_append(spark: SparkSession, rows: DataFrame, path: str, key_cols: Se
         batch = null_safe_join(batch, mine, [*keys, "_row"], "left_anti")
     balanced = batch.drop("_row").hint("rebalance", DATE_COL)
     seen = Observation("monitor_append")
-    balanced.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(DATE_COL).parquet(path)
+    write_target(balanced.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(DATE_COL), path)
     return int(seen.get.get("n", 0) or 0)
 
 

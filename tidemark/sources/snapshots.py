@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.tables import is_name, write_target
+
 VERSION_COL = "_version"
 LOAD_TIME_COL = "update_timestamp_utc"
 
@@ -30,13 +32,14 @@ def with_load_time(df: DataFrame, load_time: Column | str | None = None, col: st
 
 def snapshot_overwrite(df: DataFrame, path: str, load_time: Column | str | None = None) -> None:
     """Full replace of a table (train/test tables are rewritten on every run), stamped with the load time."""
-    with_load_time(df, load_time).write.mode("overwrite").parquet(path)
+    write_target(with_load_time(df, load_time).write.mode("overwrite"), path)
 
 
 def save_train_test(split: DataFrame, base_path: str, split_col: str = "split",
                     load_time: Column | str | None = None) -> tuple[str, str]:
     """Write the two sides of a split as ``train`` and ``test`` tables (overwrite)."""
-    paths = (f"{base_path.rstrip('/')}/train", f"{base_path.rstrip('/')}/test")
+    base = base_path.rstrip("/")
+    paths = (f"{base}_train", f"{base}_test") if is_name(base) else (f"{base}/train", f"{base}/test")
     for side, path in zip(("train", "test"), paths):
         snapshot_overwrite(split.filter(F.col(split_col) == side).drop(split_col), path, load_time)
     return paths
