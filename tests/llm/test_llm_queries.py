@@ -44,7 +44,7 @@ def test_pipeline_stages(spark, sf_small, tmp_path):
     rows = {n: [r.asDict() for r in d.collect()] for n, d in kept.items()}
     assert len(rows["language"]) == first.count()  # every text is clean in this respect
     component = similar_brute([(r["doc_id"], r["text"]) for r in rows["quality"]])
-    assert {r["doc_id"] for r in rows["near_duplicates"]} == {i for i, (_, c) in component.items() if i == c}
+    assert {r["doc_id"] for r in rows["near_duplicates"]} == {i for i, (_, c, _) in component.items() if i == c}
     from tokenizers import Tokenizer
 
     tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))

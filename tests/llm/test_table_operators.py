@@ -47,7 +47,8 @@ def similar_brute(rows):
     sets = {i: shingles(t) for i, t in rows}
     ids = sorted(sets)
     linked = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
-    return {i: (len(sets[i]), c) for i, c in groups(ids, linked).items()}
+    n = {i: sum(i in pair for pair in linked) for i in ids}
+    return {i: (len(sets[i]), c, n[i]) for i, c in groups(ids, linked).items()}
 
 
 def test_ngram_join(spark):
@@ -66,7 +67,7 @@ def test_ngram_join(spark):
     rows += [None, "", "  ", "one", "ONE", "one two", "a b c d e", "a b c d e f", "x " * 30_000, "x " * 30_001, "x " * 30_000 + "y"]
     rows = list(enumerate(rows))
     got = ngram_join.similar(spark.createDataFrame(rows, "doc_id bigint, text string"))
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == similar_brute(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in got.collect()} == similar_brute(rows)
 
 
 def test_ngram_join_small_blocks(spark, monkeypatch):
@@ -81,7 +82,7 @@ def test_ngram_join_small_blocks(spark, monkeypatch):
         rows.append((i, " ".join(c)))
     for name, value in (("BLOCK_ROWS", 8), ("COLUMNS", 16), ("CHUNK", 500)):
         monkeypatch.setattr(ngram_join, name, value)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.similar(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got == similar_brute(rows)
     sets = [np.sort(np.array(list({hash(x) for x in shingles(t)}), np.int64)) for _, t in rows]
     n = np.array([len(s) for s in sets])
@@ -94,8 +95,8 @@ def test_ngram_join_edge_cases(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert ngram_join.similar(empty).count() == 0
     rows = spark.createDataFrame([(5, "a b c"), (None, "A B c"), (5, "a b c"), (7, "a  b c"), (None, None)], "doc_id bigint, text string")
-    got = [(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.similar(rows).collect()]
-    assert sorted(got, key=str) == sorted([(5, 1, 5), (None, 1, 5), (5, 1, 5), (7, 1, 5), (None, 0, None)], key=str)
+    got = [tuple(r) for r in ngram_join.similar(rows).collect()]
+    assert sorted(got, key=str) == sorted([(5, 1, 5, 3), (None, 1, 5, 3), (5, 1, 5, 3), (7, 1, 5, 3), (None, 0, None, 0)], key=str)
 
 
 def vectors(spark, seed, extra=True):

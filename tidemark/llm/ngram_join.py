@@ -16,7 +16,8 @@ pairs of classes whose sets overlap by ``percent`` of their union or more.
 4. Overlaps.  A pair of blocks cuts the n-grams they share, in global order, into
    fragments.  Partial overlaps of all its pairs are counted fragment by fragment and
    summed per pair; pairs that can't reach the bound any more fall out.  The sum is exact,
-   and only one local root per class leaves the task, so no group is written out as pairs.
+   every pair of classes is met once at most, and only a number of links and one local root
+   per class leave the task, so no group is written out as pairs.
 
 Sets of one text are told apart by 64 bits, n-grams inside a fragment by 40 bits and the
 fragment's own: within one pair of texts a false match is about as likely as 1 in 10^8.
@@ -249,7 +250,8 @@ def overlapping(n_a: np.ndarray, a: list[np.ndarray], n_b: np.ndarray, b: list[n
 
 
 def links(classes: DataFrame, percent: int) -> DataFrame:
-    """Links between classes, as (a, b): in each pair of blocks every class and its local root."""
+    """Links of classes (key, n, copies, prefix, grams): per pair of blocks every linked class, the rows linked to it there
+    and its local root, as (key, n_links, root)."""
     spark = classes.sparkSession
     entries = classes.select("key", F.size("prefix").alias("m"), F.octet_length("grams").alias("bytes"), F.explode("prefix").alias("gram"))
     held = entries.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
@@ -265,54 +267,59 @@ def links(classes: DataFrame, percent: int) -> DataFrame:
 
     def gather(t: pa.Table) -> pa.Table:
         grams = t["grams"].to_pylist()
-        values = (t["block"][0].as_py(), t["key"].to_numpy().tobytes(), t["n"].to_numpy().tobytes(), np.array([len(g) // 8 for g in grams], np.int64).tobytes(), b"".join(grams))
-        return pa.table([pa.array([values[0]], pa.int64()), *[pa.array([v], pa.binary()) for v in values[1:]]], names=["block", "keys", "ns", "counts", "grams"])
+        values = [t[c].to_numpy().tobytes() for c in ("key", "n", "copies")] + [np.array([len(g) // 8 for g in grams], np.int64).tobytes(), b"".join(grams)]
+        return pa.table([t["block"].slice(0, 1), *[pa.array([v], pa.binary()) for v in values]], names=["block", *names])
 
-    blocks = materialize(classes.select("key", "n", "grams").join(placed, "key").groupBy("block").applyInArrow(gather, "block bigint, keys binary, ns binary, counts binary, grams binary"))
-    side = lambda s: blocks.select(F.col("block").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("keys", "ns", "counts", "grams")])
+    names = ["keys", "ns", "copies", "counts", "grams"]
+    blocks = materialize(classes.select("key", "n", "copies", "grams").join(placed, "key").groupBy("block").applyInArrow(gather, "block bigint, " + ", ".join(f"{c} binary" for c in names)))
+    side = lambda s: blocks.select(F.col("block").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in names])
     # a block with itself travels once
-    joined = pairs.join(side("x"), "x").join(side("y"), "y").select("x_keys", "x_ns", "x_counts", "x_grams", *[F.when(F.col("x") != F.col("y"), F.col(f"y_{c}")).alias(f"y_{c}") for c in ("keys", "ns", "counts", "grams")])
+    joined = pairs.join(side("x"), "x").join(side("y"), "y").select(*[f"x_{c}" for c in names], *[F.when(F.col("x") != F.col("y"), F.col(f"y_{c}")).alias(f"y_{c}") for c in names])
 
-    def unpack(keys: bytes, ns: bytes, counts: bytes, grams: bytes) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    def unpack(keys: bytes, ns: bytes, copies: bytes, counts: bytes, grams: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
         at = np.cumsum(np.frombuffer(counts, np.int64))[:-1]
-        return np.frombuffer(keys, np.int64), np.frombuffer(ns, np.int64), np.split(np.frombuffer(grams, np.int64), at)
+        return *(np.frombuffer(x, np.int64) for x in (keys, ns, copies)), np.split(np.frombuffer(grams, np.int64), at)
 
     def compare(b: pa.RecordBatch) -> pa.RecordBatch:
-        nodes, roots = [], []
+        found: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(3)]
         for row in zip(*[c.to_pylist() for c in b.columns]):
-            key_a, n_a, a = unpack(*row[:4])
-            key_b, n_b, other = (key_a, n_a, a) if row[4] is None else unpack(*row[4:])
-            i, j = overlapping(n_a, a, n_b, other, percent)
-            if row[4] is None:
+            key, n_a, copies, a = unpack(*row[:5])
+            if row[5] is None:
+                i, j = overlapping(n_a, a, n_a, a, percent)
                 i, j = i[i < j], j[i < j]
-                key = key_a
             else:
-                j, key = j + len(key_a), np.concatenate([key_a, key_b])
+                key_b, n_b, copies_b, other = unpack(*row[5:])
+                i, j = overlapping(n_a, a, n_b, other, percent)
+                j, key, copies = j + len(key), np.concatenate([key, key_b]), np.concatenate([copies, copies_b])
             if len(i):
+                n = np.bincount(i, copies[j], len(key)) + np.bincount(j, copies[i], len(key))
                 order = np.argsort(key)  # local roots are smallest keys
                 back = np.empty(len(key), np.int64)
                 back[order] = np.arange(len(key))
                 root = local_roots(len(key), back[i], back[j])
-                moved = np.flatnonzero(root != np.arange(len(key)))
-                nodes.append(key[order][moved])
-                roots.append(key[order][root[moved]])
-        empty = [np.zeros(0, np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes or empty)), pa.array(np.concatenate(roots or empty))], ["a", "b"])
+                met = np.flatnonzero(n[order])
+                for held, values in zip(found, (key[order][met], n[order][met].astype(np.int64), key[order][root[met]])):
+                    held.append(values)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found], ["key", "n_links", "root"])
 
-    out = map_batches(joined, compare, "a bigint, b bigint")
+    out = map_batches(joined, compare, "key bigint, n_links bigint, root bigint")
     small_batches(spark, 8)
     return out
 
 
 def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: id, ``n_shingles`` and ``component_id``, the smallest id reachable over links."""
+    """Per row: id, ``n_shingles``, ``component_id`` (the smallest id reachable over links) and ``n_links`` (other rows linked directly)."""
     docs = materialize(keyed(df, id_col, text_col, n))
-    total = docs.where("key IS NOT NULL").groupBy("key").agg(F.first("n_shingles").alias("n")).agg(F.sum("n")).first()[0] or 0
-    bits = max(MIN_FRAGMENTS.bit_length() - 1, min(22, int(total // FRAGMENT).bit_length()))
-    classes = materialize(prefixes(shared_grams(fragments(df, text_col, n, bits), bits), percent))
-    roots = connected_components(links(classes, percent))
-    ids = docs.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("least"))
-    of = ids.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    known = materialize(docs.where("key IS NOT NULL").groupBy("key").agg(F.first("n_shingles").alias("n"), F.count("*").alias("copies"), F.min("id").alias("least")))
+    total = known.agg(F.sum("n")).first()[0] or 0
+    bits = max(MIN_FRAGMENTS.bit_length() - 1, int(total // FRAGMENT).bit_length())
+    classes = prefixes(shared_grams(fragments(df, text_col, n, bits), bits), percent)
+    classes = materialize(classes.join(known.select("key", "copies"), "key"))
+    met = materialize(links(classes, percent))
+    roots = connected_components(met.select(F.col("key").alias("a"), F.col("root").alias("b")))
+    of = known.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    of = of.join(met.groupBy("key").agg(F.sum("n_links").alias("n_links")), "key", "left")
     component = of.groupBy("root").agg(F.min("least").alias("component"))
-    of = of.join(component, "root").select("key", "component")
-    return docs.join(of, "key", "left").select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"))
+    n_links = F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1
+    of = of.join(component, "root").select("key", "component", n_links.alias("n_links"))
+    return docs.join(of, "key", "left").select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))

@@ -17,6 +17,23 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(table(spark, sf_dir, "documents"), n=5, percent=80)
 
 
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+r(doc_id, reach) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.reach = l.x),
+c AS (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY 1),
+k AS (SELECT x AS doc_id, count(*) AS n_links FROM l GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, coalesce(k.n_links, 0) AS n_links
+FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = quality.classify(docs.select("doc_id", "text"), docs, labels.where(~held_out()), max_labelled=4000)
@@ -63,6 +80,19 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link(table(spark, sf_dir, "embeddings"), least=0.9)
 
 
+OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r(vec_id, reach) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.y FROM r JOIN l ON r.reach = l.x),
+c AS (SELECT vec_id, min(reach) AS component_id FROM r GROUP BY 1),
+k AS (SELECT x AS vec_id, count(*) AS n_links FROM l GROUP BY 1)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN k USING (vec_id)
+"""
+
+
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html_text.extract(table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
@@ -112,8 +142,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_join": OP1_SQL,
     "op4_mixing": OP4_SQL,
     "op5_hilbert_search": OP5_SQL,
+    "op7_embedding_dedup": OP7_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
