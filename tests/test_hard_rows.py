@@ -175,3 +175,14 @@ def test_run_search_conditions(spark):
 def test_metric_ties_go_to_the_latest(spark):
     df = spark.createDataFrame([(1, "m", 0.9, 5, 10), (1, "m", 0.2, 5, 11)], "run_id int, key string, value double, step int, ts int")
     assert runs.metric_steps(df, time_col="ts").first()["value"] == 0.2 and runs.metric_steps(df).first()["value"] == 0.9
+
+
+def test_several_granularities_and_share_tables_from_one_scan(spark):
+    rows = monitored(spark)
+    both = monitor.at_granularities(monitor.monitor_profile, rows, "ts", "model", ["v"], ["1 hour", "2 hours"])
+    for g in ("1 hour", "2 hours"):
+        one = monitor.monitor_profile(rows, "ts", "model", ["v"], granularity=g)
+        assert sorted(map(str, map(tuple, both.where(F.col("granularity") == g).select(*one.columns).collect()))) == sorted(map(str, map(tuple, one.collect())))
+    counted = synth.category_counts(rows, ["c", "model"])
+    for c in ("c", "model"):
+        assert sorted(map(str, synth.share_table(rows, c, counted).collect())) == sorted(map(str, synth.share_table(rows, c).collect()))

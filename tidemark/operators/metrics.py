@@ -21,7 +21,9 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def confusion_matrix(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
+def confusion_matrix(df: DataFrame, label: str, prediction: str, by: Sequence[str] = (),
+                     also: Sequence[Column] = ()) -> DataFrame:
+    """Confusion counts, per group if ``by`` is given; ``also`` adds aggregates of the same pass."""
     y, p = _c(label), _c(prediction)
     aggs = [
         F.count_if((y == 1) & (p == 1)).alias("tp"),
@@ -29,6 +31,7 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str, by: Sequence[st
         F.count_if((y == 0) & (p == 0)).alias("tn"),
         F.count_if((y == 1) & (p == 0)).alias("fn"),
         F.count(F.lit(1)).alias("n"),
+        *also,
     ]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
@@ -110,7 +113,10 @@ def evaluate(df: DataFrame, label: str, prediction: str, score: str | None = Non
     """All metrics as ``(metric, value)`` rows (the tracking server's EAV shape).
 
     Each family is its own one-row aggregate; the unpivoted rows are unioned.
+    With a score the scored columns are written once first, so scoring runs once.
     """
+    if score is not None:
+        df = materialize(df.select(label, prediction, score))
     long = _unpivot(classification_metrics(df, label, prediction),
                     ["tp", "fp", "tn", "fn", "n", "accuracy", "precision", "recall", "f1"])
     if score is not None:

@@ -120,9 +120,9 @@ def ab_score(model_a: TrainedModel, model_b: TrainedModel, df: DataFrame, id_col
 
 def ab_summary(scored: DataFrame, label: str, prediction: str = "prediction", arm: str = "model") -> DataFrame:
     """Per arm: rows, share of positive predictions, F1."""
-    cm = M.classification_metrics(scored, label, prediction, by=[arm])
-    shares = scored.groupBy(arm).agg(F.avg(F.col(prediction).cast("double")).alias("positive_share"))
-    return cm.join(shares, arm).select(arm, F.col("n").alias("n_rows"), "positive_share", "f1")
+    share = F.avg(F.col(prediction).cast("double")).alias("positive_share")
+    cm = M.rates(M.confusion_matrix(scored, label, prediction, by=[arm], also=[share]))  # one scan
+    return cm.select(arm, F.col("n").alias("n_rows"), "positive_share", "f1")
 
 
 def param_sweep(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str], label: str,

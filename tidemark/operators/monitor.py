@@ -8,7 +8,8 @@ value counts) run on the aggregated tables, partitioned by model or by
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -199,3 +200,10 @@ def monitor_drift_numeric(df: DataFrame, ts: str, model: str, col: str,
         F.round(F.col("mean") - F.col("mean_prev"), digits).alias("mean_shift"),
         F.round("std", digits).alias("std_cur"), F.round("std_prev", digits).alias("std_prev"),
         F.round("ks", digits).alias("ks"))
+
+
+def at_granularities(profile: Callable[..., DataFrame], df: DataFrame, ts: str, model: str, column, granularities: Sequence[str],
+                     **arguments) -> DataFrame:
+    """Any profile or drift function of this module at several window lengths, told apart by ``granularity``."""
+    parts = [profile(df, ts, model, column, granularity=g, **arguments).withColumn("granularity", F.lit(g)) for g in granularities]
+    return reduce(DataFrame.unionByName, parts)

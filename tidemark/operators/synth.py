@@ -24,15 +24,27 @@ from tidemark.session import materialize
 CELLS = 65536  # equi-join cells for drawing categories by cumulative share
 
 
-def share_table(source: DataFrame, col: str) -> DataFrame:
+def category_counts(source: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows per (column, category) of several columns from one scan."""
+    parts = ", ".join(f"'{c}', cast(`{c}` as string)" for c in cols)
+    long = source.selectExpr(f"stack({len(cols)}, {parts}) as (column_name, category)")
+    return materialize(long.groupBy("column_name", "category").agg(F.count(F.lit(1)).alias("n")))
+
+
+def share_table(source: DataFrame, col: str, counted: DataFrame | None = None) -> DataFrame:
     """Cumulative share interval ``[lo, hi)`` per category, categories in sorted order.
 
     Null is a category of its own (it is drawn as often as it occurs).  The
     categories are range-partitioned and written; each partition is summed,
     and running sums are the partition's offset plus the sum inside it, so any
-    number of categories is ordered without one large task.
+    number of categories is ordered without one large task.  ``counted`` is
+    the ``category_counts`` of a caller that needs several columns.
     """
-    counts = source.groupBy(F.col(col).alias("category")).agg(F.count(F.lit(1)).alias("n"))
+    if counted is not None:
+        of_type = F.col("category").cast(source.schema[col].dataType)
+        counts = counted.filter(F.col("column_name") == col).select(of_type.alias("category"), "n")
+    else:
+        counts = source.groupBy(F.col(col).alias("category")).agg(F.count(F.lit(1)).alias("n"))
     counts = materialize(counts.repartitionByRange(F.col("category").asc_nulls_first())).withColumn("_part", F.spark_partition_id())
     parts = counts.groupBy("_part").agg(F.sum("n").alias("_sum"))  # one row per partition
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -169,8 +181,9 @@ def synth_table(spark: SparkSession, source: DataFrame, n: int, numeric: Sequenc
                            factor=1.5 if c in scale else None) for c in numeric},
         **{c: timestamp_draw(*tss[c], seed, c) for c in timestamps},
     })
+    counted = category_counts(source, categorical) if len(categorical) > 1 else None
     for c in categorical:
-        out = draw_category(out, share_table(source, c), md5_uniform(f"{seed}:{c}", F.col("row_id")), c)
+        out = draw_category(out, share_table(source, c, counted), md5_uniform(f"{seed}:{c}", F.col("row_id")), c)
     for c in bootstrap:
         out = out.join(synth_bootstrap(spark, source, key_cols, c, n, seed), "row_id")
     out = out.withColumn("Id", (F.lit(int(base_id)) + F.col("row_id")).cast("string"))
