@@ -25,6 +25,8 @@ def fit_category_codes(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     the distinct table is range-partitioned to number its rows, so a column
     with many categories is not ordered in one task.
     """
+    if not cols:
+        return train.sparkSession.createDataFrame([], "column_name string, category string, code int")
     parts = ", ".join(f"'{c}', cast(`{c}` as string)" for c in cols)
     long = train.selectExpr(f"stack({len(cols)}, {parts}) as (column_name, category)")
     cats = long.filter(F.col("category").isNotNull()).distinct()

@@ -59,7 +59,7 @@ def _prepare(df: DataFrame, codes: DataFrame, cat_cols: Sequence[str], num_cols:
 
 
 def build_estimator(cat_cols: Sequence[str], num_cols: Sequence[str], label: str, params: dict,
-                   seed: int = 42) -> Pipeline:
+                    seed: int = 42) -> Pipeline:
     num_in = [f"{c}__num" for c in num_cols]
     num_out = [f"{c}__imp" for c in num_cols]
     imputer = Imputer(inputCols=num_in, outputCols=num_out, strategy="median")
@@ -69,7 +69,7 @@ def build_estimator(cat_cols: Sequence[str], num_cols: Sequence[str], label: str
     return Pipeline(stages=[imputer, assembler, gbt])
 
 
-def _with_missing_flags(df: DataFrame, num_cols: Sequence[str]) -> DataFrame:
+def with_missing_flags(df: DataFrame, num_cols: Sequence[str]) -> DataFrame:
     return df.withColumns({f"{c}__miss": F.col(f"{c}__num").isNull().cast("double") for c in num_cols})
 
 
@@ -77,7 +77,7 @@ def train_classifier(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequen
                      params: dict | None = None, seed: int = 42) -> TrainedModel:
     # frozen: the codes of a fitted model don't change with the training table
     codes = materialize(fit_category_codes(train, cat_cols))
-    prepared = _with_missing_flags(_prepare(train, codes, cat_cols, num_cols), num_cols)
+    prepared = with_missing_flags(_prepare(train, codes, cat_cols, num_cols), num_cols)
     pipe = build_estimator(cat_cols, num_cols, label, params or REFERENCE_PARAMS, seed)
     return TrainedModel(codes, pipe.fit(prepared.withColumn(label, F.col(label).cast("double"))),
                         list(cat_cols), list(num_cols))
@@ -85,7 +85,7 @@ def train_classifier(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequen
 
 def batch_score(model: TrainedModel, df: DataFrame, keep: Sequence[str] = (), text_label: bool = False) -> DataFrame:
     """``prediction`` (int) and ``probability`` of class 1; optional ``label_text``."""
-    prepared = _with_missing_flags(model.prepare(df), model.num_cols)
+    prepared = with_missing_flags(model.prepare(df), model.num_cols)
     scored = model.pipeline.transform(prepared)
     out = scored.select(*keep, F.col("prediction").cast("int").alias("prediction"),
                         vector_to_array("probability")[1].alias("probability"))
@@ -129,7 +129,7 @@ def param_sweep(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[st
                 grid: dict[str, list], seed: int = 42, parallelism: int = 2) -> DataFrame:
     """Train one model per parameter combination; area under ROC on a held-out part."""
     codes = fit_category_codes(train, cat_cols)
-    prepared = _with_missing_flags(_prepare(train, codes, cat_cols, num_cols), num_cols).withColumn(
+    prepared = with_missing_flags(_prepare(train, codes, cat_cols, num_cols), num_cols).withColumn(
         label, F.col(label).cast("double"))
     pipe = build_estimator(cat_cols, num_cols, label, {}, seed)
     gbt = pipe.getStages()[-1]

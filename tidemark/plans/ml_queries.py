@@ -30,9 +30,10 @@ def _split(spark, sf_dir):
 
 @query
 def feature_vector(spark, sf_dir):
-    train, _ = _split(spark, sf_dir)
-    codes = features.fit_category_codes(train, CAT)
-    coded = features.apply_category_codes(train, codes, CAT, suffix="__code")
+    """All documents with the codes of the training side, where one source was not yet known: it codes to -1."""
+    train, test = _split(spark, sf_dir)
+    codes = features.fit_category_codes(train.filter(F.col("source") != "src1"), CAT)
+    coded = features.apply_category_codes(train.unionByName(test), codes, CAT, suffix="__code")
     vec = features.feature_vector(coded, [f"{c}__code" for c in CAT], NUM)
     arr = vector_to_array("features")
     slots = [f"{c}__code" for c in CAT] + NUM  # assembler order: codes first, then numeric columns
@@ -49,6 +50,16 @@ def train_classifier(spark, sf_dir):
     return spark.createDataFrame(rows, "tree int, weight double, num_nodes int")
 
 
+@query
+def train_stump(spark, sf_dir):
+    """One tree of depth one on a yes/no feature: its two leaf values are plain averages."""
+    train, _ = _split(spark, sf_dir)
+    train = train.withColumn("is_en", (F.col("lang") == "en").cast("int"))
+    fitted = Mo.train_classifier(train, [], ["is_en"], LABEL, {"maxIter": 1, "maxDepth": 1})
+    scored = fitted.pipeline.transform(Mo.with_missing_flags(fitted.prepare(train), ["is_en"]))
+    return scored.select("is_en", F.round(vector_to_array("rawPrediction")[1], 9).alias("leaf_value")).distinct()
+
+
 @query
 def batch_score(spark, sf_dir):
     train, test = _split(spark, sf_dir)

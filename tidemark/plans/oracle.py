@@ -526,11 +526,11 @@ ORACLE_SQL: dict[str, str] = {
         ranked AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || doc_id::VARCHAR), doc_id) AS rn,
                           count(*) OVER () AS n FROM scored JOIN (SELECT doc_id, lang, source FROM documents) USING (doc_id)),
         train AS (SELECT * FROM ranked WHERE rn > ceil(0.2 * n)),
-        cl AS (SELECT category, dense_rank() OVER (ORDER BY category) - 1 AS code FROM (SELECT DISTINCT lang AS category FROM train)),
-        cs AS (SELECT category, dense_rank() OVER (ORDER BY category) - 1 AS code FROM (SELECT DISTINCT source AS category FROM train))
+        cl AS (SELECT category, dense_rank() OVER (ORDER BY category) - 1 AS code FROM (SELECT DISTINCT lang AS category FROM train WHERE source <> 'src1')),
+        cs AS (SELECT category, dense_rank() OVER (ORDER BY category) - 1 AS code FROM (SELECT DISTINCT source AS category FROM train WHERE source <> 'src1'))
         SELECT t.doc_id, coalesce(cl.code, -1)::DOUBLE AS f_lang__code, coalesce(cs.code, -1)::DOUBLE AS f_source__code,
                t.n_chars::DOUBLE AS f_n_chars
-        FROM train t LEFT JOIN cl ON cl.category = t.lang LEFT JOIN cs ON cs.category = t.source""",
+        FROM ranked t LEFT JOIN cl ON cl.category = t.lang LEFT JOIN cs ON cs.category = t.source""",
     # ---------------------------------------------------------------- streaming
     "stream_ingest": f"WITH {PAYLOAD_RECORDS.strip()} SELECT * FROM monitor WHERE prediction IS NOT NULL",
     "stream_window_profile": f"""WITH w AS (
@@ -577,3 +577,13 @@ ORACLE_SQL["batch_score_check"] = f"{_TEST_DOCS} SELECT doc_id, TRUE AS consiste
 ORACLE_SQL["model_roundtrip"] = f"{_TEST_DOCS} SELECT doc_id, TRUE AS same FROM t"
 ORACLE_SQL["ab_score_check"] = f"""{_TEST_DOCS} SELECT doc_id, CASE WHEN ('0x' || substr(md5(doc_id::VARCHAR), 32, 1))::INT % 2 = 1
     THEN 'Model A' ELSE 'Model B' END AS model FROM t"""
+ORACLE_SQL["train_stump"] = f"""WITH {SCORED_DOCS.strip()},
+    ranked AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || doc_id::VARCHAR), doc_id) AS rn, count(*) OVER () AS n
+               FROM scored JOIN (SELECT doc_id, lang FROM documents) USING (doc_id))
+    SELECT (lang = 'en')::INT AS is_en, round(avg(2.0::DOUBLE * y - 1), 9) AS leaf_value FROM ranked WHERE rn > ceil(0.2 * n) GROUP BY 1"""
+ORACLE_SQL["evaluate_scores"] = f"""WITH {SCORED_DOCS.strip()}, cm AS (SELECT {cm_sql('pred_a')} FROM preds),
+    r AS (SELECT tp::DOUBLE AS tp, fp::DOUBLE AS fp, tn::DOUBLE AS tn, fn::DOUBLE AS fn, n::DOUBLE AS n, accuracy, precision, recall, f1 FROM (SELECT {RATES} FROM cm))
+    SELECT metric, round(value, 9) AS value FROM (UNPIVOT r ON tp, fp, tn, fn, n, accuracy, precision, recall, f1 INTO NAME metric VALUE value)
+    UNION ALL SELECT 'log_loss', log_loss FROM ({ORACLE_SQL['log_loss']})
+    UNION ALL SELECT 'roc_auc', roc_auc FROM ({ORACLE_SQL['roc_auc']})
+    UNION ALL SELECT 'pr_auc', pr_auc FROM ({ORACLE_SQL['pr_auc']})"""

@@ -381,6 +381,12 @@ def pr_auc(spark, sf_dir):
     return metrics.pr_auc(D.scored_documents(spark, sf_dir), "y", "score_a").select(F.round("pr_auc", 9).alias("pr_auc"))
 
 
+@query
+def evaluate_scores(spark, sf_dir):
+    """All metrics of stored scores, as (metric, value)."""
+    return metrics.evaluate(D.scored_documents(spark, sf_dir), "y", "pred_a", "score_a")
+
+
 @query
 def champion_challenger(spark, sf_dir):
     return metrics.champion_challenger(D.scored_documents(spark, sf_dir), "y", "pred_a", "pred_b")
