@@ -42,9 +42,3 @@ RESPONSE_RAW_SCHEMA = StructType([
 ])
 PREDICTIONS_SCHEMA = ArrayType(IntegerType())
 LABELS_SCHEMA = StructType([StructField(LABEL_FIELD, ArrayType(StringType()), True)])
-# The text-label wrapper answers {"predictions": {"Survival prediction": ["alive", ...]}}.
-LABEL_RESPONSE_SCHEMA = StructType([
-    StructField(PREDICTIONS_FIELD, StructType([
-        StructField(LABEL_FIELD, ArrayType(StringType()), True),
-    ]), True),
-])

@@ -13,12 +13,9 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions import schemas as S
-from tidemark.functions.exprs import as_col, epoch_ms, nan_to_null
+from tidemark.functions.exprs import epoch_ms, nan_to_null
 
 FEATURES = [n for n, _ in S.FEATURE_FIELDS]
-NUMERIC_FEATURES = [n for n, t in S.FEATURE_FIELDS if t == "double"]
-MONITOR_COLUMNS = ["timestamp", "timestamp_ms", S.REQUEST_ID_FIELD, "execution_duration_ms", "record_pos",
-                   *FEATURES, "prediction", "model_name"]
 
 
 # --------------------------------------------------------------------------- build
