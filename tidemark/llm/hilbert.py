@@ -213,7 +213,7 @@ def ask(queries: DataFrame, indexed: DataFrame, by_curve: list[Blocks], k: int,
             i, j, exact = i[order], j[order], exact[order]
             place = np.arange(len(i)) - np.searchsorted(i, i, side="left")
             kept = place < k
-            out.append(pa.table({"query_id": pa.array(q_ids[i[kept]]), "vec_id": pa.array(ids[j[kept]]), "score": pa.array(exact[kept]), "copy": pa.array(np.zeros(int(kept.sum()), np.int64))}))
+            out.append(pa.table({"query_id": pa.array(q_ids[i[kept]]), "vec_id": pa.array(ids[j[kept]]), "score": pa.array(exact[kept])}))
         return pa.concat_tables(out)
 
     small_batches(queries.sparkSession, QUERIES)
@@ -224,9 +224,11 @@ def ask(queries: DataFrame, indexed: DataFrame, by_curve: list[Blocks], k: int,
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                yield from rank(b).drop(["copy"]).to_batches()
+                yield from rank(b).to_batches()
 
-    return materialize(joined.mapInArrow(ranked, "query_id bigint, vec_id bigint, score double"))
+    out = materialize(joined.mapInArrow(ranked, "query_id bigint, vec_id bigint, score double"))
+    small_batches(queries.sparkSession)
+    return out
 
 
 def best(found: DataFrame, k: int) -> DataFrame:

@@ -45,7 +45,7 @@ from tidemark.session import materialize
 FRAGMENT = 8_000_000
 MIN_FRAGMENTS = 32
 LANE = 40
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 BLOCK_ROWS, BLOCK_GRAMS = 512, 400_000
 COLUMNS = 4096
 BYTES = 1 << 20
@@ -316,6 +316,7 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     classes = prefixes(shared_grams(fragments(df, text_col, n, bits), bits), percent)
     classes = materialize(classes.join(known.select("key", "copies"), "key"))
     met = materialize(links(classes, percent))
+    small_batches(df.sparkSession)
     roots = connected_components(met.select(F.col("key").alias("a"), F.col("root").alias("b")))
     of = known.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     of = of.join(met.groupBy("key").agg(F.sum("n_links").alias("n_links")), "key", "left")
