@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, mixing, ngram_join, packing, quality
-from tidemark.llm.frames import held_out, table
+from tidemark.llm.frames import held_out, pin_splits, table
 from tidemark.session import scratch_path
 
 MIN_QUALITY = 0.3
@@ -34,7 +34,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id; of its repeated rows the first."""
     row = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("doc_id"), F.monotonically_increasing_id().alias("row"))
-    named = docs.select(row.alias("_pipeline_row"), *docs.columns)  # docs is a file scan, so row numbers come again
+    pin_splits(spark)
+    named = docs.select(row.alias("_pipeline_row"), *docs.columns)  # a file scan with pinned splits gives the same row numbers again
     groups = ngram_join.similar(named, id_col="_pipeline_row")
     gone = groups.where("_pipeline_row != component_id").select(F.col("_pipeline_row.row").alias("_gone"))
     return named.join(gone, F.col("_pipeline_row.row") == F.col("_gone"), "left_anti").select(*docs.columns)

@@ -18,6 +18,12 @@ def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def pin_splits(spark: SparkSession) -> None:
+    """Keep the splits of file scans as they are now for this session, also if executors come or go between two reads."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

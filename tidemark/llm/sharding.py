@@ -10,7 +10,7 @@ Feistel bijection, so places stay gapless and no task holds a whole shard.
 
 The driver holds one count per partition and shard, nothing per row.  The input
 must come back in the same partitions when it is read twice or after a lost
-task: a file scan or a checkpoint.  Nulls, ties and repeated rows do not matter;
+task: a checkpoint, or a file scan, whose splits are pinned for the session.  Nulls, ties and repeated rows do not matter;
 rows are dealt by position alone, so equal texts are spread like any others.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.frames import small_batches
+from tidemark.llm.frames import pin_splits, small_batches
 
 BLOCK_ROWS = 2048
 #: The library's generator takes populations below this; larger ones are drawn by distinct places.
@@ -79,6 +79,7 @@ def shard(df: DataFrame, shards: int = 16, seed: int = 11, shard_col: str = "sha
 
     Input columns named like the new ones give way."""
     spark = df.sparkSession
+    pin_splits(spark)
     base = df.drop(shard_col, slot_col)
     found = {r[0]: r[1] for r in base.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()}
     counts = [found.get(p, 0) for p in range(max(found, default=-1) + 1)]
