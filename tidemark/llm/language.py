@@ -33,7 +33,7 @@ from tidemark.llm.frames import map_batches, slices, with_field
 ORDER = 4
 BITS = 16
 BLANK = 0x20
-CHARS = 1 << 20
+CHARS = 1 << 19
 MASKS = [np.uint64((1 << BITS * n) - 1) for n in range(ORDER + 1)]
 FAR = 0xFFFF  # letters beyond the basic plane share one value
 

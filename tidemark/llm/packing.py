@@ -32,7 +32,7 @@ from tidemark.llm.token_counts import byte_symbols
 
 LENGTH = 2048
 CHARS = 1 << 20
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 400_000
 
 
 def piece_lengths(n: int, length: int = LENGTH) -> list[int]:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import words as W
 from tidemark.llm.frames import map_batches, slices, with_field
 
-CHARS = 1 << 20
+CHARS = 1 << 19
 KINDS = 32
 #: Separate classes of frequent marks; every other character has the class of its kind.
 MARKS = "\n.,!?;:'\"()-_$&#%*|/<>@"
