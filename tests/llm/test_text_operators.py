@@ -138,6 +138,33 @@ def test_html_main_text(spark):
     assert html_text.extract(rows.limit(0)).count() == 0 and html_text.extract(rows, out="html").columns[-1] == "html"
 
 
+TEXT = "A first sentence, which is long enough. A second one follows, and it ends here."
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        (f'<p>{TEXT} See <a href="/item?id=42&ref=share">the report</a>, please.</p>', f"{TEXT} See the report, please."),
+        (f'<p data-id="comments">{TEXT}</p>', TEXT),
+        (f'<p title="a hidden gem">{TEXT}</p><p data-note="aria-hidden=true display:none">{TEXT}</p>', f"{TEXT}\n\n{TEXT}"),
+        (f"<p title=it's>{TEXT}</p><p>It's so.</p>", f"{TEXT}\n\nIt's so."),
+        (f"<p>{TEXT}</p><p hidden>Gone, all of it.</p><p style='display: none'>Gone.</p><p ARIA-HIDDEN=true>Gone.</p>", TEXT),
+        (f'<div class="layout sidebar-right"><div><p>{TEXT}</p></div><div class="comments"><p>I agree.</p></div></div>', TEXT),
+        (f'<p class="social">{TEXT}</p><p class="social">{TEXT}</p><p class="social">{TEXT}</p>', f"{TEXT}\n\n{TEXT}\n\n{TEXT}"),
+        (f'<div class="page sidebar-left"><article><p>{TEXT}</p></article><p class="promo">Buy it now, friends.</p></div>', TEXT),
+        (f'<article><p>Short. It is.</p></article><div class="comments"><p>{TEXT}</p></div>', "Short. It is."),
+        (f'<div class="social-post"><p>{TEXT}</p></div><div class="related"><article>More, of it.</article></div>', TEXT),
+        (f'<div><svg class="i" /><p>{TEXT}</p><object data=x/></object><p>{TEXT}</p></div>', f"{TEXT}\n\n{TEXT}"),
+        (f"<div><svg><path d=''><p>{TEXT}</p></div><div><svg><text>no</text></svg><p>{TEXT}</p></div>", f"{TEXT}\n\n{TEXT}"),
+        (f"<p>{TEXT}</p><iframe src='x'/><p>{TEXT}</p><math><mi>x<p>{TEXT}</p>", f"{TEXT}\n\n{TEXT}\n\nx\n\n{TEXT}"),
+        (f"<p>An <svg><svg><text>a</text></svg><text>b</text></svg>icon. {TEXT}</p><script>x", f"An icon. {TEXT}"),
+        (f"<html><head><title>T</title><body><p>{TEXT}</p></body></html>", TEXT),
+    ],
+)
+def test_html_keeps_article_text(page, expected):
+    assert html_text.main_text(page) == expected
+
+
 def test_html_on_the_pages_table(spark, sf_small):
     import html as library
     import re

@@ -7,12 +7,16 @@ two ratios.  Both are smoothed along the page order of the paths with a Gaussian
 window, multiplied, and paths above a share of the page's mean are content.
 The element that holds most of the content text is the article: its other blocks
 (headings, short or list paragraphs) belong to it too.  Elements that hold
-no article text by their meaning (menus, scripts, forms, footers, adverts,
-comments and the like, by tag, role, class or id) never take part.
+no article text by their tag (menus, scripts, forms, footers and the like) and
+hidden ones never take part; nor do those that a word in role, class or id marks
+(adverts, comments, sidebars), unless they hold most of the page's content text
+and the page has no single ``main`` or ``article`` apart from them.
 
 A null or empty page, and a page without blocks, gives an empty text.  Long
 pages are read whole; every page stays in one task.  Markup may be broken:
 unclosed and crossing tags, missing quotes and unfinished comments are accepted.
+A self-closed or unclosed element of ``RAW`` or ``NESTED`` is empty: what follows
+is read (but for unclosed scripts and styles, where code follows).
 """
 
 from __future__ import annotations
@@ -30,8 +34,11 @@ from tidemark.llm.frames import map_batches, with_field
 
 #: Elements by their meaning in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script style noscript template iframe object svg math textarea title noframes xmp"
-ASIDE = frozenset("head nav header footer aside form button select option dialog menu canvas audio video map".split()) | frozenset(RAW.split())
+CODE = frozenset("script style".split())
+RAW = frozenset("iframe textarea title noframes xmp".split()) | CODE  # read up to their end tag
+NESTED = frozenset("noscript template object svg math".split())  # hold elements
+ASIDE = frozenset("head nav header footer aside form button select option dialog menu canvas audio video map".split()) | RAW | NESTED
+IN_HEAD = frozenset("html head base link meta title noscript noframes style script template".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
 BLOCKS_IN_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSED_BY_SELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -44,38 +51,93 @@ ASIDE_WORDS = frozenset(
 PUNCTUATION = re.compile("[.,;:!?…。、，！？；：]")
 SPACE = re.compile(r"\s+")
 WORDS = re.compile(r"[a-z]+")
-ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+VALUE = r"""(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>][^\s>]*+))?+)?+"""
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)" + VALUE)
+NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW.replace(' ', '|')})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<more>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    rf"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<more>(?:\s++|/(?!>)|[^\s/>][^\s/>=]*+{re.sub(r"[(](?![?])", "(?:", VALUE)})*+)(?P<empty>/?)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-zA-Z][^<>]*>",
-    re.S | re.I,
+    re.S,
 )
+END = {name: re.compile(rf"</{name}(?:\s[^>]*)?>", re.I) for name in RAW}
 
 
-def is_aside(name: str, more: str) -> bool:
+def attributes(more: str) -> dict[str, str]:
+    """Lower-cased names and their own values; of a repeated name the first counts."""
+    out: dict[str, str] = {}
+    for name, *value in ATTRIBUTE.findall(more):
+        out.setdefault(name.lower(), "".join(value))
+    return out
+
+
+def is_aside(name: str, has: dict[str, str]) -> bool:
+    """Whether the element holds no article text by its tag, or is hidden."""
     if name in ASIDE:
         return True
-    if not more.strip(" /"):
+    if name in ("body", "html", "main", "article"):
         return False
+    return "hidden" in has or has.get("aria-hidden", "").strip().lower() == "true" or bool(NO_DISPLAY.search(has.get("style", "")))
+
+
+def is_labelled(name: str, has: dict[str, str]) -> bool:
+    """Whether a word in class, id or role says that the element holds no article text."""
     if name in ("body", "html", "main", "article"):
         return False
-    for found in ATTRIBUTE.findall(more):
-        for label in "".join(found).lower().split():
+    for kind in ("class", "id", "role"):
+        for label in has.get(kind, "").lower().split():
             words = WORDS.findall(label)
             if ASIDE_WORDS.intersection(words) and words[0] not in ("no", "has", "with", "without"):
                 return True
-    return bool(HIDDEN.search(more))
+    return False
 
 
-def blocks(page: str) -> list[tuple[str, str]]:
+def tokens(page: str) -> list[tuple[int, int, re.Match[str]]]:
+    """Start, end and match of every tag and comment; a closed element of ``RAW`` or ``NESTED`` is one token with all it holds."""
+    out: list[tuple[int, int, re.Match[str]]] = []
+    open_tags: list[tuple[str, int]] = []
+    ends: dict[int, int] = {}  # token of a nested element -> token of its end tag
+    never: set[str] = set()
+    at = 0
+    while m := TOKEN.search(page, at):
+        at = m.end()
+        name = (m["name"] or "").lower()
+        if name in RAW and not m["end"] and not m["empty"] and name not in never:
+            if end := END[name].search(page, at):
+                at = end.end()
+            elif name in CODE:
+                at = len(page)
+            else:
+                never.add(name)
+        elif m["end"]:
+            for i in range(len(open_tags) - 1, -1, -1):
+                if open_tags[i][0] == name:
+                    if name in NESTED:
+                        ends[open_tags[i][1]] = len(out)
+                    del open_tags[i:]
+                    break
+        elif name and not m["empty"] and name not in VOID and name not in RAW:
+            open_tags.append((name, len(out)))
+        out.append((m.start(), at, m))
+    if not ends:
+        return out
+    joined, i = [], 0
+    while i < len(out):
+        last = ends.get(i, i)
+        joined.append((out[i][0], out[last][1], out[i][2]))
+        i = last + 1
+    return joined
+
+
+def blocks(page: str, share: float = 0.2, width: float = 1.0) -> list[tuple[str, str]]:
     """Path and text of every block outside asides, in page order."""
-    out: list[tuple[str, str]] = []
+    out: list[tuple[str, str, tuple[int, ...], int]] = []
     open_tags: list[str] = []
     aside_at = 0  # depth of the outermost aside; 0 is none
+    labelled: list[tuple[int, int]] = []  # depth and number of the open elements with a label
+    n_labelled = 0
+    named_at, n_named = 0, 0  # depth of the outermost main or article; 0 is none
     held: list[str] = []
     path = ""
 
@@ -83,15 +145,19 @@ def blocks(page: str) -> list[tuple[str, str]]:
         text = SPACE.sub(" ", html.unescape("".join(held))).strip()
         held.clear()
         if text:
-            out.append((path, text))
+            out.append((path, text, tuple(n for _, n in labelled), n_named if named_at else 0))
 
     def close(to: int) -> None:
-        nonlocal aside_at
-        if any(t not in INLINE for t in open_tags[to:]):
+        nonlocal aside_at, named_at
+        if any(t not in INLINE for t in open_tags[to:]) or (labelled and labelled[-1][0] > to):
             flush()
         del open_tags[to:]
+        while labelled and labelled[-1][0] > to:
+            labelled.pop()
         if aside_at > to:
             aside_at = 0
+        if named_at > to:
+            named_at = 0
 
     def take(text: str) -> None:
         nonlocal path
@@ -101,9 +167,9 @@ def blocks(page: str) -> list[tuple[str, str]]:
             held.append(text)
 
     at = 0
-    for m in TOKEN.finditer(page):
-        take(page[at : m.start()])
-        at = m.end()
+    for start, end, m in tokens(page):
+        take(page[at:start])
+        at = end
         if not (name := m["name"]):
             continue
         name = name.lower()
@@ -113,8 +179,12 @@ def blocks(page: str) -> list[tuple[str, str]]:
             elif name == "p":
                 flush()
             continue
+        if name in RAW or name in NESTED:
+            continue
         if name == "br":
             take(" ")
+        if name not in IN_HEAD and "head" in open_tags:
+            close(open_tags.index("head"))
         if name in BLOCKS_IN_P and "p" in open_tags:
             inner = len(open_tags) - 1 - open_tags[::-1].index("p")
             if all(t in INLINE for t in open_tags[inner + 1 :]):
@@ -128,15 +198,42 @@ def blocks(page: str) -> list[tuple[str, str]]:
                     break
         if name not in INLINE:
             flush()
-        if name in VOID or m["more"].endswith("/"):
+        if name in VOID or m["empty"]:
             continue
         open_tags.append(name)
-        if not aside_at and is_aside(name, m["more"]):
+        if aside_at:
+            continue
+        if name in ("main", "article") and not named_at:
+            named_at, n_named = len(open_tags), n_named + 1
+        has = attributes(m["more"]) if m["more"] else {}
+        if is_aside(name, has):
             flush()
             aside_at = len(open_tags)
+        elif has and is_labelled(name, has):
+            flush()
+            n_labelled += 1
+            labelled.append((len(open_tags), n_labelled))
     take(page[at:])
     flush()
-    return out
+    return without_labelled(out, share, width) if n_labelled else [(path, text) for path, text, *_ in out]
+
+
+def without_labelled(found: list[tuple[str, str, tuple[int, ...], int]], share: float, width: float) -> list[tuple[str, str]]:
+    """Path and text of the blocks, less those in labelled elements that hold half of the content's text or less, or none of the only main or article."""
+    every = [(path, text) for path, text, *_ in found]
+    if not any(inside for *_, inside, _ in found):
+        return every
+    content = content_paths(every, share, width)
+    total, weight = 0, {}
+    for path, text, inside, _ in found:
+        if path in content:
+            total += len(text)
+            for n in inside:
+                weight[n] = weight.get(n, 0) + len(text)
+    heavy = {n for n, w in weight.items() if 2 * w > total}
+    if len({named for *_, inside, named in found if named and heavy.issuperset(inside)}) == 1:
+        heavy &= {n for *_, inside, named in found if named for n in inside}
+    return [(path, text) for path, text, inside, _ in found if heavy.issuperset(inside)] or every
 
 
 def content_paths(found: list[tuple[str, str]], share: float, width: float) -> set[str]:
@@ -177,7 +274,7 @@ def article(found: list[tuple[str, str]], content: set[str]) -> str:
 
 
 def main_text(page: str, share: float = 0.2, width: float = 1.0) -> str:
-    found = blocks(page)
+    found = blocks(page, share, width)
     if not found:
         return ""
     content = content_paths(found, share, width)
