@@ -170,6 +170,26 @@ def test_hilbert_search_equals_brute_force(spark, monkeypatch):
     assert hilbert.search(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_hilbert_search_with_repeated_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 8)).astype(np.float32)
+    rows = [(i, [float(c) for c in v], 0) for i, v in enumerate(x)]
+    rows += [(7, rows[7][1], 0)] * 30 + [(9, rows[9][1], 0)] + [(9, rows[10][1], 0)]  # over k times; twice, and another vector
+    rows += [(20, rows[20][1], 0)] * 2 + [(40, rows[41][1], 0)]  # a query three times; one with two vectors
+    rows += [(301, [c * 9 for c in rows[k][1]], 0) for k in (0, 60, 80) for _ in range(6)]  # nearest to some queries, fewer than k
+    vec = {id(r): np.array(r[1], np.float32).astype(float) for r in rows}
+    expected = {}
+    for q in range(0, 300, 20):
+        pairs = [(c[0], float(hilbert.products(vec[id(r)][None], vec[id(c)][None])[0])) for r in rows if r[0] == q for c in rows if c[0] != q]
+        expected[q] = sorted(pairs, key=lambda e: (-e[1], e[0]))[:20]
+    for part in (4096, 16):
+        monkeypatch.setattr(hilbert, "PART", part)
+        got: dict[int, list] = {}
+        for r in sorted(hilbert.search(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 20 == 0).collect(), key=lambda r: (r.query_id, r.rank)):
+            got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert got == expected
+
+
 def test_sharding_is_exact_and_uniform(spark):
     df = spark.createDataFrame([(i if i % 7 else None, "same" if i % 3 else None, None, "old", None) for i in range(1003)], SCHEMA).repartition(5)
     out = sharding.shard(df.withColumn("row", F.col("doc_id")), 16).collect()

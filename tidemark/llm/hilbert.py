@@ -16,8 +16,10 @@ The driver and the tasks hold one centre, radius and key range per block and cur
 ``MAX_BLOCKS`` per curve at most; blocks grow with the table beyond that, in parts of
 ``PART`` rows.  Null, empty and zero vectors and vectors with null or non-finite
 components take no part; vectors of another length than the most frequent one
-neither.  Repeated rows are candidates each; ties go to the smaller id.  Rows with a
-null id take no part.
+neither.  Repeated rows are candidates each, told apart by a row number that is written
+with the index, and queries each; ties go to the smaller id.  Rows with a null id take
+no part.  A repeated task must meet the same rows in the same order (a file scan or a
+checkpoint), or row numbers could change.
 """
 
 from __future__ import annotations
@@ -119,16 +121,16 @@ def matrix(data: bytes) -> np.ndarray:
 
 
 def index(rows: DataFrame, blocks: int, seed: int) -> DataFrame:
-    """``rows`` (id, v) on every curve, range-partitioned: one row per block part, with ids, vectors, keys, centre and radius."""
+    """``rows`` (id, v, row) on every curve, range-partitioned: one row per block part, with ids, row numbers, vectors, keys, centre and radius."""
 
     def place(b: pa.RecordBatch) -> pa.Table:
         flat = b.column(1).flatten().to_numpy()
         x = flat.reshape(b.num_rows, -1)
         vectors = pa.array([r.tobytes() for r in x], pa.binary())
-        return pa.concat_tables([pa.table({"curve": pa.array([c] * b.num_rows, pa.int32()), "key": pa.array(curve_keys(x, c, seed)), "id": b.column(0), "v": vectors}) for c in range(CURVES)])
+        return pa.concat_tables([pa.table({"curve": pa.array([c] * b.num_rows, pa.int32()), "key": pa.array(curve_keys(x, c, seed)), "id": b.column(0), "row": b.column(2), "v": vectors}) for c in range(CURVES)])
 
-    keyed = map_batches(rows, place, "curve int, key bigint, id bigint, v binary")
-    ranged = keyed.repartitionByRange(max(1, blocks * CURVES), "curve", "key", "id").sortWithinPartitions("curve", "key", "id")
+    keyed = map_batches(rows, place, "curve int, key bigint, id bigint, row bigint, v binary")
+    ranged = keyed.repartitionByRange(max(1, blocks * CURVES), "curve", "key", "id", "row").sortWithinPartitions("curve", "key", "id", "row")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n, held = TaskContext.get().partitionId(), 0, []
@@ -137,8 +139,8 @@ def index(rows: DataFrame, blocks: int, seed: int) -> DataFrame:
             x = matrix(b"".join(t["v"].to_pylist())).reshape(t.num_rows, -1)
             centre, key = x.mean(axis=0), t["key"].to_numpy()
             radius = float(np.sqrt(((x - centre) ** 2).sum(axis=1)).max())
-            values = ([t["curve"][0].as_py()], [part << 32 | n], [int(key[0])], [t["id"].to_numpy().tobytes()], [x.tobytes()], [centre.tobytes()], [radius])
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64()))], ["curve", "block", "low", "ids", "vectors", "centre", "radius"])
+            values = ([t["curve"][0].as_py()], [part << 32 | n], [int(key[0])], [t["id"].to_numpy().tobytes()], [t["row"].to_numpy().tobytes()], [x.tobytes()], [centre.tobytes()], [radius])
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.float64()))], ["curve", "block", "low", "ids", "rows", "vectors", "centre", "radius"])
 
         for b in batches:
             if not b.num_rows:
@@ -158,7 +160,7 @@ def index(rows: DataFrame, blocks: int, seed: int) -> DataFrame:
             yield emit(pa.Table.from_batches(held))
 
     small_batches(rows.sparkSession, 1024)
-    return ranged.mapInArrow(gather, "curve int, block bigint, low bigint, ids binary, vectors binary, centre binary, radius double")
+    return ranged.mapInArrow(gather, "curve int, block bigint, low bigint, ids binary, rows binary, vectors binary, centre binary, radius double")
 
 
 def summaries(indexed: DataFrame) -> list[Blocks]:
@@ -175,15 +177,15 @@ def summaries(indexed: DataFrame) -> list[Blocks]:
 
 
 def ask(queries: DataFrame, indexed: DataFrame, by_curve: list[Blocks], k: int, seed: int, again: bool) -> DataFrame:
-    """(query_id, vec_id, score): per query and block read, at most the ``k`` best.  ``queries``: id, v and, if ``again``,
-    the bound; then the blocks of the first curve that reach it and were not in its window."""
+    """(n, query_id, times, row, vec_id, score): per query and block read, at most the ``k`` best.  ``queries``: n, id, times, v
+    and, if ``again``, the bound; then the blocks of the first curve that reach it and were not in its window."""
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            x = matrix(b"".join(b.column(1).to_pylist())).reshape(b.num_rows, -1)
-            bound, ids = b.column(2).to_numpy(), b.column(0).to_numpy()
+            n, ids, times, bound = (b.column(c).to_numpy() for c in ("n", "id", "times", "bound"))
+            x = matrix(b"".join(b.column("v").to_pylist())).reshape(b.num_rows, -1)
             rows = []
             for c, blocks in enumerate(by_curve[:1] if again else by_curve):
                 wanted = blocks.window(curve_keys(x, c, seed))
@@ -191,15 +193,16 @@ def ask(queries: DataFrame, indexed: DataFrame, by_curve: list[Blocks], k: int,
                     wanted = ~wanted & blocks.reach(x, bound)
                 for j in np.flatnonzero(wanted.any(axis=0)):
                     q = np.flatnonzero(wanted[:, j])
-                    rows.append((int(blocks.block[j]), ids[q].tobytes(), x[q].tobytes(), bound[q].tobytes()))
+                    rows.append((int(blocks.block[j]), n[q].tobytes(), ids[q].tobytes(), times[q].tobytes(), x[q].tobytes(), bound[q].tobytes()))
             for lo in range(0, len(rows), 16):
                 columns = list(zip(*rows[lo : lo + 16]))
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["block", "q_ids", "q", "bound"])
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["block", "ns", "q_ids", "times", "q", "bound"])
 
     def rank(b: pa.RecordBatch) -> pa.Table:
         out = []
-        for q_ids, q, bound, ids, vectors in zip(*[c.to_pylist() for c in b.columns]):
-            q_ids, ids, bound = np.frombuffer(q_ids, np.int64), np.frombuffer(ids, np.int64), matrix(bound)
+        for *numbers, q, bound, ids, rows, vectors in zip(*[c.to_pylist() for c in b.columns]):
+            n, q_ids, times, ids, rows = (np.frombuffer(data, np.int64) for data in (*numbers, ids, rows))
+            bound = matrix(bound)
             q, x = matrix(q).reshape(len(q_ids), -1), matrix(vectors).reshape(len(ids), -1)
             score = q @ x.T
             score[q_ids[:, None] == ids] = -np.inf  # a query is no candidate of its own
@@ -208,31 +211,31 @@ def ask(queries: DataFrame, indexed: DataFrame, by_curve: list[Blocks], k: int,
             slack = 1e-9 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))
             i, j = np.nonzero((score >= (least - slack)[:, None]) & np.isfinite(score))
             exact = products(q[i], x[j])
-            # ties at the edge: the k best by score, then id
-            order = np.lexsort((ids[j], -exact, i))
+            # ties at the edge: the k best by score, then id, then row
+            order = np.lexsort((rows[j], ids[j], -exact, i))
             i, j, exact = i[order], j[order], exact[order]
             place = np.arange(len(i)) - np.searchsorted(i, i, side="left")
-            kept = place < k
-            out.append(pa.table({"query_id": pa.array(q_ids[i[kept]]), "vec_id": pa.array(ids[j[kept]]), "score": pa.array(exact[kept])}))
+            i, j, exact = i[place < k], j[place < k], exact[place < k]
+            out.append(pa.table({"n": n[i], "query_id": q_ids[i], "times": times[i], "row": rows[j], "vec_id": ids[j], "score": exact}))
         return pa.concat_tables(out)
 
     small_batches(queries.sparkSession, QUERIES)
-    routed = materialize(queries.select("id", "v", "bound").mapInArrow(route, "block bigint, q_ids binary, q binary, bound binary"))
+    routed = materialize(queries.select("n", "id", "times", "v", "bound").mapInArrow(route, "block bigint, ns binary, q_ids binary, times binary, q binary, bound binary"))
     small_batches(queries.sparkSession, 2)  # each joined row holds a block
-    joined = routed.join(indexed.select("block", "ids", "vectors"), "block").select("q_ids", "q", "bound", "ids", "vectors")
+    joined = routed.join(indexed.select("block", "ids", "rows", "vectors"), "block").select("ns", "q_ids", "times", "q", "bound", "ids", "rows", "vectors")
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 yield from rank(b).to_batches()
 
-    out = materialize(joined.mapInArrow(ranked, "query_id bigint, vec_id bigint, score double"))
+    out = materialize(joined.mapInArrow(ranked, "n bigint, query_id bigint, times bigint, row bigint, vec_id bigint, score double"))
     small_batches(queries.sparkSession)
     return out
 
 
-def best(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+def best(found: DataFrame, k: int, by: str) -> DataFrame:
+    order = Window.partitionBy(by).orderBy(F.desc("score"), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -243,19 +246,20 @@ def search(df: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "vec_id
     d, n = (sizes["d"], sizes["count"]) if sizes else (1, 0)
     rows = rows.where(F.size("v") == d)
     blocks = min(MAX_BLOCKS, max(1, -(-n // BLOCK_ROWS)))
-    indexed = materialize(index(rows.select("id", "v"), blocks, seed))
+    indexed = materialize(index(rows.select("id", "v", F.monotonically_increasing_id().alias("row")), blocks, seed))
     by_curve = summaries(indexed)
 
     def pack(b: pa.RecordBatch) -> pa.RecordBatch:
         x = b.column(1).flatten().to_numpy().reshape(b.num_rows, -1)
         return pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(curve_keys(x, 0, seed))], ["id", "v", "key"])
 
-    queries = map_batches(rows.where("q").select("id", "v"), pack, "id bigint, v binary, key bigint").dropDuplicates(["id", "v"])
-    queries = materialize(queries.repartitionByRange("key", "id").sortWithinPartitions("key", "id"))
+    queries = map_batches(rows.where("q").select("id", "v"), pack, "id bigint, v binary, key bigint").groupBy("id", "v", "key").agg(F.count("*").alias("times"))
+    queries = materialize(queries.repartitionByRange("key", "id").sortWithinPartitions("key", "id").withColumn("n", F.monotonically_increasing_id()))
     near = ask(queries.withColumn("bound", F.lit(float("-inf"))), indexed, by_curve, k, seed, again=False)
-    # a row is found on several curves; rows that repeat an id are told apart by nothing but their score
-    near = best(near.distinct(), k)
-    bound = near.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
-    asked = queries.join(bound, "id", "left").withColumn("bound", F.coalesce("least", F.lit(float("-inf"))))
+    near = best(near.distinct(), k, "n")  # a row is found on several curves
+    bound = near.where(F.col("rank") == k).select("n", F.col("score").alias("least"))
+    asked = queries.join(bound, "n", "left").withColumn("bound", F.coalesce("least", F.lit(float("-inf"))))
     rest = ask(asked, indexed, by_curve, k, seed, again=True)
-    return best(near.drop("rank").union(rest).distinct(), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    # a query row that is there several times has every neighbour as often
+    found = near.drop("rank").union(rest).distinct().withColumn("again", F.explode(F.array_repeat(F.lit(0), F.least("times", F.lit(k)).cast("int"))))
+    return best(found, k, "query_id").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
