@@ -12,9 +12,9 @@ bound is left out, any other block of the first curve is read too.  So results a
 those of a full search at every size; how much is read depends on how well the
 vectors cluster (vectors without structure need nearly all blocks).
 
-The driver and the tasks hold one centre, radius and key range per block and curve,
-``MAX_BLOCKS`` per curve at most; blocks grow with the table beyond that, in parts of
-``PART`` rows.  Null, empty and zero vectors and vectors with null or non-finite
+The driver and the tasks hold one centre, radius and key range per part of ``PART``
+rows and curve.  ``MAX_BLOCKS`` bounds the partitions of a curve, not these parts: what
+is held grows with the table, about one part in ``PART`` of its rows per curve.  Null, empty and zero vectors and vectors with null or non-finite
 components take no part; vectors of another length than the most frequent one
 neither.  Repeated rows are candidates each, told apart by a row number that is written
 with the index, and queries each; ties go to the smaller id.  Rows with a null id take
@@ -164,7 +164,7 @@ def index(rows: DataFrame, blocks: int, seed: int) -> DataFrame:
 
 
 def summaries(indexed: DataFrame) -> list[Blocks]:
-    """One row per block and curve reaches the driver: bounded by the number of partitions and the parts in them."""
+    """One row per part and curve reaches the driver: about rows / ``PART`` for each curve, without a bound of its own."""
     got = indexed.select("curve", "block", "low", "centre", "radius").toArrow()
     curve, block, low = (got[c].to_numpy() for c in ("curve", "block", "low"))
     centre = np.stack([matrix(c) for c in got["centre"].to_pylist()]) if got.num_rows else np.zeros((0, 1))
