@@ -100,6 +100,23 @@ def test_language_edge_cases(spark):
     assert language.identify(data.limit(0), train, max_chars=100_000).count() == 0
 
 
+def test_every_labelled_language_is_learned(spark):
+    rnd = random.Random(8)
+
+    def text(letters: str, n: int) -> str:
+        return " ".join("".join(rnd.choice(letters) for _ in range(5)) for _ in range(n))
+
+    letters = {f"one{k}": "".join(rnd.sample("abcdefghijklmnopqrstuvwxyz", 7)) for k in range(12)} | {"long": "àèìòùáé", "copies": "бвгджзи"}
+    train = [(text(letters[f"one{k}"], 60), f"one{k}") for k in range(12)]  # one text each
+    train += [(text(letters["long"], 3000), "long") for _ in range(3)]  # longer than a twentieth of max_chars
+    train += [(text(letters["copies"], 300), "copies")] * 400 + [(text(letters["copies"], 60), "copies")] + [("12 34", "digits")]
+    train = spark.createDataFrame(train, "text string, lang string")
+    names = sorted(letters)
+    assert language.fit(train, "text", "lang", 20_000).languages == names
+    data = docs(spark, [(i, text(letters[x], 60)) for i, x in enumerate(names)])
+    assert {r.doc_id: r.language.lang_pred for r in language.identify(data, train, max_chars=20_000).collect()} == dict(enumerate(names))
+
+
 def test_quality_held_out_accuracy_and_votes(spark, sf_small):
     table, labels = (spark.read.parquet(f"{sf_small.replace('0.001', '0.01')}/{n}.parquet") for n in ("documents", "labels"))
     out = quality.classify(table, table, labels.where("doc_id % 5 != 0"), out="v").join(labels.where("doc_id % 5 = 0"), "doc_id").collect()

@@ -5,13 +5,14 @@ are packed four to a 64-bit key.  Per language the counts of distinct 4-grams
 give all lower orders (continuation counts), the discounts and the interpolation
 weights.  The model is a few sorted key arrays with one column of log
 probabilities per language, small enough to travel with the tasks: it is fitted
-on whole documents chosen by a hash of their text until about ``max_chars``
-characters per language are reached (the documented bound; a document longer
-than a twentieth of it is not used for fitting).
+on distinct texts chosen by their hash until about ``max_chars`` characters per
+language are reached (the documented bound).  Texts longer than a twentieth of it
+are drawn in pieces of that length, and copies count once.
 
 Every whole text is scored in all languages; the lowest cross-entropy per
 character wins, ties go to the first language by code point.  A quarter of the
-fitting sample is kept apart to calibrate rejection: a text is rejected
+fitting sample is kept apart to calibrate rejection, but never the first text of a
+language, so every labelled language with a letter is learned: a text is rejected
 if its best cross-entropy lies clearly above what texts of that language show.
 
 Null texts and texts without a letter are ``und`` with score 0 and are rejected.
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
 from tidemark.llm.frames import map_batches, slices, with_field
+from tidemark.session import materialize
 
 ORDER = 4
 BITS = 16
@@ -145,39 +147,55 @@ def kneser_ney(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
 
 
 def fit(train: DataFrame, text_col: str, lang_col: str, max_chars: int) -> Model | None:
-    """``train``: rows with text and language.  Two passes: characters per language, then 4-gram counts of the sample."""
+    """``train``: rows with text and language.  Two passes: characters of distinct texts per language, then the sample, which is kept."""
     rows = train.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    rows = rows.where(F.length("text") <= max_chars // 20)
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()}
+    length = max(1, max_chars // 20)
+    starts = F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1)), F.lit(length))
+    pieces = rows.select("lang", "text", F.explode(starts).alias("start")).select("lang", F.substring("text", F.col("start"), F.lit(length)).alias("text"))
+    pieces = pieces.where(F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64(F.lit(3), "text"))
+    once = pieces.groupBy("lang", "h").agg(F.max(F.length("text")).alias("n"))
+    sizes = {r["lang"]: (r["n"], r["first"]) for r in once.groupBy("lang").agg(F.sum("n").alias("n"), F.min("h").alias("first")).collect()}
     if not sizes:
         return None
     million = 1_000_000
-    share = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(million, max_chars * million // max(n, 1)))]), F.col("lang"))
-    place = F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(million))
-    sample = rows.where(place < share).withColumn("apart", F.pmod(F.xxhash64(F.lit(4), "text"), F.lit(4)) == 0)
+
+    def by_lang(values: dict[str, int]) -> F.Column:
+        return F.element_at(F.create_map(*[F.lit(x).cast(t) for k, v in values.items() for x, t in ((k, "string"), (v, "bigint"))]), F.col("lang"))
+
+    share = by_lang({k: min(million, max_chars * million // max(n, 1)) for k, (n, _) in sizes.items()})
+    first = F.col("h") == by_lang({k: h for k, (_, h) in sizes.items()})
+    drawn = pieces.where((F.pmod("h", F.lit(million)) < share) | first).groupBy("lang", "h").agg(F.max("text").alias("text"))
+    apart = (F.pmod(F.xxhash64(F.lit(4), "text"), F.lit(4)) == 0) & ~first
+    sample = materialize(drawn.withColumn("apart", apart).repartition(max(8, rows.sparkSession.sparkContext.defaultParallelism)))
 
     def count(b: pa.RecordBatch) -> pa.Table:
         texts, langs = b.column(0).to_pylist(), b.column(1).to_pylist()
         parts = []
         for name in sorted(set(langs)):
-            key, _, _ = grams([t for t, x in zip(texts, langs) if x == name])
-            found, n = np.unique(key, return_counts=True)
-            parts.append(pa.table({"lang": pa.array([name] * len(found), pa.string()), "key": pa.array(found.view(np.int64)), "n": pa.array(n)}))
+            mine = [t for t, x in zip(texts, langs) if x == name]
+            for lo, hi in slices([len(t) for t in mine], CHARS):
+                key, _, _ = grams(mine[lo:hi])
+                found, n = np.unique(key, return_counts=True)
+                parts.append(pa.table({"lang": pa.array([name] * len(found), pa.string()), "key": pa.array(found.view(np.int64)), "n": pa.array(n)}))
         return pa.concat_tables(parts)
 
-    counted = map_batches(sample.where(~F.col("apart")).select("text", "lang"), count, "lang string, key bigint, n bigint").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
-    if not counted.num_rows:  # a handful of rows: nothing can be kept apart
-        counted = map_batches(rows.select("text", "lang"), count, "lang string, key bigint, n bigint").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
-        if not counted.num_rows:
-            return None
+    def counts(texts: DataFrame) -> pa.Table:
+        return map_batches(texts.select("text", "lang"), count, "lang string, key bigint, n bigint").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
+
+    counted = counts(sample.where(~F.col("apart")))
+    missing = sorted(set(sizes) - set(counted["lang"].unique().to_pylist()))
+    if missing:  # letters to Spark, none to the model: whatever else there is
+        counted = pa.concat_tables([counted, counts(pieces.where(F.col("lang").isin(missing)))])
+    if not counted.num_rows:
+        return None
     names = np.array(counted["lang"].to_pylist())
     keys, n = counted["key"].to_numpy().view(np.uint64), counted["n"].to_numpy()
-    by_lang = {}
+    found = {}
     for name in sorted(set(names.tolist())):
         mine = names == name
         order = np.argsort(keys[mine])
-        by_lang[name] = (keys[mine][order], n[mine][order])
-    model = kneser_ney(by_lang)
+        found[name] = (keys[mine][order], n[mine][order])
+    model = kneser_ney(found)
 
     def measure(b: pa.RecordBatch) -> pa.RecordBatch:
         h, _ = model.entropies(b.column(0).to_pylist())
