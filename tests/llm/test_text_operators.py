@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import html_text, language, packing, quality, token_counts
+from tidemark.llm import html_text, language, ngram_join, packing, quality, token_counts
 from tidemark.llm import words as W
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -190,3 +190,34 @@ def test_html_on_the_pages_table(spark, sf_small):
         inner = re.search(r"<article>(.*)</article>", r.html, re.S).group(1)
         blocks = [" ".join(library.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", inner)]
         assert r.text == "\n\n".join(b for b in blocks if b)
+
+
+def thue_morse(size, a, b):
+    bits = [0]
+    while len(bits) < size:
+        bits += [1 - k for k in bits]
+    return ["".join((a, b)[k ^ flip] for k in bits) for flip in (0, 1)]
+
+
+def test_words_that_make_polynomial_hashes_collide():
+    texts = [w for size in (1024, 4096) for a, b in (("a", "n"), ("s", "t"), ("x", "y"), ("é", "ü")) for w in thue_morse(size, a, b)]
+    packs = Tokenizer.from_file(BYTE)
+    want = [np.array([*e.ids, 1], "<u4").tobytes() for e in packs.encode_batch(texts, add_special_tokens=False)]
+    assert packing.Encoder(BYTE, 1).ids(texts) == want
+    counts = Tokenizer.from_file(WORD)
+    assert token_counts.Counter(WORD).counts(texts).tolist() == [len(e.ids) for e in counts.encode_batch(texts, add_special_tokens=False)]
+    assert len({int(s[0]) for s in ngram_join.gram_sets(texts)}) == len(texts)
+
+
+def test_words_with_one_equal_hash_are_told_apart(monkeypatch):
+    real = W.word_hashes
+    monkeypatch.setattr(W, "word_hashes", lambda *x: (real(*x)[0] % np.uint64(3), real(*x)[1]))
+    texts = ["a b c d e f g a b", "zebra lion a", ""]
+    packs = Tokenizer.from_file(BYTE)
+    encoder = packing.Encoder(BYTE, 1)
+    for _ in range(2):
+        assert encoder.ids(texts) == [np.array([*e.ids, 1], "<u4").tobytes() for e in packs.encode_batch(texts, add_special_tokens=False)]
+    counts = Tokenizer.from_file(WORD)
+    counter = token_counts.Counter(WORD)
+    for _ in range(2):
+        assert counter.counts(texts).tolist() == [len(e.ids) for e in counts.encode_batch(texts, add_special_tokens=False)]

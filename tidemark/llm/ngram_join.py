@@ -73,10 +73,7 @@ def gram_sets(texts: list[str], n: int = 5) -> list[np.ndarray]:
         starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         stops = np.cumsum([len(r) + 1 for r in raw[lo:hi]])
         bounds = np.concatenate([[0], np.searchsorted(starts, stops)])
-        up, down = W.powers(len(data))
-        total = np.zeros(len(data) + 1, U)
-        np.cumsum(W.mixed()[data] * up[: len(data)], out=total[1:])
-        word = mix((total[ends] - total[starts]) * down[starts])
+        word = W.word_hashes(data, starts, ends)[0]
         grams = np.zeros(max(len(word) - n + 1, 0), U)
         for k in range(n if len(grams) else 0):
             grams += mix(word[k : k + len(grams)] * _TURN[k % 5] + U(k))

@@ -8,7 +8,7 @@ its logarithm) in a batch.
 
 Ids come from the tokenizer library, word by word: texts are split by the
 tokenizer's pattern on arrays (``words``), words already met are looked up by
-hash, and only new words are encoded.  The end id closes every document, so an
+two hashes of 64 bits, and only new words are encoded.  The end id closes every document, so an
 empty or null text is one piece of one id.  Documents stay whole in one row
 of one task; nothing is shuffled.  Sequence ids are unique and follow the rows
 of the input partitions, so a lost task makes the same ids again as long as the
@@ -33,6 +33,7 @@ from tidemark.llm.token_counts import byte_symbols
 LENGTH = 2048
 CHARS = 1 << 20
 KNOWN_WORDS = 400_000
+NEVER = (None, b"")
 
 
 def piece_lengths(n: int, length: int = LENGTH) -> list[int]:
@@ -53,7 +54,7 @@ class Encoder:
         if len(self.special) > 1:
             raise ValueError("one special string is supported")
         self.special_id = b"".join(int(i).to_bytes(4, "little") for i in added)
-        self.known: dict[int, bytes] = {}
+        self.known: dict[int, tuple[int, bytes]] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -61,37 +62,41 @@ class Encoder:
             cp = W.code_points(texts[lo:hi], self.special)
             held: list[bytes] = []
             for start, end in W.windows(cp, CHARS):
-                part = cp[start:end]
-                encoded, starts = self.encode(part)
+                data, stops = self.encode(cp[start:end])
                 at = 0
-                for stop in np.flatnonzero(part[starts] == W.PIECE) + 1:
-                    held.extend(encoded[at:stop])
+                for stop in stops.tolist():
+                    held.append(data[at:stop])
                     out.append(b"".join(held))
                     held, at = [], stop
-                held.extend(encoded[at:])
+                held.append(data[at:])
         return out
 
-    def encode(self, cp: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-        """The ids of each word, marks included, and where the words start."""
+    def encode(self, cp: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The ids of all words, marks included, and where the ids of each text that ends here stop (in bytes)."""
         starts, ends = W.word_bounds(cp, keep_space=True)
-        hashes = W.word_hashes(cp, starts, ends)
-        distinct, first = np.unique(hashes, return_index=True)
+        first, back, one, two = W.distinct_words(cp, starts, ends)
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        known = self.known
-        new = [(h, f) for h, f in zip(distinct.tolist(), first.tolist()) if h not in known]
-        fresh = []
-        for h, f in new:
-            code = cp[starts[f]]
-            if code >= W.PIECE:
-                known[h] = self.end if code == W.PIECE else self.special_id
-            else:
-                fresh.append((h, W.text_of(cp, starts[f], ends[f])))
-        tokenize, shown = self.model.tokenize, self.shown
-        for h, word in fresh:
-            symbols = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(shown)
-            known[h] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(symbols)])
-        return [known[h] for h in hashes.tolist()], starts
+        known, tokenize, shown = self.known, self.model.tokenize, self.shown
+        values: list[bytes] = []
+        for key, proof, f in zip(one, two, first.tolist()):
+            kept, value = known.get(key, NEVER)
+            if kept != proof:
+                code = cp[starts[f]]
+                if code >= W.PIECE:
+                    value = self.end if code == W.PIECE else self.special_id
+                else:
+                    symbols = W.text_of(cp, starts[f], ends[f]).encode("utf-8", "surrogatepass").decode("latin-1").translate(shown)
+                    value = b"".join([t.id.to_bytes(4, "little") for t in tokenize(symbols)])
+                known[key] = proof, value
+            values.append(value)
+        pool = np.frombuffer(b"".join(values), np.uint32)
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        places = (np.cumsum(sizes) - sizes)[back]  # where each word's ids begin in the pool
+        sizes = sizes[back]
+        until = np.cumsum(sizes)
+        data = pool[np.repeat(places - until + sizes, sizes) + np.arange(until[-1] if len(until) else 0)]
+        return data.tobytes(), 4 * until[cp[starts] == W.PIECE]
 
 
 @lru_cache(2)

@@ -71,7 +71,7 @@ def terms(texts: list[str]) -> np.ndarray:
         """Hash and text of every run between breaks."""
         edge = np.diff(np.concatenate([[0], (~breaks).astype(np.int8), [0]]))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        return W.word_hashes(cp, starts, ends), owner[starts]
+        return W.word_hashes(cp, starts, ends)[0], owner[starts]
 
     hashes, of = runs((W.classes()[cp] == W.SPACE) | (kind == 0))
     if len(hashes):

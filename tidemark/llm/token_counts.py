@@ -13,7 +13,7 @@ A word longer than ``CHUNK`` symbols is read as chunks.  Each chunk is a map
 from the state before it to the state after it and the tokens emitted; the
 maps are composed by a prefix scan, and equal chunks share one map.  White
 space resets the transducer, so the words of a text are independent and the
-count of a known word is looked up by its hash (``words``).
+count of a known word is looked up by two hashes of 64 bits (``words``).
 
 Null text counts as empty (0 tokens, 0 bytes).  Repeated rows are counted each.
 Columns of the input other than the id and the text are ignored.
@@ -38,6 +38,7 @@ STATES = 250_000
 KNOWN_WORDS = 1_000_000
 CHARS = 1 << 20
 END = "</w>"
+NEVER = (None, 0)
 
 
 def byte_symbols() -> list[str]:
@@ -229,14 +230,16 @@ class Counter:
         starts, ends = starts[plain], ends[plain]
         if not len(starts):
             return out
-        distinct, first, back = np.unique(W.word_hashes(cp, starts, ends), return_index=True, return_inverse=True)
+        first, back, one, two = W.distinct_words(cp, starts, ends)
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
         known, count = self.known, self.transducer.count
-        values = np.empty(len(distinct), np.int64)
-        for i, (h, f) in enumerate(zip(distinct.tolist(), first.tolist())):
-            if (v := known.get(h)) is None:
-                known[h] = v = count(W.text_of(cp, starts[f], ends[f]))
+        values = np.empty(len(first), np.int64)
+        for i, (key, proof, f) in enumerate(zip(one, two, first.tolist())):
+            kept, v = known.get(key, NEVER)
+            if kept != proof:
+                v = count(W.text_of(cp, starts[f], ends[f]))
+                known[key] = proof, v
             values[i] = v
         out[starts] = values[back]
         return out

@@ -2,13 +2,14 @@
 
 A batch of texts becomes one array of code points.  The tokenizer's split
 pattern is evaluated on arrays of character classes (letter, number, white
-space, other), every word gets a 64-bit polynomial hash from one running sum,
-and only words not met before leave numpy.  ``PIECE`` stands between texts and
+space, other), every word gets two 64-bit hashes, and only words not met before
+leave numpy.  ``PIECE`` stands between texts and
 ``SPECIAL`` for a special string inside a text; both lie outside Unicode.
 """
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import unicodedata
 from functools import lru_cache
@@ -20,8 +21,8 @@ PIECE, SPECIAL = 0x110000, 0x110001
 OTHER, LETTER, NUMBER, SPACE, MARK = range(5)
 #: The white space of the split patterns.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-_P = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
+#: Words of more units than this are hashed one by one.
+LONG = 64
 
 
 @lru_cache(1)
@@ -57,25 +58,6 @@ def lowered() -> np.ndarray:
     return out
 
 
-@lru_cache(1)
-def mixed() -> np.ndarray:
-    """A random-looking 64-bit value for every code point."""
-    x = np.arange(1, SPECIAL + 2, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
-_powers: list[np.ndarray] = []
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        _powers[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, p, np.uint64)]), dtype=np.uint64) for p in (_P, pow(_P, -1, 1 << 64))]
-    return _powers[0], _powers[1]
-
-
 def code_points(texts: list[str], special: tuple[str, ...] = ()) -> np.ndarray:
     """All texts in one array, PIECE after each; special strings are one SPECIAL."""
     parts = []
@@ -121,11 +103,45 @@ def word_bounds(cp: np.ndarray, keep_space: bool) -> tuple[np.ndarray, np.ndarra
     return starts, ends
 
 
-def word_hashes(cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = powers(len(cp))
-    total = np.zeros(len(cp) + 1, np.uint64)
-    np.cumsum(mixed()[cp] * up[: len(cp)], out=total[1:])
-    return (total[ends] - total[starts]) * down[starts]
+def _mix(x: np.ndarray, odd: int) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(odd)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each word of an array of bytes or code points.
+
+    Eight bytes are mixed in at a time, without a polynomial that chosen words could make collide; words of more than
+    ``LONG`` units get a cryptographic hash."""
+    per = 8 // units.itemsize
+    padded = np.concatenate([units, np.zeros(per, units.dtype)])
+    wide = np.ndarray((len(units),), "<u8", padded.data, strides=(units.itemsize,))
+    keep = np.array([(1 << 8 * units.itemsize * k) - 1 for k in range(per + 1)], np.uint64)
+    size = ends - starts
+    one = _mix(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15), 0x94D049BB133111EB)
+    two = _mix(size.astype(np.uint64) ^ np.uint64(0xC2B2AE3D27D4EB4F), 0xD6E8FEB86659FD93)
+    short = size <= LONG
+    for k in range(0, LONG, per):
+        alive = np.flatnonzero((size > k) & short)
+        if not len(alive):
+            break
+        x = wide[starts[alive] + k] & keep[np.minimum(size[alive] - k, per)]
+        one[alive] = _mix(one[alive] ^ x, 0x94D049BB133111EB)
+        two[alive] = _mix(two[alive] * np.uint64(0x9E3779B97F4A7C15) + x, 0xD6E8FEB86659FD93)
+    for i in np.flatnonzero(~short).tolist():
+        digest = hashlib.blake2b(units[starts[i] : ends[i]].tobytes(), digest_size=16).digest()
+        one[i], two[i] = int.from_bytes(digest[:8], "little"), int.from_bytes(digest[8:], "little")
+    return one, two
+
+
+def distinct_words(units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int], list[int]]:
+    """The first place of each different word, the number of each word's own, and both hashes of the different words."""
+    one, two = word_hashes(units, starts, ends)
+    _, first, back = np.unique(one, return_index=True, return_inverse=True)
+    if (two[first][back] != two).any():
+        _, first, back = np.unique(np.stack([one, two], axis=1), axis=0, return_index=True, return_inverse=True)
+    return first, back, one[first].tolist(), two[first].tolist()
 
 
 def text_of(cp: np.ndarray, start: int, end: int) -> str:
