@@ -10,7 +10,7 @@ import corpus_pipeline
 from test_table_operators import similar_brute
 from tidemark.llm.queries import ORACLE_SQL, QUERIES
 
-TABLES = ("documents", "embeddings", "pages", "labels")
+TABLES = ("documents", "embeddings", "pages", "labels", "benchmark")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, hilbert, html_text, language, mixing, ngram_join, packing, quality, sharding, token_counts
+from tidemark.llm import decontamination, embedding_dedup, hard_negatives, hilbert, html_text, language, mixing, ngram_join, packing, quality, sharding, token_counts, whitening
 from tidemark.llm.frames import held_out, table
 
 
@@ -128,6 +128,66 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4, scale=256)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0, positives=5, negatives=10, low=30, high=90, scale=256)
+
+
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT DISTINCT * FROM v WHERE vec_id % 100 = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = v.label AS same, v.vec_id, list_inner_product(a.e, v.e)::BIGINT AS score
+      FROM a JOIN v ON a.vec_id <> v.vec_id AND len(a.e) = len(v.e)),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INT AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.search(docs, table(spark, sf_dir, "benchmark"), window=10, out="found")
+    items = F.col("found.items")
+    return found.select(
+        "doc_id", "found.n_words", "found.n_hit", F.size(items).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (F.col("found.n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+i AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM benchmark),
+p AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS size, unnest(list_transform(range(1, greatest(len(ws) - 9, 1) + 1), lambda k: array_to_string(ws[k:k + 9], ' '))) AS phrase
+  FROM i WHERE len(ws) > 0),
+l AS (SELECT DISTINCT size FROM p),
+w AS (SELECT doc_id, size, unnest(range(1, len(ws) - size + 2)) AS place, unnest(list_transform(range(1, len(ws) - size + 2), lambda k: array_to_string(ws[k:k + size - 1], ' '))) AS phrase
+      FROM d JOIN l ON len(ws) >= size),
+m AS (SELECT doc_id, place, w.size, item_id FROM w JOIN p ON w.size = p.size AND w.phrase = p.phrase),
+h AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(place, place + size)) AS word FROM m) GROUP BY 1),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM m WHERE item_id IS NOT NULL) GROUP BY 1)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality": op2_quality,
@@ -139,6 +199,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_token_counts": op9_token_counts,
     "op10_language": op10_language,
+    "op11_whitening": op11_whitening,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_decontamination": op13_decontamination,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {
@@ -146,6 +209,8 @@ ORACLE_SQL: dict[str, str] = {
     "op4_mixing": OP4_SQL,
     "op5_hilbert_search": OP5_SQL,
     "op7_embedding_dedup": OP7_SQL,
+    "op12_hard_negatives": OP12_SQL,
+    "op13_decontamination": OP13_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
