@@ -9,8 +9,7 @@ Trees grow level by level.  A level is one partial aggregate over (node, feature
 row count; of two siblings only the smaller one is summed, the other is its parent less its sibling.  Gradients are
 rounded to multiples of 2^-24 and summed as whole numbers, so the same rows give the same trees in whatever partitions and order
 they come.  What reaches the driver are histograms: features x 256 bins for each node of one level,
-whatever the number of rows.  Rows find their node by array lookups with the tree as data, so all levels and trees share
-their generated code.  Scores are cached tree by tree, and every ``CUT`` trees a checkpoint in the shared folder ends the lineage.
+whatever the number of rows.  Rows find their node by array lookups with the tree as data.  Scores are cached tree by tree, and every ``CUT`` trees a checkpoint in the shared folder ends the lineage.
 
 Rows with a null label are not trained on.  Without training rows, or with one class only, the model is a constant.
 """
@@ -169,18 +168,18 @@ def _literal(values: np.ndarray) -> Column:
 
 
 def _walk(df: DataFrame, tree: Tree, depth: int) -> DataFrame:
-    """Adds ``node``, the place each row reaches in ``depth`` steps at most."""
-    df = df.withColumn("node", F.lit(0))
-    for level in range(depth):
-        first, count = 2**level - 1, 2**level
-        here = slice(first, first + count)
-        feature = _literal(tree.feature[here].astype(np.int32))
-        sides = _literal(np.where(tree.left[here], 1, 2).astype(np.int32).ravel())
-        at = F.col("node") - first
-        df = df.withColumn("_f", F.when(at >= 0, F.get(feature, at)).otherwise(-1))
-        df = df.withColumn("_b", F.when(F.col("_f") >= 0, F.get("bins", F.col("_f")).cast("int") + 128))
-        df = df.withColumn("node", F.when(F.col("_f") >= 0, 2 * F.col("node") + F.get(sides, at * BINS + F.col("_b"))).otherwise(F.col("node")))
-    return df.drop("_f", "_b")
+    """Adds ``node``, the place each row reaches in ``depth`` steps at most.
+
+    One fold over the steps: the node is a lambda variable, so the expression stays as small at any depth (projections
+    level by level would be merged by the optimizer and grow several times with each)."""
+    inner = 2**depth - 1  # a node beyond has no entry, and stays
+    feature, sides = _literal(tree.feature[:inner]), _literal(np.where(tree.left[:inner], 1, 2).ravel())
+
+    def step(node: Column, _: Column) -> Column:
+        on = F.get(feature, node)
+        return F.when(on >= 0, 2 * node + F.get(sides, node * BINS + F.get("bins", on).cast("int") + 128)).otherwise(node)
+
+    return df.withColumn("node", F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step))
 
 
 def _histograms(rows: DataFrame, nodes: Sequence[int], n_features: int) -> dict[int, np.ndarray]:

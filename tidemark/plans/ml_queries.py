@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tidemark.operators import features, model as Mo
+from tidemark.operators import boosting, features, model as Mo
 from tidemark.operators.sampling import exact_split
 from tidemark.plans import standins as D
 from tidemark.plans.queries import query
@@ -82,6 +82,19 @@ def ab_score(spark, sf_dir):
     return Mo.ab_score(a, b, test, "doc_id", keep=[LABEL])
 
 
+def _with_gaps(df):
+    """Lengths and languages that are missing by a fixed rule, and are left so."""
+    return df.withColumns({"n_chars": F.when(F.col("doc_id") % 11 != 0, F.col("n_chars")), "lang": F.when(F.col("doc_id") % 7 != 0, F.col("lang"))})
+
+
+@query
+def boosted_trees(spark, sf_dir):
+    """Every node of two boosted trees of depth two: split, gain, rows, side of missing values, value."""
+    train, _ = _split(spark, sf_dir)
+    fitted = boosting.train(_with_gaps(train), CAT, NUM, LABEL, boosting.Settings(trees=2, depth=2, rate=0.1))
+    return fitted.table(spark).withColumns({"gain": F.round("gain", 6), "value": F.round("value", 9)})
+
+
 @query
 def param_sweep(spark, sf_dir):
     train, _ = _split(spark, sf_dir)

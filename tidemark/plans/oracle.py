@@ -587,3 +587,55 @@ ORACLE_SQL["evaluate_scores"] = f"""WITH {SCORED_DOCS.strip()}, cm AS (SELECT {c
     UNION ALL SELECT 'log_loss', log_loss FROM ({ORACLE_SQL['log_loss']})
     UNION ALL SELECT 'roc_auc', roc_auc FROM ({ORACLE_SQL['roc_auc']})
     UNION ALL SELECT 'pr_auc', pr_auc FROM ({ORACLE_SQL['pr_auc']})"""
+
+
+def _boosted_level(rows: str, name: str) -> str:
+    """Best split of every node of ``rows`` (doc_id, node, g, h) and the children its rows go to."""
+    return f"""
+    {name}_t AS (SELECT node, sum(g)::DOUBLE / 16777216 AS g, sum(h)::DOUBLE / 16777216 AS h, count(*) AS n FROM {rows} GROUP BY node),
+    {name}_h AS (SELECT node, f, bin, sum(g)::DOUBLE / 16777216 AS g, sum(h)::DOUBLE / 16777216 AS h, count(*) AS n FROM {rows} JOIN long USING (doc_id) GROUP BY ALL),
+    {name}_o AS (SELECT node, f, bin, row_number() OVER w AS k, count(*) OVER (PARTITION BY node, f) AS bins, sum(g) OVER w AS g, sum(h) OVER w AS h, sum(n) OVER w AS n
+                 FROM {name}_h WHERE bin > 0 WINDOW w AS (PARTITION BY node, f ORDER BY CASE WHEN f < 2 THEN g / (h + 10) ELSE bin END, bin)),
+    {name}_c AS (SELECT o.node, o.f, o.k, s.side, o.g + if(s.side, coalesce(m.g, 0), 0) AS gl, o.h + if(s.side, coalesce(m.h, 0), 0) AS hl, o.n + if(s.side, coalesce(m.n, 0), 0) AS nl, m.n IS NULL AS complete
+                 FROM {name}_o o LEFT JOIN {name}_h m ON m.node = o.node AND m.f = o.f AND m.bin = 0 JOIN (VALUES (TRUE), (FALSE)) s(side)
+                   ON CASE WHEN m.n IS NULL THEN s.side AND o.k < o.bins ELSE NOT s.side OR o.k < o.bins END),
+    {name}_b AS (SELECT c.node, c.f, c.k, CASE WHEN complete THEN 2 * nl >= t.n ELSE side END AS side,
+                        gl * gl / hl + (t.g - gl) * (t.g - gl) / (t.h - hl) - t.g * t.g / t.h AS gain
+                 FROM {name}_c c JOIN {name}_t t USING (node)
+                 WHERE nl >= 20 AND t.n - nl >= 20 AND hl >= 0.001 AND t.h - hl >= 0.001 AND gl * gl / hl + (t.g - gl) * (t.g - gl) / (t.h - hl) - t.g * t.g / t.h > 0
+                 QUALIFY row_number() OVER (PARTITION BY c.node ORDER BY gain DESC, c.f, c.side DESC, c.k) = 1),
+    {name}_n AS (SELECT r.doc_id, CASE WHEN b.node IS NULL THEN r.node WHEN if(l.bin = 0, b.side, o.k <= b.k) THEN 2 * r.node + 1 ELSE 2 * r.node + 2 END AS node, r.g, r.h
+                 FROM {rows} r LEFT JOIN {name}_b b USING (node) LEFT JOIN long l ON l.doc_id = r.doc_id AND l.f = b.f LEFT JOIN {name}_o o ON o.node = r.node AND o.f = b.f AND o.bin = l.bin)"""
+
+
+def _boosted_tree(scores: str, name: str) -> str:
+    """Gradients at ``scores`` (doc_id, y, score), two levels of splits, all nodes, and the scores after the tree."""
+    return f"""
+    {name}_r AS (SELECT doc_id, 0 AS node, floor((1 / (1 + exp(-score)) - y) * 16777216 + 0.5)::BIGINT AS g,
+                        floor(1 / (1 + exp(-score)) * (1 - 1 / (1 + exp(-score))) * 16777216 + 0.5)::BIGINT AS h FROM {scores}),
+    {_boosted_level(f"{name}_r", f"{name}_0")}, {_boosted_level(f"{name}_0_n", f"{name}_1")},
+    {name}_leaf AS (SELECT node, -0.1 * (sum(g)::DOUBLE / 16777216) / (sum(h)::DOUBLE / 16777216) AS value FROM {name}_1_n GROUP BY node),
+    {name}_all AS (SELECT node, -0.1 * g / h AS value, n FROM {name}_0_t UNION
+                   SELECT node, -0.1 * g / h, n FROM {name}_1_t UNION
+                   SELECT node, value, count(*) FROM {name}_1_n JOIN {name}_leaf USING (node) WHERE node > 2 GROUP BY ALL),
+    {name}_nodes AS (SELECT a.node, ['lang', 'source', 'n_chars'][b.f + 1] AS feature, b.gain, a.n, b.side, a.value
+                     FROM {name}_all a LEFT JOIN (SELECT * FROM {name}_0_b UNION ALL SELECT * FROM {name}_1_b WHERE node > 0) b USING (node)),
+    {name}_s AS (SELECT doc_id, y, score + value AS score FROM {scores} JOIN {name}_1_n USING (doc_id) JOIN {name}_leaf USING (node))"""
+
+
+ORACLE_SQL["boosted_trees"] = f"""WITH {SCORED_DOCS.strip()},
+    ranked AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || doc_id::VARCHAR), doc_id) AS rn, count(*) OVER () AS n
+               FROM scored JOIN (SELECT doc_id, lang, source FROM documents) USING (doc_id)),
+    train AS (SELECT doc_id, y, if(doc_id % 7 <> 0, lang, NULL) AS lang, source, if(doc_id % 11 <> 0, n_chars, NULL) AS n_chars FROM ranked WHERE rn > ceil(0.2 * n)),
+    lengths AS (SELECT n_chars, dense_rank() OVER (ORDER BY floor((cum - c) * 255 / total)) AS bin
+                FROM (SELECT n_chars, count(*) AS c, sum(count(*)) OVER (ORDER BY n_chars) AS cum, sum(count(*)) OVER () AS total FROM train WHERE n_chars IS NOT NULL GROUP BY 1)),
+    langs AS (SELECT lang, least(row_number() OVER (ORDER BY lang), 255) AS bin FROM (SELECT DISTINCT lang FROM train WHERE lang IS NOT NULL)),
+    sources AS (SELECT source, least(row_number() OVER (ORDER BY source), 255) AS bin FROM (SELECT DISTINCT source FROM train WHERE source IS NOT NULL)),
+    long AS (SELECT doc_id, 0 AS f, coalesce(bin, 0) AS bin FROM train LEFT JOIN langs USING (lang) UNION ALL
+             SELECT doc_id, 1, coalesce(bin, 0) FROM train LEFT JOIN sources USING (source) UNION ALL
+             SELECT doc_id, 2, coalesce(bin, 0) FROM train LEFT JOIN lengths USING (n_chars)),
+    s0 AS (SELECT doc_id, y, ln(avg(y) OVER () / (1 - avg(y) OVER ())) AS score FROM train),
+    {_boosted_tree("s0", "a")}, {_boosted_tree("a_s", "b")}
+    SELECT 0 AS tree, node::INT AS node, feature, round(gain, 6) AS gain, n AS n_rows, CASE WHEN feature IS NOT NULL THEN side END AS missing_left, round(value, 9) AS value FROM a_nodes
+    UNION ALL
+    SELECT 1, node::INT, feature, round(gain, 6), n, CASE WHEN feature IS NOT NULL THEN side END, round(value, 9) FROM b_nodes"""
