@@ -67,10 +67,11 @@ def numeric_edges(train: DataFrame, num_cols: Sequence[str], bins: int = BINS -
 
 
 def numeric_bins(df: DataFrame, edges: dict[str, list[float]], out: dict[str, str]) -> DataFrame:
-    """The number of edges at or below a value (1 at least), 0 where it is missing."""
-    cols = [c for c in edges if edges[c]]
+    """The number of edges at or below a value (1 at least), 0 where it is missing or training had no value."""
+    cols = [c for c in edges if len(edges[c]) > 1]
+    value = {c: F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in edges}
     splits = {c: [-float("inf"), *edges[c][1:], float("inf")] for c in cols}
-    df = df.withColumns({out[c]: F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols} | {out[c]: F.lit(0) for c in edges if not edges[c]})
+    df = df.withColumns({out[c]: value[c] if c in cols else F.when(F.isnan(value[c]), 0).otherwise(len(edges[c])) for c in edges})
     if cols:
         cut = Bucketizer(splitsArray=[splits[c] for c in cols], inputCols=[out[c] for c in cols], outputCols=[f"{out[c]}__b" for c in cols], handleInvalid="keep")
         df = cut.transform(df)
