@@ -182,6 +182,18 @@ def test_html_keeps_article_text(page, expected):
     assert html_text.main_text(page) == expected
 
 
+def test_html_forms_go_by_their_weight():
+    page = f"<nav>Menu</nav><article><p>{TEXT}</p><p>{TEXT}</p></article><footer>Legal</footer>"
+    whole = f"{TEXT}\n\n{TEXT}"
+    asked = "<form><p>Your name, please.</p><input><select><option>One</option></select><button>Send</button></form>"
+    assert html_text.main_text(f"<body><form id=aspnet action='/'>{page}</form></body>") == whole
+    assert html_text.main_text(f"<body><form>{page}</form></body>") == whole
+    assert html_text.main_text(f"<body>{page}{asked}</body>") == whole
+    assert html_text.main_text(f"<body>{page.replace('</article>', asked + '</article>')}</body>") == whole
+    assert html_text.main_text(f"<body><form>{page.replace('</article>', asked + '</article>')}</form></body>").startswith(whole)
+    assert html_text.main_text(f"<body><form hidden>{page}</form></body>") == ""
+
+
 def test_html_on_the_pages_table(spark, sf_small):
     import html as library
     import re

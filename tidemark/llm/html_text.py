@@ -37,7 +37,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CODE = frozenset("script style".split())
 RAW = frozenset("iframe textarea title noframes xmp".split()) | CODE  # read up to their end tag
 NESTED = frozenset("noscript template object svg math".split())  # hold elements
-ASIDE = frozenset("head nav header footer aside form button select option dialog menu canvas audio video map".split()) | RAW | NESTED
+ASIDE = frozenset("head nav header footer aside button select option dialog menu canvas audio video map".split()) | RAW | NESTED
+WEIGHED = frozenset(["form"])  # may wrap a whole page, so dropped as labelled elements are
 IN_HEAD = frozenset("html head base link meta title noscript noframes style script template".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
 BLOCKS_IN_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
@@ -82,7 +83,9 @@ def is_aside(name: str, has: dict[str, str]) -> bool:
 
 
 def is_labelled(name: str, has: dict[str, str]) -> bool:
-    """Whether a word in class, id or role says that the element holds no article text."""
+    """Whether the tag, or a word in class, id or role, says that the element holds no article text."""
+    if name in WEIGHED:
+        return True
     if name in ("body", "html", "main", "article"):
         return False
     for kind in ("class", "id", "role"):
@@ -209,7 +212,7 @@ def blocks(page: str, share: float = 0.2, width: float = 1.0) -> list[tuple[str,
         if is_aside(name, has):
             flush()
             aside_at = len(open_tags)
-        elif has and is_labelled(name, has):
+        elif (has or name in WEIGHED) and is_labelled(name, has):
             flush()
             n_labelled += 1
             labelled.append((len(open_tags), n_labelled))
