@@ -122,15 +122,24 @@ def monitor_drift_categorical(df: DataFrame, ts: str, model: str, col: str,
     base = with_window(df, ts, model, granularity).withColumn("category", F.col(col).cast("string"))
     # One scan of the monitoring rows; every later step reads this small checkpointed table.
     counts = materialize(base.groupBy("model", "window_start", "category").agg(F.count(F.lit(1)).alias("n")))
-    totals = counts.groupBy("model", "window_start").agg(F.sum("n").alias("total"))
-    shares = null_safe_join(counts, totals, ["model", "window_start"]).withColumn("share", F.col("n") / F.col("total"))
-    chain = _window_chain(counts)
     known = None
     if baseline is not None:
-        chain = chain.withColumn("prev_start", F.lit(None).cast(chain.schema["window_start"].dataType))
         per = baseline.groupBy(F.col(model).alias("model"), F.col(col).cast("string").alias("category")).agg(F.count(F.lit(1)).alias("n"))
         known = null_safe_join(per, per.groupBy("model").agg(F.sum("n").alias("total")), ["model"])
         known = materialize(known.withColumn("share", F.col("n") / F.col("total")))
+    return drift_of_counts(counts, known, eps, digits)
+
+
+def drift_of_counts(counts: DataFrame, known: DataFrame | None = None, eps: float = 1e-4, digits: int = 6) -> DataFrame:
+    """``monitor_drift_categorical`` from counts that are there already (``model``, ``window_start``, ``category``, ``n``).
+
+    ``known`` holds the shares of a baseline (``model``, ``category``, ``share``).
+    """
+    totals = counts.groupBy("model", "window_start").agg(F.sum("n").alias("total"))
+    shares = null_safe_join(counts, totals, ["model", "window_start"]).withColumn("share", F.col("n") / F.col("total"))
+    chain = _window_chain(counts)
+    if known is not None:
+        chain = chain.withColumn("prev_start", F.lit(None).cast(chain.schema["window_start"].dataType))
     prev = _against(shares, chain, known, ["category", "share"]).withColumnRenamed("share", "q")
     compared = prev.select("model", "window_start", "prev_start").distinct()
     cur = null_safe_join(shares.select("model", "window_start", "category", F.col("n").alias("n_cur"), F.col("share").alias("p")),
@@ -171,13 +180,22 @@ def monitor_drift_numeric(df: DataFrame, ts: str, model: str, col: str,
     stats = materialize(base.groupBy("model", "window_start").agg(*moments))
     # Repeated values collapse into a histogram; only the KS curves need it.
     hist = materialize(base.groupBy("model", "window_start", "v").agg(F.count(F.lit(1)).alias("c")))
-    chain = _window_chain(stats)
     known = known_stats = None
     if baseline is not None:
-        chain = chain.withColumn("prev_start", F.lit(None).cast(chain.schema["window_start"].dataType))
         rows = baseline.select(F.col(model).alias("model"), value.alias("v")).filter(F.col("v").isNotNull())
         known = materialize(rows.groupBy("model", "v").agg(F.count(F.lit(1)).alias("c")))
         known_stats = rows.groupBy("model").agg(*moments)
+    return drift_of_values(stats, hist, known, known_stats, digits)
+
+
+def drift_of_values(stats: DataFrame, hist: DataFrame, known: DataFrame | None = None, known_stats: DataFrame | None = None,
+                    digits: int = 6) -> DataFrame:
+    """``monitor_drift_numeric`` from moments (``model``, ``window_start``, ``mean``, ``std``) and per-value counts
+    (``model``, ``window_start``, ``v``, ``c``) that are there already; ``known`` and ``known_stats`` are a baseline's, per model.
+    """
+    chain = _window_chain(stats)
+    if known is not None:
+        chain = chain.withColumn("prev_start", F.lit(None).cast(chain.schema["window_start"].dataType))
     before = _against(hist, chain, known, ["v", "c"])
     compared = before.select("model", "window_start").distinct()
     zero = F.lit(0).cast("long")

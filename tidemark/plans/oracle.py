@@ -543,6 +543,13 @@ ORACLE_SQL: dict[str, str] = {
         GROUP BY window_start, model""",
 }
 
+ORACLE_SQL["monitor_refresh"] = ORACLE_SQL["monitor_profile"]
+# Windows that a watermark of one hour has closed by the end of the events.
+_CLOSED = "window_start + INTERVAL '30 minutes' <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'"
+ORACLE_SQL["stream_drift_categorical"] = f"""WITH {MONITOR_BASE.strip()}
+    SELECT * FROM ({drift_categorical_body('mbase')}) WHERE {_CLOSED}"""
+ORACLE_SQL["stream_drift_numeric"] = f"""WITH {MONITOR_BASE.strip()}
+    SELECT * FROM ({drift_numeric_body('mbase')}) WHERE {_CLOSED}"""
 _CURRENT = "mbase AS (SELECT window_start, CASE WHEN model <> 'error' THEN model END AS model, value, prediction, category FROM named)"
 ORACLE_SQL["monitor_quality"] = f"""WITH {MONITOR_BASE.strip()},
     cm AS (SELECT window_start, window_start + INTERVAL '30 minutes' AS window_end, model, {cm_sql('prediction')}

@@ -18,7 +18,7 @@ from tidemark.plans import standins as D
 from tidemark.plans.partitioning import spread
 from tidemark.session import pin_utc, scratch_path
 from tidemark.sources import csv as csvsrc
-from tidemark.sources import monitor_sink, runs_json, snapshots
+from tidemark.sources import monitor_sink, monitor_state, runs_json, snapshots
 from tidemark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -303,6 +303,18 @@ def monitor_profile(spark, sf_dir):
     return monitor.monitor_profile(rows, "ts", "model_name", ["value", "prediction"])
 
 
+@query
+def monitor_refresh(spark, sf_dir):
+    """The profile after three refreshes: most rows of the first weeks, the other days, and last a late
+    seventh of the first weeks' rows, delivered twice."""
+    rows = D.monitor_rows(spark, sf_dir)
+    first, late = F.col("ts") < F.lit("2024-01-18").cast("timestamp_ntz"), F.col("user_id") % 7 == 0
+    path = scratch_path(spark, "monitor_state")
+    for batch, part in enumerate((rows.filter(first & ~late), rows.filter(~first), rows.filter(first & late))):
+        monitor_state.refresh_profile(spark, part, "ts", "model_name", ["value", "prediction"], path, batch)
+    return monitor_state.refresh_profile(spark, part, "ts", "model_name", ["value", "prediction"], path, batch)
+
+
 @query
 def monitor_profile_categorical(spark, sf_dir):
     rows = D.monitor_rows(spark, sf_dir)
