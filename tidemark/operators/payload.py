@@ -172,7 +172,8 @@ def stage_counts(payload: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- quarantine
 
-def quarantine(payload: DataFrame, request_col: str = "request") -> DataFrame:
+def quarantine(payload: DataFrame, request_col: str = "request",
+               fields: Sequence[tuple[str, str, bool]] | None = None) -> DataFrame:
     """Per record: ``status`` valid/rejected and the first failing ``reason``.
 
     Requests are read twice in one projection: typed, and with every field as
@@ -181,23 +182,33 @@ def quarantine(payload: DataFrame, request_col: str = "request") -> DataFrame:
     reasons of their own, by name.  (Casting the text instead of the typed read would differ: Spark
     re-quotes bare NaN in text mode.)  Unparsable requests and empty record
     lists keep one rejected row (``posexplode_outer``), so nothing disappears
-    silently.
+    silently.  ``fields`` (name, type, required) replaces the declared ones, as
+    ``signature.signature_fields`` gives them from a learned signature; a
+    record may lack those that are not required.
     """
-    typed = F.from_json(F.col(request_col), S.REQUEST_SCHEMA)[S.RECORDS_FIELD]
-    raw = F.from_json(F.col(request_col), S.RAW_REQUEST_SCHEMA)[S.RECORDS_FIELD]
+    if fields is None:
+        declared, schema, raw_schema = [(n, typ, True) for n, typ in S.FEATURE_FIELDS], S.REQUEST_SCHEMA, S.RAW_REQUEST_SCHEMA
+    else:
+        declared = list(fields)
+        quoted = [(n.replace("`", "``"), typ) for n, typ, _ in declared]
+        schema, raw_schema = (f"`{S.RECORDS_FIELD}` array<struct<" + ", ".join(f"`{n}`: {read(typ)}" for n, typ in quoted) + ">>"
+                              for read in (lambda typ: typ, lambda typ: "string"))
+    typed = F.from_json(F.col(request_col), schema)[S.RECORDS_FIELD]
+    raw = F.from_json(F.col(request_col), raw_schema)[S.RECORDS_FIELD]
     text = F.from_json(F.col(request_col), f"`{S.RECORDS_FIELD}` array<string>")[S.RECORDS_FIELD]
-    names = F.array(*[F.lit(n) for n, _ in S.FEATURE_FIELDS])
+    names, needed = (F.array(*[F.lit(n) for n in part]).cast("array<string>")
+                     for part in ([n for n, _, _ in declared], [n for n, _, must in declared if must]))
     pairs = F.arrays_zip(typed.alias("t"), raw.alias("r"), F.transform(text, F.json_object_keys).alias("k"))
     df = payload.select(S.REQUEST_ID_FIELD, typed.isNull().alias("_unparsed"),
                         F.posexplode_outer(pairs).alias("record_pos", "_rec"))
     reason = F.when(F.col("_unparsed"), F.lit("unparsable_request")).when(
         F.col("_rec").isNull(), F.lit("no_records"))
-    missing, unknown = F.array_except(names, F.col("_rec.k")), F.array_except(F.col("_rec.k"), names)
+    missing, unknown = F.array_except(needed, F.col("_rec.k")), F.array_except(F.col("_rec.k"), names)
     reason = reason.when(F.size(missing) > 0, F.concat(F.lit("missing:"), F.get(missing, 0)))
     reason = reason.when(F.size(unknown) > 0, F.concat(F.lit("unknown:"), F.get(unknown, 0)))
-    for name, typ in S.FEATURE_FIELDS:
+    for name, typ, _ in declared:
         if typ != "string":
-            t, r = F.col(f"_rec.t.{name}"), F.col(f"_rec.r.{name}")
+            t, r = F.col("_rec.t").getField(name), F.col("_rec.r").getField(name)
             reason = reason.when(r.isNotNull() & t.isNull(), F.lit(f"bad_type:{name}"))
     return df.select(S.REQUEST_ID_FIELD, F.col("record_pos"),
                      F.when(reason.isNull(), F.lit("valid")).otherwise(F.lit("rejected")).alias("status"),

@@ -646,3 +646,65 @@ ORACLE_SQL["boosted_trees"] = f"""WITH {SCORED_DOCS.strip()},
     SELECT 0 AS tree, node::INT AS node, feature, round(gain, 6) AS gain, n AS n_rows, CASE WHEN feature IS NOT NULL THEN side END AS missing_left, round(value, 9) AS value FROM a_nodes
     UNION ALL
     SELECT 1, node::INT, feature, round(gain, 6), n, CASE WHEN feature IS NOT NULL THEN side END, round(value, 9) FROM b_nodes"""
+
+ORACLE_SQL["change_history"] = """WITH v(n, before) AS (VALUES (1, NULL), (2, 1), (4, 2), (7, 4), (8, 7)),
+    s AS (SELECT v.n, o_orderkey, o_custkey, CASE WHEN NOT (o_orderkey % 6 = 0 AND v.n = 7) THEN o_orderstatus END AS o_orderstatus,
+                 CASE WHEN o_orderpriority = '1-URGENT' AND v.n >= 4 THEN o_totalprice * 1.1::DOUBLE ELSE o_totalprice END AS o_totalprice, o_orderpriority
+          FROM orders, v WHERE NOT (o_orderkey % 9 = v.n OR (o_custkey % 5 = 0 AND v.n IN (2, 4)))),
+    old AS (SELECT v.n AS since, s.* EXCLUDE (n) FROM s JOIN v ON s.n = v.before),
+    new AS (SELECT n AS since, s.* EXCLUDE (n) FROM s WHERE n > 1),
+    gone AS (SELECT * FROM old EXCEPT SELECT * FROM new),
+    come AS (SELECT * FROM new EXCEPT SELECT * FROM old)
+    SELECT gone.* EXCLUDE (since), CASE WHEN EXISTS (SELECT 1 FROM new WHERE new.since = gone.since AND new.o_orderkey = gone.o_orderkey)
+           THEN 'update_preimage' ELSE 'delete' END AS _change_type, since AS _version FROM gone
+    UNION ALL
+    SELECT come.* EXCLUDE (since), CASE WHEN EXISTS (SELECT 1 FROM old WHERE old.since = come.since AND old.o_orderkey = come.o_orderkey)
+           THEN 'update_postimage' ELSE 'insert' END, since FROM come"""
+ORACLE_SQL["best_descendants"] = f"""WITH RECURSIVE {METRIC_ROWS.strip()},
+    q AS (SELECT run_id, max(value) AS value FROM (SELECT *, max(step) OVER (PARTITION BY run_id) AS top FROM m WHERE key = 'quantity')
+          WHERE step = top GROUP BY 1),
+    r0 AS (SELECT o_orderkey AS run_id, o_orderpriority, CASE WHEN o_orderkey % 3 = 0 THEN CASE WHEN o_orderkey > 0 THEN 3 * ((o_orderkey // 3 - 1) // 2) END
+             WHEN (o_orderkey // 3) % 21 <> 0 THEN o_orderkey - 3 END AS parent FROM orders),
+    r AS (SELECT r0.run_id, r0.o_orderpriority, p.o_orderkey AS parent FROM r0 LEFT JOIN orders p ON p.o_orderkey = r0.parent),
+    t AS (SELECT run_id, run_id AS root, 0 AS depth FROM r WHERE parent IS NULL
+          UNION ALL SELECT r.run_id, t.root, t.depth + 1 FROM r JOIN t ON r.parent = t.run_id),
+    placed AS (SELECT t.*, r.o_orderpriority, q.value FROM t JOIN r USING (run_id) LEFT JOIN q USING (run_id)),
+    best AS (SELECT * FROM placed WHERE depth > 0 AND value IS NOT NULL QUALIFY row_number() OVER (PARTITION BY root ORDER BY value DESC, run_id) = 1)
+    SELECT s.root, s.n_runs, s.max_depth, b.run_id AS best_run, b.value AS best_value, b.o_orderpriority
+    FROM (SELECT root, count(*) AS n_runs, max(depth) AS max_depth FROM placed GROUP BY 1) s LEFT JOIN best b USING (root)"""
+ORACLE_SQL["run_loads"] = """WITH used AS (SELECT o_orderkey AS run_id, CASE WHEN o_orderkey % 3 = 0 THEN 'hot' ELSE 't' || (o_custkey % 20)::VARCHAR END AS table_name,
+           o_orderdate AS start_time FROM orders),
+    loads AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE 't' || (l_suppkey % 20)::VARCHAR END AS table_name, l_shipdate AS load_time,
+                     max(l_orderkey * 10 + l_linenumber) AS load_id FROM lineitem GROUP BY 1, 2)
+    SELECT u.run_id, u.table_name, u.start_time, l.load_time, l.load_id
+    FROM used u ASOF LEFT JOIN loads l ON u.table_name = l.table_name AND u.start_time >= l.load_time"""
+_LOOSE = """loose AS (SELECT o_orderstatus, CASE WHEN o_orderkey % 100 = 2 THEN 'oops' WHEN o_orderkey % 100 = 3 THEN '[1]' ELSE
+    '{"id":' || o_orderkey::VARCHAR || ',"price":'
+    || CASE WHEN o_orderkey % 10 = 0 AND o_orderstatus = 'O' THEN '"n/a"' WHEN o_orderkey % 10 = 1 THEN o_custkey::VARCHAR || '.5' ELSE o_custkey::VARCHAR END
+    || CASE WHEN o_orderkey % 10 = 4 THEN '' ELSE ',"status":"' || o_orderstatus || '"' END
+    || CASE WHEN o_orderkey % 10 = 5 AND o_orderstatus <> 'O' THEN ',"note":null' WHEN o_orderkey % 10 = 6 THEN ',"tags":["a",1]' ELSE '' END
+    || CASE WHEN o_orderstatus = 'O' THEN ',"open":true' ELSE ',"rank":7' END || '}' END AS record FROM orders)"""
+
+
+def _signature(where: str) -> str:
+    return f"""(WITH o AS (SELECT record::JSON AS j FROM loose WHERE json_valid(record) AND {where}),
+      objects AS (SELECT j FROM o WHERE json_type(j) = 'OBJECT'),
+      kv AS (SELECT key AS field, json_type(json_extract(j, '$.' || key)) AS raw FROM (SELECT j, unnest(json_keys(j)) AS key FROM objects)),
+      k AS (SELECT field, CASE raw WHEN 'UBIGINT' THEN 'bigint' WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+                          WHEN 'NULL' THEN NULL ELSE lower(raw) END AS kind FROM kv)
+      SELECT field, CASE WHEN count(DISTINCT kind) = 0 THEN 'void' WHEN count(DISTINCT kind) = 1 THEN max(kind)
+                         WHEN count(DISTINCT kind) = 2 AND min(kind) = 'bigint' AND max(kind) = 'double' THEN 'double' ELSE 'mixed' END AS type,
+             count(*) AS n_present, count(*) - count(kind) AS n_null, (SELECT count(*) FROM objects) AS n_records,
+             count(*) = (SELECT count(*) FROM objects) AS required
+      FROM k GROUP BY field)"""
+
+
+ORACLE_SQL["learn_signature"] = f"WITH {_LOOSE} SELECT * FROM {_signature('true')}"
+ORACLE_SQL["compare_signatures"] = f"""WITH {_LOOSE}, e AS {_signature("o_orderstatus <> 'O'")}, a AS {_signature("o_orderstatus = 'O'")},
+    j AS (SELECT field, e.type AS old, a.type AS new, e.required AS must, a.required AS still FROM e FULL JOIN a USING (field))
+    SELECT field, old AS expected_type, new AS actual_type,
+           CASE WHEN new IS NULL THEN 'missing' WHEN old IS NULL THEN 'unknown' WHEN old = new AND must = still THEN 'same'
+                WHEN old = new AND must THEN 'widened' WHEN old = new THEN 'narrowed'
+                WHEN new = 'mixed' OR old = 'void' OR (new = 'double' AND old = 'bigint') THEN 'widened'
+                WHEN old = 'mixed' OR new = 'void' OR (old = 'double' AND new = 'bigint') THEN 'narrowed' ELSE 'changed' END AS change
+    FROM j"""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import exprs as X
 from tidemark.functions import schemas as S
-from tidemark.operators import clean, features, metrics, model, monitor, payload as P, profile, runs, sampling, synth
+from tidemark.operators import asof, clean, features, metrics, model, monitor, payload as P, profile, runs, sampling, signature, synth
 from tidemark.plans import standins as D
 from tidemark.plans.partitioning import spread
 from tidemark.session import pin_utc, scratch_path
@@ -260,6 +260,20 @@ def quarantine(spark, sf_dir):
     return P.quarantine(D.events_payload(spark, sf_dir))
 
 
+@query
+def learn_signature(spark, sf_dir):
+    return signature.learn_signature(D.loose_records(spark, sf_dir), "record")
+
+
+@query
+def compare_signatures(spark, sf_dir):
+    """The signature of closed and pending orders' records against that of open ones'."""
+    records = D.loose_records(spark, sf_dir)
+    is_open = F.col("o_orderstatus") == "O"
+    return signature.compare_signatures(signature.learn_signature(records.filter(~is_open), "record"),
+                                        signature.learn_signature(records.filter(is_open), "record"))
+
+
 @query
 def drop_null_prediction(spark, sf_dir):
     return P.drop_null_prediction(P.flatten_record(P.first_prediction(_exploded(spark, sf_dir)), D.MODEL_NAME))
@@ -487,8 +501,26 @@ def change_feed(spark, sf_dir):
     return snapshots.change_feed(v1, v2, ["o_orderkey"])
 
 
+@query
+def change_history(spark, sf_dir):
+    return snapshots.change_history(D.order_snapshots(spark, sf_dir), ["o_orderkey"])
+
+
+@query
+def run_loads(spark, sf_dir):
+    """For every run, the last load of its table before it started."""
+    used, loads = D.table_loads(spark, sf_dir)
+    return asof.asof_join(used, loads, ["table_name"], "start_time", "load_time", ["load_id"])
+
+
 # --------------------------------------------------------------------------- runs
 
+@query
+def best_descendants(spark, sf_dir):
+    steps = runs.metric_steps(D.metric_rows(spark, sf_dir).filter(F.col("key") == "quantity"))
+    return runs.best_descendants(D.nested_runs(spark, sf_dir), steps, ["o_orderpriority"])
+
+
 @query
 def run_search(spark, sf_dir):
     found = runs.run_search(D.runs_table(spark, sf_dir), D.metric_rows(spark, sf_dir), status="FINISHED",

@@ -155,3 +155,46 @@ def metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(F.col("l_orderkey").alias("run_id"), F.inline(F.array(
         F.struct(F.lit("quantity").alias("key"), F.col("l_quantity").alias("value"), F.col("l_linenumber").alias("step")),
         F.struct(F.lit("discount").alias("key"), F.col("l_discount").alias("value"), F.col("l_linenumber").alias("step")))))
+
+
+def order_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five versions of the orders table (labels 1, 2, 4, 7 and 8) whose orders vanish, return and change."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    v = F.col("_version")
+    rows = o.withColumn("_version", F.explode(F.array(*[F.lit(n) for n in (1, 2, 4, 7, 8)])))
+    away = (F.col("o_orderkey") % 9 == v) | ((F.col("o_custkey") % 5 == 0) & v.isin(2, 4))
+    raised = (F.col("o_orderpriority") == "1-URGENT") & (v >= 4)
+    return rows.filter(~away).withColumns({
+        "o_totalprice": F.when(raised, F.col("o_totalprice") * F.lit(1.1)).otherwise(F.col("o_totalprice")),
+        "o_orderstatus": F.when(~((F.col("o_orderkey") % 6 == 0) & (v == 7)), F.col("o_orderstatus"))})
+
+
+def nested_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs in trees: a third of them in one binary tree under run 0, the others in chains of up to 21."""
+    k = F.col("o_orderkey")
+    j = F.floor(k / 3)
+    parent = (F.when(k % 3 == 0, F.when(k > 0, 3 * F.floor((j - 1) / 2)))
+              .when(j % 21 != 0, k - 3))
+    return table(spark, sf_dir, "orders").select(k.alias("run_id"), parent.cast("long").alias("parent_run_id"), "o_orderpriority")
+
+
+def loose_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON records of mixed shapes from orders: types that differ, fields that come and go, records that are none."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    fields = [F.lit('{"id":'), k.cast("string"), F.lit(',"price":'),
+              F.when((k % 10 == 0) & (F.col("o_orderstatus") == "O"), F.lit('"n/a"')).when(k % 10 == 1, F.concat(c, F.lit(".5"))).otherwise(c),
+              F.when(k % 10 == 4, F.lit("")).otherwise(F.concat(F.lit(',"status":"'), F.col("o_orderstatus"), F.lit('"'))),
+              F.when((k % 10 == 5) & (F.col("o_orderstatus") != "O"), F.lit(',"note":null')).when(k % 10 == 6, F.lit(',"tags":["a",1]')).otherwise(F.lit("")),
+              F.when(F.col("o_orderstatus") == "O", F.lit(',"open":true')).otherwise(F.lit(',"rank":7')), F.lit("}")]
+    record = F.when(k % 100 == 2, F.lit("oops")).when(k % 100 == 3, F.lit("[1]")).otherwise(F.concat(*fields))
+    return table(spark, sf_dir, "orders").select(k.alias("record_id"), "o_orderstatus", record.alias("record"))
+
+
+def table_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Runs and table loads with their times; one table holds a third of both."""
+    name = lambda key, other: F.when(key % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), (other % 20).cast("string")))
+    used = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("run_id"), name(F.col("o_orderkey"), F.col("o_custkey")).alias("table_name"),
+                                                 F.col("o_orderdate").alias("start_time"))
+    loads = table(spark, sf_dir, "lineitem").select(name(F.col("l_orderkey"), F.col("l_suppkey")).alias("table_name"), F.col("l_shipdate").alias("load_time"),
+                                                    (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("load_id"))
+    return used, loads

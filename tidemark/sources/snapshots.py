@@ -3,16 +3,18 @@
 Each version lives in partition ``_version=N`` of one table folder, so an
 as-of read is a partition-pruned scan and the latest version is a
 metadata-sized aggregate.  The change feed between two versions is one full
-outer join on the key with null-safe comparison of the other columns.
+outer join on the key with null-safe comparison of the other columns; that of
+many versions is one shuffle by key and a walk over each key's versions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.joins import lookup_join
 from tidemark.sources.tables import is_name, write_target
 
 VERSION_COL = "_version"
@@ -81,3 +83,36 @@ def change_feed(old: DataFrame, new: DataFrame, key_cols: Sequence[str]) -> Data
               .when(F.col("_in_new").isNull(), F.array(row("_o", "delete")))
               .when(changed, F.array(row("_o", "update_preimage"), row("_n", "update_postimage"))))
     return j.select(F.inline(events))
+
+
+def change_history(snapshots: DataFrame, key_cols: Sequence[str], version_col: str = VERSION_COL,
+                   from_start: bool = False) -> DataFrame:
+    """All row changes between consecutive versions of a table, with the version that made them.
+
+    ``snapshots`` holds the rows of every version.  Each version's neighbours come from the distinct labels, which may
+    have gaps; each key's rows are ordered by version in one window on the key.  Where a key's neighbouring row is not
+    of the neighbouring version the key was away: it was deleted in the version after the last one that had it, and
+    inserted again where it returns.  A key is unique within a version, so a group has at most one row per version;
+    null keys are keys.  Rows of the first version count as inserts only with ``from_start``.  A version without any
+    row is not seen.
+    """
+    keys = list(key_cols)
+    columns = [c for c in snapshots.columns if c != version_col]
+    in_order = Window.orderBy(version_col)  # one row per whole snapshot
+    chain = snapshots.select(version_col).distinct().select(
+        version_col, F.lag(version_col).over(in_order).alias("_earlier"), F.lead(version_col).over(in_order).alias("_later"))
+    walk = Window.partitionBy(*keys).orderBy(version_col)
+    rows = lookup_join(snapshots.select(version_col, *keys, F.struct(*columns).alias("_row")), chain, version_col)
+    rows = rows.withColumns({"_before": F.lag("_row").over(walk), "_seen": F.lag(version_col).over(walk),
+                             "_next": F.lead(version_col).over(walk)})
+    follows = F.col("_seen").eqNullSafe(F.col("_earlier")) & F.col("_earlier").isNotNull()
+    first = F.lit(from_start) | F.col("_earlier").isNotNull()
+    leaves = F.col("_later").isNotNull() & ~F.col("_next").eqNullSafe(F.col("_later"))
+    event = lambda row, kind, version: F.struct(F.col(row).alias("_row"), F.lit(kind).alias("_change_type"), F.col(version).alias("_version"))
+    came = (F.when(follows & ~F.col("_row").eqNullSafe(F.col("_before")),
+                   F.array(event("_before", "update_preimage", version_col), event("_row", "update_postimage", version_col)))
+            .when(~follows & first, F.array(event("_row", "insert", version_col))))
+    went = F.when(leaves, F.array(event("_row", "delete", "_later")))
+    none = F.slice(F.array(event("_row", "", version_col)), 1, 0)
+    events = rows.select(F.inline(F.concat(F.coalesce(came, none), F.coalesce(went, none))).alias("_row", "_change_type", "_at"))
+    return events.select("_row.*", "_change_type", F.col("_at").alias(version_col))
