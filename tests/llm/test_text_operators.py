@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import random
 import zlib
 
@@ -194,6 +195,17 @@ def test_html_forms_go_by_their_weight():
     assert html_text.main_text(f"<body><form hidden>{page}</form></body>") == ""
 
 
+@pytest.mark.parametrize("page, size", [
+    ("<body><p>" + "<b>word</b> " * 100_000, 499_999), ("<body><p>" + "<b>word " * 100_000, 499_999),
+    ("<body>" + "<div>text " * 5_000, 29_998), ("<p><table>" + "<div>x" * 20_000, 59_998), ("<div>" * 50_000 + "</x>" * 50_000, 0)],
+    ids=["closed inline", "open inline", "deep", "blocks below a paragraph", "stray ends"])
+def test_html_time_is_linear_in_tags_and_depth(page, size):
+    start = time.process_time()
+    assert len(html_text.main_text(page)) == size
+    assert time.process_time() - start < 10  # about 0.5 s; a scan of the open tags per tag takes minutes
+
+
+
 def test_html_on_the_pages_table(spark, sf_small):
     import html as library
     import re

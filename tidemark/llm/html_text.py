@@ -24,6 +24,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -102,6 +103,7 @@ def tokens(page: str) -> list[tuple[int, int, re.Match[str]]]:
     open_tags: list[tuple[str, int]] = []
     ends: dict[int, int] = {}  # token of a nested element -> token of its end tag
     never: set[str] = set()
+    n_open: Counter[str] = Counter()
     at = 0
     while m := TOKEN.search(page, at):
         at = m.end()
@@ -113,15 +115,16 @@ def tokens(page: str) -> list[tuple[int, int, re.Match[str]]]:
                 at = len(page)
             else:
                 never.add(name)
-        elif m["end"]:
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] == name:
-                    if name in NESTED:
-                        ends[open_tags[i][1]] = len(out)
-                    del open_tags[i:]
-                    break
-        elif name and not m["empty"] and name not in VOID and name not in RAW:
+        elif m["end"] and n_open[name]:
+            last = ""
+            while last != name:
+                last, opened = open_tags.pop()
+                n_open[last] -= 1
+            if name in NESTED:
+                ends[opened] = len(out)
+        elif name and not m["end"] and not m["empty"] and name not in VOID and name not in RAW:
             open_tags.append((name, len(out)))
+            n_open[name] += 1
         out.append((m.start(), at, m))
     if not ends:
         return out
@@ -133,28 +136,60 @@ def tokens(page: str) -> list[tuple[int, int, re.Match[str]]]:
     return joined
 
 
-def blocks(page: str, share: float = 0.2, width: float = 1.0) -> list[tuple[str, str]]:
-    """Path and text of every block outside asides, in page order."""
-    out: list[tuple[str, str, tuple[int, ...], int]] = []
+class Paths:
+    """Root-to-leaf tag paths as numbers: a path is its parent's number and one more tag, so a deep one costs no more than a short one.
+
+    Number 0 is the empty path, and a parent's number is smaller than its children's.
+    """
+
+    def __init__(self) -> None:
+        self.parent, self.tag, self.depth = [0], [""], [0]
+        self.known: dict[tuple[int, str], int] = {}
+
+    def child(self, path: int, tag: str) -> int:
+        got = self.known.setdefault((path, tag), len(self.tag))
+        if got == len(self.tag):
+            self.parent.append(path)
+            self.tag.append(tag)
+            self.depth.append(self.depth[path] + 1)
+        return got
+
+
+def blocks(page: str, share: float = 0.2, width: float = 1.0) -> tuple[list[tuple[int, str]], Paths]:
+    """Path and text of every block outside asides, in page order, and what the paths' numbers mean."""
+    out: list[tuple[int, str, tuple[int, ...], int]] = []
+    paths = Paths()
     open_tags: list[str] = []
+    n_open: Counter[str] = Counter()
+    at_path: list[int] = [0]  # path of each open tag, after that of the page; inline tags share their parent's
+    open_blocks: list[int] = []  # places of the open tags that are not inline
     aside_at = 0  # depth of the outermost aside; 0 is none
     labelled: list[tuple[int, int]] = []  # depth and number of the open elements with a label
     n_labelled = 0
     named_at, n_named = 0, 0  # depth of the outermost main or article; 0 is none
     held: list[str] = []
-    path = ""
+    filled = False  # whether ``held`` has more than white space
+    path = 0
 
     def flush() -> None:
+        nonlocal filled
+        if not held:
+            return
         text = SPACE.sub(" ", html.unescape("".join(held))).strip()
         held.clear()
+        filled = False
         if text:
             out.append((path, text, tuple(n for _, n in labelled), n_named if named_at else 0))
 
     def close(to: int) -> None:
         nonlocal aside_at, named_at
-        if any(t not in INLINE for t in open_tags[to:]) or (labelled and labelled[-1][0] > to):
+        if (open_blocks and open_blocks[-1] >= to) or (labelled and labelled[-1][0] > to):
             flush()
+        n_open.subtract(open_tags[to:])
         del open_tags[to:]
+        del at_path[to + 1 :]
+        while open_blocks and open_blocks[-1] >= to:
+            open_blocks.pop()
         while labelled and labelled[-1][0] > to:
             labelled.pop()
         if aside_at > to:
@@ -163,12 +198,19 @@ def blocks(page: str, share: float = 0.2, width: float = 1.0) -> list[tuple[str,
             named_at = 0
 
     def take(text: str) -> None:
-        nonlocal path
+        nonlocal path, filled
         if text and not aside_at:
-            if not held or not "".join(held).strip():
-                path = "/".join(t for t in open_tags if t not in INLINE)
+            if not filled:
+                path = at_path[-1]
+                filled = not text.isspace()
             held.append(text)
 
+    def innermost(name: str) -> int:
+        i = len(open_tags) - 1
+        while open_tags[i] != name:
+            i -= 1
+        return i
+
     at = 0
     for start, end, m in tokens(page):
         take(page[at:start])
@@ -177,8 +219,8 @@ def blocks(page: str, share: float = 0.2, width: float = 1.0) -> list[tuple[str,
             continue
         name = name.lower()
         if m["end"]:
-            if name in open_tags:
-                close(len(open_tags) - 1 - open_tags[::-1].index(name))
+            if n_open[name]:
+                close(innermost(name))
             elif name == "p":
                 flush()
             continue
@@ -186,13 +228,11 @@ def blocks(page: str, share: float = 0.2, width: float = 1.0) -> list[tuple[str,
             continue
         if name == "br":
             take(" ")
-        if name not in IN_HEAD and "head" in open_tags:
+        if name not in IN_HEAD and n_open["head"]:
             close(open_tags.index("head"))
-        if name in BLOCKS_IN_P and "p" in open_tags:
-            inner = len(open_tags) - 1 - open_tags[::-1].index("p")
-            if all(t in INLINE for t in open_tags[inner + 1 :]):
-                close(inner)
-        if name in CLOSED_BY_SELF:
+        if name in BLOCKS_IN_P and open_blocks and open_tags[open_blocks[-1]] == "p":
+            close(open_blocks[-1])
+        if name in CLOSED_BY_SELF and any(n_open[t] for t in CLOSED_BY_SELF[name]):
             for i in range(len(open_tags) - 1, -1, -1):
                 if open_tags[i] in CLOSED_BY_SELF[name]:
                     close(i)
@@ -203,7 +243,11 @@ def blocks(page: str, share: float = 0.2, width: float = 1.0) -> list[tuple[str,
             flush()
         if name in VOID or m["empty"]:
             continue
+        if name not in INLINE:
+            open_blocks.append(len(open_tags))
+        at_path.append(at_path[-1] if name in INLINE else paths.child(at_path[-1], name))
         open_tags.append(name)
+        n_open[name] += 1
         if aside_at:
             continue
         if name in ("main", "article") and not named_at:
@@ -218,10 +262,10 @@ def blocks(page: str, share: float = 0.2, width: float = 1.0) -> list[tuple[str,
             labelled.append((len(open_tags), n_labelled))
     take(page[at:])
     flush()
-    return without_labelled(out, share, width) if n_labelled else [(path, text) for path, text, *_ in out]
+    return (without_labelled(out, share, width) if n_labelled else [(path, text) for path, text, *_ in out]), paths
 
 
-def without_labelled(found: list[tuple[str, str, tuple[int, ...], int]], share: float, width: float) -> list[tuple[str, str]]:
+def without_labelled(found: list[tuple[int, str, tuple[int, ...], int]], share: float, width: float) -> list[tuple[int, str]]:
     """Path and text of the blocks, less those in labelled elements that hold half of the content's text or less, or none of the only main or article."""
     every = [(path, text) for path, text, *_ in found]
     if not any(inside for *_, inside, _ in found):
@@ -239,9 +283,9 @@ def without_labelled(found: list[tuple[str, str, tuple[int, ...], int]], share:
     return [(path, text) for path, text, inside, _ in found if heavy.issuperset(inside)] or every
 
 
-def content_paths(found: list[tuple[str, str]], share: float, width: float) -> set[str]:
+def content_paths(found: list[tuple[int, str]], share: float, width: float) -> set[int]:
     """Paths whose smoothed, fused ratios exceed ``share`` of the mean over paths, weighted by their text."""
-    place: dict[str, int] = {}
+    place: dict[int, int] = {}
     sums: list[list[float]] = []
     for path, text in found:
         i = place.setdefault(path, len(sums))
@@ -263,29 +307,32 @@ def content_paths(found: list[tuple[str, str]], share: float, width: float) -> s
     return {p for p, i in place.items() if fused[i] >= level}
 
 
-def article(found: list[tuple[str, str]], content: set[str]) -> str:
-    """The longest shared path prefix that still holds most of the content's text."""
-    weight: dict[str, int] = {}
+def article(found: list[tuple[int, str]], content: set[int], paths: Paths) -> int:
+    """The longest path that still holds most of the content's text, itself included only as a leaf's parent."""
+    weight = [0] * len(paths.tag)
     total = 0
     for path, text in found:
         if path in content:
             total += len(text)
-            tags = path.split("/")
-            for i in range(len(tags)):
-                weight["/".join(tags[:i])] = weight.get("/".join(tags[:i]), 0) + len(text)
-    return max((p for p, w in weight.items() if w >= 0.6 * total), key=lambda p: p.count("/") + bool(p), default="")
+            weight[paths.parent[path]] += len(text) if path else 0
+    for path in range(len(weight) - 1, 0, -1):
+        weight[paths.parent[path]] += weight[path]
+    return max((p for p, w in enumerate(weight) if w and w >= 0.6 * total), key=lambda p: paths.depth[p], default=0)
 
 
 def main_text(page: str, share: float = 0.2, width: float = 1.0) -> str:
-    found = blocks(page, share, width)
+    found, paths = blocks(page, share, width)
     if not found:
         return ""
     content = content_paths(found, share, width)
-    root = article(found, content)
-    inside = root + "/" if root else ""
+    root = article(found, content, paths)
     # a bare page body is no article element: there only content paths and headings count
-    own = inside if root and root.rsplit("/", 1)[-1] not in ("html", "body") else None
-    kept = [text for path, text in found if path in content or (own and (path + "/").startswith(own)) or re.search(r"(^|/)h[1-3]$", path)]
+    own = [False] * len(paths.tag)
+    if root and paths.tag[root] not in ("html", "body"):
+        own[root] = True
+        for p in range(root + 1, len(own)):
+            own[p] = own[paths.parent[p]]
+    kept = [text for path, text in found if path in content or own[path] or paths.tag[path] in ("h1", "h2", "h3")]
     return "\n\n".join(kept)
 
 
