@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import time
 import random
+import time
 import zlib
 
 import numpy as np
